@@ -1 +1,296 @@
+"""Upserts, slowly changing dimensions, change log and point-in-time reads."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyward.operators import changelog, history, keyed
+from tallyward.queries.registry import query
+from tallyward.sources import model, tables
+
+PLAN = "patient_id, insurance_plan, last_billed, chronic_conditions, event_date, event_no"
+VERSION_SQL = """patient_id, insurance_plan, last_billed, chronic_conditions, event_no,
+    start_at AS "__START_AT", end_at AS "__END_AT", is_current AS "__IS_CURRENT" """
+VERSION_COLUMNS = [
+    "patient_id", "insurance_plan", "last_billed", "chronic_conditions", "event_no",
+    history.START, history.END, history.CURRENT,
+]
+KEY, SEQUENCE, TRACKED = model.PATIENT_KEY, model.PATIENT_SEQUENCE, model.PATIENT_TRACKED
+MIDDLE = "1998-06-30"
+
+
+@query("patient_change_feed", "patient_changes", f"SELECT {PLAN} FROM patient_changes WHERE patient_id IS NOT NULL")
+def patient_change_feed(spark, folder):
+    return keyed.not_null(model.patient_changes(spark, folder), KEY)
+
+
+@query("provider_change_feed", "claims_bronze",
+       "SELECT DISTINCT provider_id, 'IN_NETWORK' AS network_status, CAST(NULL AS VARCHAR) AS specialty FROM claims_bronze")
+def provider_change_feed(spark, folder):
+    feed = model.claims_bronze(spark, folder).select(
+        "provider_id", F.lit("IN_NETWORK").alias("network_status"), F.lit(None).cast("string").alias("specialty")
+    )
+    return keyed.distinct_keys(feed, ["provider_id"])
+
+
+@query("scd1_apply", "patient_changes", f"""
+    SELECT {PLAN} FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY event_date DESC, event_no DESC) AS rn
+    FROM patient_changes) WHERE rn = 1""")
+def scd1_apply(spark, folder):
+    """Late half first, early half second: the later event must still win."""
+    feed = model.patient_changes(spark, folder)
+    late = history.scd1_apply(None, feed.filter(F.col("event_date") > MIDDLE), KEY, SEQUENCE)
+    return history.scd1_apply(late, feed.filter(F.col("event_date") <= MIDDLE), KEY, SEQUENCE)
+
+
+@query("scd1_ignore_nulls", "patient_changes", """
+    SELECT patient_id, arg_max(insurance_plan, seq) FILTER (insurance_plan <> '5-LOW') AS insurance_plan,
+           max(event_date) AS event_date, arg_max(event_no, seq) AS event_no
+    FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY event_date, event_no) AS seq FROM patient_changes)
+    GROUP BY patient_id""")
+def scd1_ignore_nulls(spark, folder):
+    """Feeds that lack a value keep the one before."""
+    plan = F.when(F.col("insurance_plan") != "5-LOW", F.col("insurance_plan")).alias("insurance_plan")
+    feed = model.patient_changes(spark, folder).select("patient_id", plan, "event_date", "event_no")
+    early = history.scd1_apply(None, feed.filter(F.col("event_date") <= MIDDLE), KEY, SEQUENCE, ignore_nulls=True)
+    return history.scd1_apply(early, feed.filter(F.col("event_date") > MIDDLE), KEY, SEQUENCE, ignore_nulls=True)
+
+
+@query("scd2_apply", "patient_versions", f"SELECT {VERSION_SQL} FROM patient_versions")
+def scd2_apply(spark, folder):
+    feed = model.patient_changes(spark, folder)
+    return history.scd2_apply(None, feed, KEY, SEQUENCE, TRACKED).select(*VERSION_COLUMNS)
+
+
+@query("scd2_incremental", "patient_versions",
+       'SELECT patient_id, insurance_plan, start_at AS "__START_AT", end_at AS "__END_AT", is_current AS "__IS_CURRENT" FROM patient_versions')
+def scd2_incremental(spark, folder):
+    """Two loads out of order give the versions of one load. Untracked values
+    are left out: a stored version keeps only its last ones."""
+    feed = model.patient_changes(spark, folder)
+    late = history.scd2_apply(None, feed.filter(F.col("event_date") > MIDDLE), KEY, SEQUENCE, TRACKED)
+    both = history.scd2_apply(late, feed.filter(F.col("event_date") <= MIDDLE), KEY, SEQUENCE, TRACKED)
+    return both.select("patient_id", "insurance_plan", history.START, history.END, history.CURRENT)
+
+
+@query("scd2_current", "patient_versions", """
+    SELECT patient_id, insurance_plan, start_at AS "__START_AT" FROM patient_versions WHERE is_current""")
+def scd2_current(spark, folder):
+    versions = history.scd2_versions(model.patient_changes(spark, folder), KEY, SEQUENCE, TRACKED)
+    return history.current_rows(versions).select("patient_id", "insurance_plan", history.START)
+
+
+@query("scd2_history", "patient_versions", f"SELECT {VERSION_SQL} FROM patient_versions WHERE patient_id = '1'")
+def scd2_history(spark, folder):
+    """The audit of one patient; the filter reaches the scan."""
+    feed = model.patient_changes(spark, folder).filter(F.col("patient_id") == "1")
+    return history.version_history(history.scd2_versions(feed, KEY, SEQUENCE, TRACKED)).select(*VERSION_COLUMNS)
+
+
+CLAIM = "claim_id, patient_id, provider_id, claim_date, claim_amount, claim_status"
+
+
+def _claims_by(spark, folder, day, earlier: bool):
+    """Latest claim rows among the loads up to a day, or after it."""
+    lines = tables.table(spark, folder, "lineitem")
+    wanted = F.col("l_shipdate") <= F.lit(day).cast("timestamp_ntz")
+    rows = model._as_claims(
+        keyed.latest_per_key(lines.filter(wanted if earlier else ~wanted), model.CLAIM_KEY, model.claim_newest()),
+        tables.table(spark, folder, "orders"),
+    )
+    return rows.select(*CLAIM.split(", "))
+
+
+_HALF = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY ingest_ts DESC, claim_amount DESC) AS rn
+    FROM claims_bronze WHERE ingest_ts {op} TIMESTAMP '1999-12-31') WHERE rn = 1)"""
+_OLD, _NEW = _HALF.format(op="<="), _HALF.format(op=">")
+SPLIT = "1999-12-31"
+
+
+@query("merge_upsert", "claims_bronze", f"""
+    SELECT coalesce(o.claim_id, n.claim_id) AS claim_id, coalesce(o.patient_id, n.patient_id) AS patient_id,
+           coalesce(o.provider_id, n.provider_id) AS provider_id, coalesce(o.claim_date, n.claim_date) AS claim_date,
+           coalesce(n.claim_amount, o.claim_amount) AS claim_amount, coalesce(n.claim_status, o.claim_status) AS claim_status
+    FROM {_OLD} o FULL JOIN {_NEW} n ON o.claim_id = n.claim_id""")
+def merge_upsert(spark, folder):
+    old, new = _claims_by(spark, folder, SPLIT, True), _claims_by(spark, folder, SPLIT, False)
+    return keyed.merge_upsert(old, new, ["claim_id"], ["claim_status", "claim_amount"], source_is_unique=True)
+
+
+@query("merge_twice", "", "SELECT CAST(0 AS BIGINT) AS differing_rows")
+def merge_twice(spark, folder):
+    """The same batch merged twice leaves the table as it was."""
+    old, new = _claims_by(spark, folder, SPLIT, True), _claims_by(spark, folder, SPLIT, False)
+    columns = ["claim_status", "claim_amount"]
+    once = keyed.merge_upsert(old, new, ["claim_id"], columns, source_is_unique=True)
+    twice = keyed.merge_upsert(once, new, ["claim_id"], columns, source_is_unique=True)
+    return changelog.snapshot_diff(once, twice, ["claim_id"]).agg(F.count(F.lit(1)).alias("differing_rows"))
+
+
+@query("merge_update_if", "claims_bronze", f"""
+    SELECT o.claim_id, o.patient_id, o.provider_id, o.claim_date, o.claim_amount,
+           CASE WHEN o.claim_status = 'PENDING' AND n.claim_id IS NOT NULL THEN n.claim_status ELSE o.claim_status END AS claim_status
+    FROM {_OLD} o LEFT JOIN {_NEW} n ON o.claim_id = n.claim_id""")
+def merge_update_if(spark, folder):
+    """Only pending claims take the later status; nothing is inserted."""
+    old, new = _claims_by(spark, folder, SPLIT, True), _claims_by(spark, folder, SPLIT, False)
+    return keyed.merge_update_if(old, new, ["claim_id"], ["claim_status"], F.col("claim_status") == "PENDING")
+
+
+@query("snapshot_diff", "claims_bronze", f"""
+    WITH o AS (SELECT {CLAIM} FROM {_OLD}), n AS (SELECT {CLAIM} FROM {_NEW})
+    SELECT *, 'delete' AS _change_type FROM o WHERE claim_id NOT IN (SELECT claim_id FROM n)
+    UNION ALL SELECT *, 'insert' FROM n WHERE claim_id NOT IN (SELECT claim_id FROM o)
+    UNION ALL SELECT o.*, 'update_preimage' FROM o JOIN n ON o.claim_id = n.claim_id WHERE o IS DISTINCT FROM n
+    UNION ALL SELECT n.*, 'update_postimage' FROM o JOIN n ON o.claim_id = n.claim_id WHERE o IS DISTINCT FROM n""")
+def snapshot_diff(spark, folder):
+    old, new = _claims_by(spark, folder, SPLIT, True), _claims_by(spark, folder, SPLIT, False)
+    return changelog.snapshot_diff(old, new, ["claim_id"])
+
+
+@query("keyed_joins", "claims_bronze", f"""
+    SELECT 'both' AS part, count(*) AS claims FROM {_OLD} o WHERE claim_id IN (SELECT claim_id FROM {_NEW})
+    UNION ALL SELECT 'old_only', count(*) FROM {_OLD} o WHERE claim_id NOT IN (SELECT claim_id FROM {_NEW})
+    UNION ALL SELECT 'new_only', count(*) FROM {_NEW} n WHERE claim_id NOT IN (SELECT claim_id FROM {_OLD})""")
+def keyed_joins(spark, folder):
+    """Inner and anti joins on the key, put together by name."""
+    old, new = (_claims_by(spark, folder, SPLIT, side).select("claim_id") for side in (True, False))
+
+    def part(name, df):
+        return df.agg(F.count(F.lit(1)).alias("claims")).select(F.lit(name).alias("part"), "claims")
+
+    return (
+        part("both", old.join(new, "claim_id", "inner"))
+        .unionByName(part("old_only", old.join(new, "claim_id", "left_anti")))
+        .unionByName(part("new_only", new.join(old, "claim_id", "left_anti")))
+    )
+
+
+# A claim table with one commit per load year; a load of 49 units or more
+# withdraws the claim.
+LOG_COLUMNS = ["claim_id", "quantity", "amount", "status"]
+
+
+def claim_log(spark, folder):
+    lines = tables.table(spark, folder, "lineitem").select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("claim_id"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("amount"),
+        F.col("l_returnflag").alias("status"),
+        F.year("l_shipdate").cast("bigint").alias("version"),
+        F.make_date(F.year("l_shipdate"), F.lit(12), F.lit(31)).cast("timestamp_ntz").alias("stamp"),
+        F.col("l_shipdate").alias("loaded"),
+    )
+    newest = [F.col("loaded").desc(), F.col("amount").desc()]
+    log = changelog.log_commits(lines, ["claim_id"], "version", "stamp", newest, F.col("quantity") >= 49)
+    return log.select(*LOG_COLUMNS, *changelog.META)
+
+
+_STEPS = """
+    steps AS (SELECT * FROM (
+        SELECT l_orderkey || '-' || l_linenumber AS claim_id, l_quantity AS quantity, l_extendedprice AS amount,
+               l_returnflag AS status, year(l_shipdate) AS v,
+               row_number() OVER (PARTITION BY l_orderkey, l_linenumber, year(l_shipdate)
+                                  ORDER BY l_shipdate DESC, l_extendedprice DESC) AS rn
+        FROM lineitem) WHERE rn = 1),
+    pairs AS (SELECT *, lag({claim_id: claim_id, quantity: quantity, amount: amount, status: status})
+                  OVER (PARTITION BY claim_id ORDER BY v) AS o FROM steps),
+    flow AS (SELECT *, quantity >= 49 AS gone, o IS NOT NULL AND o.quantity < 49 AS had,
+                    {claim_id: claim_id, quantity: quantity, amount: amount, status: status} AS n FROM pairs),
+    log AS (SELECT r.claim_id AS claim_id, r.quantity AS quantity, r.amount AS amount, r.status AS status, _change_type,
+                   v AS _commit_version, CAST(make_date(v, 12, 31) AS TIMESTAMP) AS _commit_timestamp
+            FROM (SELECT v, o AS r, 'delete' AS _change_type FROM flow WHERE gone AND had
+                  UNION ALL SELECT v, n, 'insert' FROM flow WHERE NOT gone AND NOT had
+                  UNION ALL SELECT v, o, 'update_preimage' FROM flow WHERE NOT gone AND had AND o IS DISTINCT FROM n
+                  UNION ALL SELECT v, n, 'update_postimage' FROM flow WHERE NOT gone AND had AND o IS DISTINCT FROM n))"""
+
+
+def _state(condition: str) -> str:
+    return f"""(SELECT claim_id, quantity, amount, status FROM (
+        SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY v DESC) AS r FROM steps WHERE {condition})
+        WHERE r = 1 AND quantity < 49)"""
+
+
+@query("change_feed", "", f"WITH {_STEPS} SELECT * FROM log")
+def change_feed(spark, folder):
+    return claim_log(spark, folder)
+
+
+@query("changes_between", "", f"WITH {_STEPS} SELECT * FROM log WHERE _commit_version BETWEEN 1998 AND 1999")
+def changes_between(spark, folder):
+    return changelog.changes(claim_log(spark, folder), 1998, 1999)
+
+
+@query("newest_changes", "", f"""WITH {_STEPS} SELECT * FROM log WHERE _commit_version >= 1996
+    ORDER BY _commit_timestamp DESC, _commit_version DESC, claim_id, _change_type LIMIT 20""")
+def newest_changes(spark, folder):
+    return changelog.newest_changes(claim_log(spark, folder), 1996, ["claim_id"])
+
+
+@query("change_counts", "", f"WITH {_STEPS} SELECT _change_type, count(*) AS row_count FROM log WHERE _commit_version >= 1996 GROUP BY ALL")
+def change_counts(spark, folder):
+    return changelog.change_counts(claim_log(spark, folder), 1996)
+
+
+@query("as_of_version", "", f"WITH {_STEPS} SELECT * FROM {_state('v <= 1998')}")
+def as_of_version(spark, folder):
+    return changelog.as_of(claim_log(spark, folder), ["claim_id"], version=1998)
+
+
+@query("as_of_timestamp", "", f"WITH {_STEPS} SELECT * FROM {_state('v <= 1999')}")
+def as_of_timestamp(spark, folder):
+    at = F.lit("2000-06-01 00:00:00").cast("timestamp_ntz")
+    return changelog.as_of(claim_log(spark, folder), ["claim_id"], timestamp=at)
+
+
+@query("net_new_rows", "", f"""WITH {_STEPS} SELECT b AS rows_before, a AS rows_after, a - b AS net_new_rows
+    FROM (SELECT (SELECT count(*) FROM {_state('v <= 1997')}) AS b, (SELECT count(*) FROM {_state('v <= 2000')}) AS a)""")
+def net_new_rows(spark, folder):
+    return changelog.net_new_rows(claim_log(spark, folder), 1997, 2000)
+
+
+@query("restore_diff", "", f"""WITH {_STEPS}, o AS (FROM {_state('true')}), n AS (FROM {_state('v <= 1998')})
+    SELECT *, CAST(2100 AS BIGINT) AS _commit_version, TIMESTAMP '2100-01-01' AS _commit_timestamp FROM (
+        SELECT *, 'delete' AS _change_type FROM o WHERE claim_id NOT IN (SELECT claim_id FROM n)
+        UNION ALL SELECT *, 'insert' FROM n WHERE claim_id NOT IN (SELECT claim_id FROM o)
+        UNION ALL SELECT o.*, 'update_preimage' FROM o JOIN n ON o.claim_id = n.claim_id WHERE o IS DISTINCT FROM n
+        UNION ALL SELECT n.*, 'update_postimage' FROM o JOIN n ON o.claim_id = n.claim_id WHERE o IS DISTINCT FROM n)""")
+def restore_diff(spark, folder):
+    stamp = F.lit("2100-01-01 00:00:00").cast("timestamp_ntz")
+    return changelog.restore(claim_log(spark, folder), ["claim_id"], 1998, 2100, stamp)
+
+
+@query("log_history", "", f"""WITH {_STEPS} SELECT _commit_version, max(_commit_timestamp) AS _commit_timestamp,
+    count(*) FILTER (_change_type = 'insert') AS rows_inserted, count(*) FILTER (_change_type = 'update_postimage') AS rows_updated,
+    count(*) FILTER (_change_type = 'delete') AS rows_deleted FROM log GROUP BY _commit_version""")
+def log_history(spark, folder):
+    return changelog.history(claim_log(spark, folder))
+
+
+_CUT = "TIMESTAMP '1999-01-01'"
+
+
+@query("log_retention", "", f"""WITH {_STEPS} SELECT * FROM log WHERE _commit_timestamp >= {_CUT}
+    UNION ALL SELECT * EXCLUDE (r) REPLACE ('insert' AS _change_type) FROM (
+        SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY _commit_version DESC) AS r FROM log
+        WHERE _commit_timestamp < {_CUT} AND _change_type <> 'update_preimage') WHERE r = 1 AND _change_type <> 'delete'""")
+def log_retention(spark, folder):
+    cut = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
+    return changelog.fold_before(claim_log(spark, folder), ["claim_id"], cut)
+
+
+@query("log_retention_dry_run", "", f"""WITH {_STEPS}, old AS (SELECT * FROM log WHERE _commit_timestamp < {_CUT})
+    SELECT count(*) AS rows_older, count(*) - (SELECT count(*) FROM {_state('v <= 1998')}) AS rows_removed FROM old""")
+def log_retention_dry_run(spark, folder):
+    cut = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
+    return changelog.fold_dry_run(claim_log(spark, folder), ["claim_id"], cut)
+
+
+@query("evolved_append", "claims_fact provider_dim", """
+    SELECT provider_id, network_status, CAST(NULL AS VARCHAR) AS npi FROM provider_dim
+    UNION ALL SELECT provider_id, network_status, npi FROM provider_dim""")
+def evolved_append(spark, folder):
+    dim = model.provider_dim(spark, folder)
+    return keyed.evolve_union(
+        dim.select("provider_id", "network_status"), dim.select("provider_id", "network_status", "npi")
+    )

@@ -1 +1,139 @@
+"""Streams that read the given tables to their end and report what was stored."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyward.operators import history, quality
+from tallyward.operators.quality import RuleSet
+from tallyward.queries.registry import query
+from tallyward.session import shared_folder
+from tallyward.sources import model
+from tallyward.streaming import admissions, sinks
+from tallyward.streaming.sources import csv_stream, table_stream
+
+
+def er_stream(spark, folder):
+    return admissions.cleanse(model.as_admissions(table_stream(spark, f"{folder}/events.parquet")))
+
+
+def patient_stream(spark, folder):
+    return table_stream(spark, f"{folder}/orders.parquet").select(
+        F.col("o_custkey").cast("string").alias("patient_id"),
+        F.col("o_orderpriority").alias("insurance_plan"),
+        F.col("o_totalprice").alias("last_billed"),
+        (F.col("o_custkey") % 9).cast("int").alias("chronic_conditions"),
+        F.to_date("o_orderdate").alias("event_date"),
+        F.col("o_orderkey").alias("event_no"),
+    )
+
+
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def finish(started) -> None:
+    started.awaitTermination()
+
+
+def plain_times(df, *names):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in names})
+
+
+HOURLY = """SELECT date_trunc('hour', admitted_at) AS window_start, date_trunc('hour', admitted_at) + INTERVAL 1 HOUR AS window_end,
+    department, count(*) AS admission_count, avg(severity) AS avg_severity,
+    CAST(sum(stay_s) AS DOUBLE) / 3600.0::DOUBLE / count(stay_s) AS avg_los_hours,
+    count(DISTINCT patient_id) AS unique_patients, count(*) FILTER (los_hours > 4) AS long_stay_count
+    FROM er_silver GROUP BY ALL"""
+
+
+@query("stream_hourly", "er_silver", f"""
+    SELECT * FROM ({HOURLY}) WHERE window_end <= (SELECT max(admitted_at) FROM er_silver) - INTERVAL 2 HOUR""")
+def stream_hourly(spark, folder):
+    """Append output: only windows that the watermark has closed."""
+    out = shared_folder(spark, "hourly")
+    finish(sinks.append_table(admissions.hourly_departments(er_stream(spark, folder)), f"{out}/t", f"{out}/c"))
+    return plain_times(spark.read.parquet(f"{out}/t"), "window_start", "window_end")
+
+
+@query("stream_upsert", "er_silver", HOURLY)
+def stream_upsert(spark, folder):
+    """Update output upserted by key: every window, open ones included."""
+    out, keys = shared_folder(spark, "gold"), ["window_start", "department"]
+    finish(sinks.gold_upsert_stream(
+        admissions.hourly_departments(er_stream(spark, folder)), f"{out}/t", f"{out}/c", keys))
+    return plain_times(sinks.gold_state(spark, f"{out}/t", keys), "window_start", "window_end")
+
+
+@query("batch_hourly", "er_silver", HOURLY)
+def batch_hourly(spark, folder):
+    return plain_times(admissions.hourly_departments(model.er_silver(spark, folder)), "window_start", "window_end")
+
+
+ALERTS = """SELECT admission_id, patient_id, department, severity,
+    CASE WHEN severity = 5 THEN 'CRITICAL' ELSE 'HIGH' END AS alert_level, admitted_at, provider_id, diagnosis_code
+    FROM er_silver WHERE severity >= 4"""
+
+
+@query("stream_alerts", "er_silver", ALERTS)
+def stream_alerts(spark, folder):
+    out = shared_folder(spark, "alerts")
+    finish(sinks.append_table(admissions.alerts(er_stream(spark, folder)), f"{out}/t", f"{out}/c"))
+    return plain_times(spark.read.parquet(f"{out}/t"), "admitted_at")
+
+
+CLEAN = """SELECT admission_id, patient_id, department, severity, admitted_at, discharged_at, los_hours, provider_id, diagnosis_code
+    FROM er_silver"""
+
+
+@query("stream_cleanse", "er_silver", CLEAN)
+def stream_cleanse(spark, folder):
+    out = shared_folder(spark, "clean")
+    checked = quality.apply_rules(er_stream(spark, folder).drop("_ingest_ts"), RuleSet.admissions())
+    finish(sinks.append_table(checked, f"{out}/t", f"{out}/c"))
+    return plain_times(spark.read.parquet(f"{out}/t"), "admitted_at", "discharged_at")
+
+
+@query("stream_csv_ingest", "er_silver", CLEAN)
+def stream_csv_ingest(spark, folder):
+    """Admissions land as CSV files and are read back as a stream whose types
+    are inferred once and kept."""
+    out = shared_folder(spark, "csv")
+    landing = model.er_admissions(spark, folder).drop("_ingest_ts")
+    landing.repartition(4, "admission_id").write.option("header", True).option("timestampFormat", MICROS).csv(f"{out}/landing")
+    raw = csv_stream(spark, f"{out}/landing", schema_file=f"{out}/schema", files_per_batch=2)
+    ids = ["admission_id", "patient_id", "provider_id", "diagnosis_code"]
+    silver = admissions.cleanse(raw.withColumns({c: F.col(c).cast("string") for c in ids}))
+    finish(sinks.append_table(silver.drop("_ingest_ts", "_source_file"), f"{out}/t", f"{out}/c"))
+    return plain_times(spark.read.parquet(f"{out}/t"), "admitted_at", "discharged_at")
+
+
+@query("stream_dedup", "er_admissions", "SELECT admission_id, admitted_at FROM er_admissions")
+def stream_dedup(spark, folder):
+    """Every admission sent twice is kept once."""
+    out = shared_folder(spark, "dedup")
+    rows = er_stream(spark, folder).select("admission_id", "admitted_at")
+    single = admissions.first_within_watermark(rows.union(rows), "admitted_at", ["admission_id"])
+    finish(sinks.append_table(single, f"{out}/t", f"{out}/c"))
+    return plain_times(spark.read.parquet(f"{out}/t"), "admitted_at")
+
+
+KEY, SEQUENCE, TRACKED = model.PATIENT_KEY, model.PATIENT_SEQUENCE, model.PATIENT_TRACKED
+
+
+@query("stream_scd1", "patient_changes", """
+    SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY event_date DESC, event_no DESC) AS rn
+    FROM patient_changes) WHERE rn = 1""")
+def stream_scd1(spark, folder):
+    out = shared_folder(spark, "scd1")
+    finish(sinks.scd1_stream(patient_stream(spark, folder), f"{out}/t", f"{out}/c", KEY, SEQUENCE))
+    return sinks.scd1_state(spark, f"{out}/t", KEY, SEQUENCE)
+
+
+@query("stream_scd2", "patient_versions", """SELECT patient_id, insurance_plan, last_billed, chronic_conditions, event_no,
+    start_at AS "__START_AT", end_at AS "__END_AT", is_current AS "__IS_CURRENT" FROM patient_versions""")
+def stream_scd2(spark, folder):
+    out = shared_folder(spark, "scd2")
+    finish(sinks.scd2_stream(patient_stream(spark, folder), f"{out}/t", f"{out}/c", KEY))
+    columns = ["patient_id", "insurance_plan", "last_billed", "chronic_conditions", "event_no",
+               history.START, history.END, history.CURRENT]
+    return sinks.scd2_state(spark, f"{out}/t", KEY, SEQUENCE, TRACKED).select(*columns)

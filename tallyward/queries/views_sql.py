@@ -162,4 +162,7 @@ def with_views(names: list[str], sql: str) -> str:
     if not bodies:
         return sql.strip()
     head = ",\n".join(f"{name} AS ({body.strip()})" for name, body in bodies.items())
-    return f"WITH {head}\n{sql.strip()}"
+    body = sql.strip()
+    if body.startswith("WITH "):
+        return f"WITH {head},\n{body[5:]}"
+    return f"WITH {head}\n{body}"
