@@ -1 +1,96 @@
+"""Rewritten layouts hold the same rows; statistics describe their files."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyward.operators import layout
+from tallyward.queries.gold_queries import CLAIM_COLUMNS, monthly
+from tallyward.queries.registry import query
+from tallyward.session import shared_folder
+from tallyward.sources import model
+
+ALL_CLAIMS = f"SELECT {CLAIM_COLUMNS} FROM claims_fact"
+
+
+def claims(spark, folder):
+    return model.claims_fact(spark, folder).select(*CLAIM_COLUMNS.split(", "))
+
+
+@query("clustered_gold", "monthly_claims_summary", "SELECT * FROM monthly_claims_summary")
+def clustered_gold(spark, folder):
+    out = shared_folder(spark, "gold")
+    return spark.read.parquet(layout.write_clustered(monthly(spark, folder), out, ["claim_month", "payer_id"]))
+
+
+@query("zorder_layout", "claims_fact", ALL_CLAIMS)
+def zorder_layout(spark, folder):
+    out = shared_folder(spark, "zorder")
+    return spark.read.parquet(layout.write_z_ordered(claims(spark, folder), out, ["patient_id", "claim_date"], 16))
+
+
+@query("zorder_admissions", "er_silver", "SELECT admission_id, department, admitted_at FROM er_silver")
+def zorder_admissions(spark, folder):
+    out = shared_folder(spark, "zorder-er")
+    rows = model.er_silver(spark, folder).select("admission_id", "department", "admitted_at")
+    placed = spark.read.parquet(layout.write_z_ordered(rows, out, ["admitted_at", "department"], 8))
+    return placed.withColumn("admitted_at", F.col("admitted_at").cast("timestamp_ntz"))
+
+
+@query("compact", "claims_fact", ALL_CLAIMS)
+def compact(spark, folder):
+    out = shared_folder(spark, "compact")
+    claims(spark, folder).repartition(32, "claim_id").write.parquet(f"{out}/small")
+    return spark.read.parquet(layout.compact(spark, f"{out}/small", f"{out}/large"))
+
+
+@query("rebalanced_write", "claims_fact", ALL_CLAIMS)
+def rebalanced_write(spark, folder):
+    out = shared_folder(spark, "even")
+    return spark.read.parquet(layout.rewrite_rebalanced(claims(spark, folder), out, ["patient_id"]))
+
+
+@query("file_stats", "claims_fact", """
+    SELECT count(*) AS row_count, min(claim_date) AS min_claim_date, max(claim_date) AS max_claim_date,
+           min(patient_id) AS min_patient_id, max(patient_id) AS max_patient_id FROM claims_fact""")
+def file_stats(spark, folder):
+    """Statistics per file, brought together: the files cover the table."""
+    out = shared_folder(spark, "stats")
+    layout.write_clustered(claims(spark, folder), out, ["claim_date"], files=8)
+    per_file = layout.file_stats(spark.read.parquet(out), ["claim_date", "patient_id"])
+    return per_file.agg(
+        F.sum("row_count").alias("row_count"),
+        F.min("min_claim_date").alias("min_claim_date"),
+        F.max("max_claim_date").alias("max_claim_date"),
+        F.min("min_patient_id").alias("min_patient_id"),
+        F.max("max_patient_id").alias("max_patient_id"),
+    )
+
+
+@query("lookup_probe")
+def lookup_probe(spark, folder):
+    """Files a patient lookup opens, before and after Z-ordering."""
+    out = shared_folder(spark, "probe")
+    rows = claims(spark, folder)
+    rows.repartition(16, "claim_id").write.parquet(f"{out}/plain")
+    layout.write_z_ordered(rows, f"{out}/z", ["patient_id", "claim_date"], 16)
+
+    def probe(name):
+        stats = layout.file_stats(spark.read.parquet(f"{out}/{name}"), ["patient_id"])
+        return layout.files_to_read(stats, "patient_id", "7").select(F.lit(name).alias("layout"), "files", "files_read", "rows_read")
+
+    return probe("plain").unionByName(probe("z"))
+
+
+@query("point_lookup", "claims_fact", "SELECT count(*) AS claims FROM claims_fact WHERE patient_id = '7'")
+def point_lookup(spark, folder):
+    return model.claims_fact(spark, folder).filter(F.col("patient_id") == "7").agg(F.count(F.lit(1)).alias("claims"))
+
+
+@query("column_statistics", "claims_bronze", """
+    SELECT 'claim_date' AS column_name, count(*) FILTER (claim_date IS NULL) AS null_count,
+           CAST(min(claim_date) AS VARCHAR) AS min_value, CAST(max(claim_date) AS VARCHAR) AS max_value FROM claims_bronze
+    UNION ALL SELECT 'payer_id', count(*) FILTER (payer_id IS NULL), min(payer_id), max(payer_id) FROM claims_bronze""")
+def column_statistics(spark, folder):
+    # The sketched distinct count differs by engine and is left out here.
+    return layout.column_statistics(model.claims_bronze(spark, folder), ["claim_date", "payer_id"]).drop("approx_distinct")

@@ -1 +1,194 @@
+"""Enrichment, similarity search and prompt context."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallyward.operators import enrich, search
+from tallyward.plans import gold
+from tallyward.queries.gold_queries import trends
+from tallyward.queries.registry import query
+from tallyward.sources import model
+from tallyward.sources.tables import table
+
+_DESCRIBE = """'Describe the ' || CASE WHEN chronic_flag THEN 'chronic' ELSE 'acute' END || ' condition ' || icd10_code || ' ('
+    || description || '), category ' || category || ', for a clinician: what it is, its features and its management. '
+    || 'At most three sentences, no bullets.'"""
+_EXPLAIN = """'Explain code ' || icd10_code || ' (' || description || ') to a patient. Answer as JSON with the keys plain_english, '
+    || 'symptoms and treatment, one sentence each.'"""
+
+
+@query("pending_rows", "diagnosis_dim",
+       "SELECT icd10_code, description, category, chronic_flag FROM diagnosis_dim WHERE ai_description IS NULL")
+def pending_rows(spark, folder):
+    return enrich.pending(model.diagnosis_dim(spark, folder)).orderBy("icd10_code")
+
+
+@query("enrich_pending", "diagnosis_dim", f"""
+    SELECT icd10_code, 'Answer to: ' || {_DESCRIBE} AS ai_description FROM diagnosis_dim WHERE ai_description IS NULL""")
+def enrich_pending(spark, folder):
+    return enrich.describe_pending(model.diagnosis_dim(spark, folder))
+
+
+@query("enrich_merge", "diagnosis_dim", f"""
+    SELECT icd10_code, description, category, chronic_flag,
+           coalesce(ai_description, 'Answer to: ' || {_DESCRIBE}) AS ai_description FROM diagnosis_dim""")
+def enrich_merge(spark, folder):
+    dim = model.diagnosis_dim(spark, folder)
+    return enrich.write_back(dim, enrich.describe_pending(dim))
+
+
+@query("enrich_coverage", "diagnosis_dim", """
+    SELECT count(*) AS total_codes, count(ai_description) AS enriched_codes, count(*) - count(ai_description) AS pending_codes,
+           round(count(ai_description) / count(*) * 100, 1) AS coverage_pct FROM diagnosis_dim""")
+def enrich_coverage(spark, folder):
+    return enrich.coverage(model.diagnosis_dim(spark, folder))
+
+
+@query("enrich_preview", "diagnosis_dim", """
+    SELECT icd10_code, description, substr(ai_description, 1, 100) AS ai_desc_preview FROM diagnosis_dim
+    WHERE ai_description IS NOT NULL""")
+def enrich_preview(spark, folder):
+    return enrich.preview(model.diagnosis_dim(spark, folder))
+
+
+@query("json_extract", "diagnosis_dim", f"""
+    SELECT icd10_code, description, {_EXPLAIN} AS plain_english, length({_EXPLAIN}) || ' characters' AS symptoms,
+           'rest' AS treatment FROM diagnosis_dim WHERE ai_description IS NULL""")
+def json_extract(spark, folder):
+    return enrich.explain(model.diagnosis_dim(spark, folder))
+
+
+@query("triage_labels", "er_silver", """
+    SELECT admission_id, diagnosis_code, severity, los_hours,
+           CASE severity WHEN 5 THEN 'IMMEDIATE' WHEN 4 THEN 'URGENT' ELSE 'LESS_URGENT' END AS priority,
+           'severity ' || severity || ' of 5' AS rationale FROM er_silver WHERE severity >= 3""")
+def triage_labels(spark, folder):
+    return enrich.triage(model.er_silver(spark, folder))
+
+
+@query("claim_history_json", "claims_fact", """
+    SELECT patient_id, part, count(*) AS claim_count,
+           CAST(to_json(list({claim_date: claim_date, diagnosis_code: diagnosis_code, claim_amount: claim_amount,
+                              claim_status: claim_status} ORDER BY n)) AS VARCHAR) AS claims_json
+    FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY claim_date, claim_id) AS n,
+                 CAST((row_number() OVER (PARTITION BY patient_id ORDER BY claim_date, claim_id) - 1) // 20 AS INTEGER) AS part
+          FROM claims_fact) GROUP BY patient_id, part""")
+def claim_history_json(spark, folder):
+    documents = enrich.claim_documents(model.claims_fact(spark, folder), per_part=20)
+    return documents.drop("prompt")
+
+
+@query("event_properties", "", """
+    SELECT event_id, CAST(props ->> '$.k' AS INTEGER) AS k, props ->> '$.k' AS k_text FROM events""")
+def event_properties(spark, folder):
+    return table(spark, folder, "events").select(
+        "event_id",
+        F.from_json("props", "k INT")["k"].alias("k"),
+        F.get_json_object("props", "$.k").alias("k_text"),
+    )
+
+
+# Search: diagnosis codes with vectors form the index; the questions are the
+# mean vectors of the labels.
+def diagnosis_index(spark, folder):
+    vectors = table(spark, folder, "embeddings").select(F.col("vec_id").cast("string").alias("icd10_code"), "embedding")
+    return model.diagnosis_dim(spark, folder).join(vectors, "icd10_code")
+
+
+def label_questions(spark, folder):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    vectors = table(spark, folder, "embeddings").select("label", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    means = vectors.groupBy("label").agg(Summarizer.mean(F.col("v")).alias("m"))
+    return means.select(
+        "label", vector_to_array("m").alias("question_vector"), F.format_string("What marks group %d?", "label").alias("question_text")
+    )
+
+
+_TOP = """
+    mean AS (SELECT label, list(m ORDER BY pos) AS q FROM (
+        SELECT label, pos, avg(x) AS m FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings)
+        GROUP BY label, pos) GROUP BY label),
+    idx AS (SELECT d.*, embedding::DOUBLE[] AS e FROM diagnosis_dim d JOIN embeddings ON icd10_code = CAST(vec_id AS VARCHAR) WHERE {where}),
+    top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, icd10_code) AS rank
+            FROM (SELECT label, icd10_code, round(list_cosine_similarity(e, q), 9) AS score FROM idx, mean)) WHERE rank <= {k})"""
+
+
+def nearest(spark, folder, where=None, k=5):
+    index = diagnosis_index(spark, folder)
+    if where is not None:
+        index = index.filter(where)
+    return search.similarity_topk(index, "icd10_code", "embedding", label_questions(spark, folder), "label", "question_vector", k)
+
+
+def rounded(hits):
+    return hits.withColumn("score", F.round("score", 6))
+
+
+@query("vector_topk", "diagnosis_dim", f"""WITH {_TOP.format(where="true", k=5)}
+    SELECT label, icd10_code, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM top""")
+def vector_topk(spark, folder):
+    return rounded(nearest(spark, folder))
+
+
+@query("vector_topk_filtered", "diagnosis_dim", f"""WITH {_TOP.format(where="category = 'ECONOMY' AND chronic_flag", k=3)}
+    SELECT label, icd10_code, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM top""")
+def vector_topk_filtered(spark, folder):
+    return rounded(nearest(spark, folder, (F.col("category") == "ECONOMY") & F.col("chronic_flag"), 3))
+
+
+@query("rag_context", "diagnosis_dim diagnosis_trends", f"""WITH {_TOP.format(where="true", k=5)},
+    stat AS (SELECT diagnosis_code, CAST(sum(claim_count) AS BIGINT) AS n FROM diagnosis_trends GROUP BY ALL)
+    SELECT label, CAST(count(*) AS INTEGER) AS context_docs,
+           'Answer the question from the context. Say so if the context does not suffice.' || chr(10) || 'CONTEXT:' || chr(10)
+           || string_agg('- [' || t.icd10_code || '] ' || description || ': ' || coalesce(ai_description, 'N/A'), chr(10) ORDER BY rank)
+           || chr(10) || 'CLAIMS:' || chr(10)
+           || coalesce(string_agg(t.icd10_code || ': ' || n || ' claims', chr(10) ORDER BY rank), '')
+           || chr(10) || 'QUESTION: What marks group ' || label || '?' AS prompt
+    FROM top t JOIN diagnosis_dim d ON t.icd10_code = d.icd10_code LEFT JOIN stat ON diagnosis_code = t.icd10_code
+    GROUP BY label""")
+def rag_context(spark, folder):
+    stats = gold.claim_stats(trends(spark, folder)).withColumnRenamed("diagnosis_code", "icd10_code")
+    label = F.concat(
+        F.lit("["), F.col("icd10_code"), F.lit("] "), F.col("description"), F.lit(": "), F.coalesce("ai_description", F.lit("N/A"))
+    )
+    return search.context_prompts(
+        nearest(spark, folder), model.diagnosis_dim(spark, folder), "icd10_code", label,
+        label_questions(spark, folder), "label", "question_text",
+        stats, F.concat(F.col("icd10_code"), F.lit(": "), F.col("total_claims").cast("string"), F.lit(" claims")),
+    )
+
+
+@query("index_ready", "diagnosis_dim", """
+    SELECT count(ai_description) AS enriched, count(ai_description) >= 10 AS ready FROM diagnosis_dim""")
+def index_ready(spark, folder):
+    return search.ready_to_index(model.diagnosis_dim(spark, folder))
+
+
+@query("index_sync", "", """
+    SELECT doc_id, 'insert' AS action, md5(text) AS text_hash, length(text) AS chars FROM documents WHERE doc_id % 10 = 0
+    UNION ALL SELECT doc_id, 'update', md5(text), length(text) FROM documents WHERE doc_id % 10 = 1
+    UNION ALL SELECT -1 - doc_id, 'delete', NULL, NULL FROM documents WHERE doc_id % 10 = 2""")
+def index_sync(spark, folder):
+    """The index at hand lacks some documents, has old text of others and
+    still holds a few that are gone."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    group = F.col("doc_id") % 10
+    known = docs.filter(group != 0).select(
+        "doc_id", F.md5(F.when(group == 1, F.concat("text", F.lit(" old"))).otherwise(F.col("text"))).alias("text_hash")
+    )
+    gone = docs.filter(group == 2).select((-1 - F.col("doc_id")).alias("doc_id"), F.md5("text").alias("text_hash"))
+    plan = search.sync_plan(known.unionByName(gone), docs, "doc_id", "text")
+    return plan.select("doc_id", "action", "text_hash", F.length("text").cast("bigint").alias("chars"))
+
+
+@query("text_search")
+def text_search(spark, folder):
+    """Benchmark passages looked up in the documents by TF-IDF vectors."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    fitted = search.fit_text_vectors(docs, "text")
+    questions = search.embed_text(fitted, table(spark, folder, "benchmark")).select("item_id", "embedding")
+    index = search.embed_text(fitted, docs)
+    return search.similarity_topk(index, "doc_id", "embedding", questions, "item_id", "embedding", 5)
