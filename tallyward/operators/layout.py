@@ -32,17 +32,19 @@ def write_clustered(df: DataFrame, folder: str, columns: list[str], files: int |
     return folder
 
 
-def _bounds(df: DataFrame, column: str, cells: int) -> list:
-    """Cut points of about equal shares, from a bounded sample of one column.
-    They steer only the layout; every row is kept whatever they are."""
-    rows = df.count()
-    if rows == 0:
-        return []
-    share = min(1.0, SAMPLE_ROWS / rows)
-    picked = df.select(column).filter(F.col(column).isNotNull()).sample(share, seed=7).limit(2 * SAMPLE_ROWS)
-    values = sorted(r[0] for r in picked.collect())
-    cuts = [values[len(values) * i // cells] for i in range(1, cells)] if values else []
-    return sorted(set(cuts))
+def _cuts(stored: DataFrame, columns: list[str], cells: int) -> list[list]:
+    """Cut points of about equal shares per column, from one bounded sample.
+
+    They steer only the layout; every row is kept whatever they are. Counting
+    a stored table reads file footers, and the sample reads these columns only.
+    """
+    share = min(1.0, SAMPLE_ROWS / max(1, stored.count()))
+    picked = stored.select(*columns).sample(share, seed=7).limit(2 * SAMPLE_ROWS).collect()
+    found = []
+    for c in columns:
+        values = sorted(r[c] for r in picked if r[c] is not None)
+        found.append(sorted({values[len(values) * i // cells] for i in range(1, cells)}) if values else [])
+    return found
 
 
 def _cell(column: str, cuts: list) -> Column:
@@ -57,28 +59,31 @@ def _cell(column: str, cuts: list) -> Column:
     return F.when(F.col(column).isNull(), F.lit(0)).otherwise(choose(0, len(cuts))).cast("bigint")
 
 
-def z_value(df: DataFrame, columns: list[str], bits: int = 5) -> Column:
-    """Interleaved bits of the columns' cells."""
-    cells = [_cell(c, _bounds(df, c, 2**bits)) for c in columns]
+def with_z_value(stored: DataFrame, columns: list[str], bits: int = 5) -> DataFrame:
+    """Add ``_z``, the interleaved bits of the columns' cells. The cells get
+    columns of their own, so that each is computed once per row."""
+    cells = {f"_cell{i}": _cell(c, cuts) for i, (c, cuts) in enumerate(zip(columns, _cuts(stored, columns, 2**bits), strict=True))}
     parts = [
-        F.shiftleft(F.shiftright(cell, bit).bitwiseAND(F.lit(1)), bit * len(columns) + place)
+        F.shiftleft(F.shiftright(name, bit).bitwiseAND(F.lit(1)), bit * len(columns) + place)
         for bit in range(bits)
-        for place, cell in enumerate(cells)
+        for place, name in enumerate(cells)
     ]
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+    z = reduce(lambda a, b: a.bitwiseOR(b), parts)
+    return stored.withColumns(cells).withColumn("_z", z).drop(*cells)
 
 
-def write_z_ordered(df: DataFrame, folder: str, columns: list[str], files: int, bits: int = 5) -> str:
-    """Overwrite a folder so that each file covers a small range of every column."""
-    placed = df.withColumn("_z", z_value(df, columns, bits))
+def z_order(spark: SparkSession, source: str, target: str, columns: list[str], files: int, bits: int = 5) -> str:
+    """Rewrite a stored table so that each file covers a small range of every column."""
+    stored = spark.read.parquet(source)
+    placed = with_z_value(stored, columns, bits)
     (
-        placed.repartitionByRange(files, "_z", spread(df))
+        placed.repartitionByRange(files, "_z", spread(stored))
         .sortWithinPartitions("_z")
         .drop("_z")
         .write.mode("overwrite")
-        .parquet(folder)
+        .parquet(target)
     )
-    return folder
+    return target
 
 
 def folder_bytes(spark: SparkSession, folder: str) -> DataFrame:

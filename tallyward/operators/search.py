@@ -71,20 +71,15 @@ def similarity_topk(
     """
     asked = questions.select(F.col(question), F.col(question_vector).alias("vector"))
     count = asked.count()
-    slices = max(1, -(-count * 2 // QUESTIONS_PER_PASS)) if count > QUESTIONS_PER_PASS else 1
+    # Twice the slices needed on average, so that uneven hashing stays in bounds.
+    slices = 1 if count <= QUESTIONS_PER_PASS else -(-2 * count // QUESTIONS_PER_PASS)
     schema = StructType([questions.schema[question], index.schema[key], StructField("score", DoubleType())])
-    found = None
+    found = index.sparkSession.createDataFrame([], schema)
     for i in range(slices):
         part = asked if slices == 1 else asked.filter(F.pmod(F.xxhash64(question), F.lit(slices)) == i)
         local = part.toPandas()
-        if local.empty and i < slices - 1:
-            continue
-        if local.empty and found is None:
-            return index.sparkSession.createDataFrame([], StructType([*schema.fields])).withColumn("rank", F.lit(1))
-        if local.empty:
-            continue
-        one = _one_pass(index, key, vector, local, question, k, schema)
-        found = one if found is None else found.unionByName(one)
+        if not local.empty:
+            found = found.unionByName(_one_pass(index, key, vector, local, question, k, schema))
     order = Window.partitionBy(question).orderBy(F.col("score").desc(), F.col(key))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 

@@ -26,14 +26,16 @@ def clustered_gold(spark, folder):
 @query("zorder_layout", "claims_fact", ALL_CLAIMS)
 def zorder_layout(spark, folder):
     out = shared_folder(spark, "zorder")
-    return spark.read.parquet(layout.write_z_ordered(claims(spark, folder), out, ["patient_id", "claim_date"], 16))
+    claims(spark, folder).write.parquet(f"{out}/plain")
+    return spark.read.parquet(layout.z_order(spark, f"{out}/plain", f"{out}/z", ["patient_id", "claim_date"], 16))
 
 
 @query("zorder_admissions", "er_silver", "SELECT admission_id, department, admitted_at FROM er_silver")
 def zorder_admissions(spark, folder):
     out = shared_folder(spark, "zorder-er")
     rows = model.er_silver(spark, folder).select("admission_id", "department", "admitted_at")
-    placed = spark.read.parquet(layout.write_z_ordered(rows, out, ["admitted_at", "department"], 8))
+    rows.write.parquet(f"{out}/plain")
+    placed = spark.read.parquet(layout.z_order(spark, f"{out}/plain", f"{out}/z", ["admitted_at", "department"], 8))
     return placed.withColumn("admitted_at", F.col("admitted_at").cast("timestamp_ntz"))
 
 
@@ -71,9 +73,8 @@ def file_stats(spark, folder):
 def lookup_probe(spark, folder):
     """Files a patient lookup opens, before and after Z-ordering."""
     out = shared_folder(spark, "probe")
-    rows = claims(spark, folder)
-    rows.repartition(16, "claim_id").write.parquet(f"{out}/plain")
-    layout.write_z_ordered(rows, f"{out}/z", ["patient_id", "claim_date"], 16)
+    claims(spark, folder).repartition(16, "claim_id").write.parquet(f"{out}/plain")
+    layout.z_order(spark, f"{out}/plain", f"{out}/z", ["patient_id", "claim_date"], 16)
 
     def probe(name):
         stats = layout.file_stats(spark.read.parquet(f"{out}/{name}"), ["patient_id"])
