@@ -67,9 +67,11 @@ def ask_model(
     batch: int = MODEL_BATCH,
     tries: int = MODEL_TRIES,
     pause: float = 1.0,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Add the model's answer to each row. Timeouts are tried again with
-    growing pauses; any other failure gives NULL."""
+    growing pauses; any other failure gives NULL. ``tasks`` spreads the rows
+    first, so that a small table still has many calls under way at once."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -80,16 +82,17 @@ def ask_model(
             yield frame.assign(**{out: pd.Series(answers, index=frame.index, dtype=object)})
 
     schema = StructType([*df.schema.fields, StructField(out, StringType())])
-    return df.withColumn("_prompt", prompt).mapInPandas(run, schema)
+    spread = df.repartition(tasks) if tasks else df
+    return spread.withColumn("_prompt", prompt).mapInPandas(run, schema)
 
 
 def pending(dim: DataFrame) -> DataFrame:
     return dim.filter(F.col("ai_description").isNull()).select("icd10_code", "description", "category", "chronic_flag")
 
 
-def describe_pending(dim: DataFrame, model: Model = offline_text) -> DataFrame:
+def describe_pending(dim: DataFrame, model: Model = offline_text, tasks: int | None = None) -> DataFrame:
     """Answers for the rows that have none; failed ones stay out."""
-    asked = ask_model(pending(dim), prompts.describe_prompt(), model, "ai_description")
+    asked = ask_model(pending(dim), prompts.describe_prompt(), model, "ai_description", tasks=tasks)
     return asked.filter(F.col("ai_description").isNotNull()).select("icd10_code", "ai_description")
 
 
@@ -126,13 +129,13 @@ def preview(dim: DataFrame) -> DataFrame:
     return rows.select("icd10_code", "description", F.substring("ai_description", 1, PREVIEW_CHARS).alias("ai_desc_preview"))
 
 
-def claim_documents(claims: DataFrame, per_part: int = 1000, hot_rows: int = hotkeys.HOT_ROWS) -> DataFrame:
+def claim_documents(claims: DataFrame, per_part: int = 1000, hot: int | DataFrame = hotkeys.HOT_ROWS) -> DataFrame:
     """The claims of each patient as JSON and as a prompt, oldest first.
 
     A patient with many claims gets several parts, so no row grows without
     bound and no task holds more than a slice of one patient.
     """
-    cut = hotkeys.cut_hot_keys(claims.filter(F.col("patient_id").isNotNull()), ["patient_id"], F.col("claim_date"), hot_rows)
+    cut = hotkeys.cut_hot_keys(claims.filter(F.col("patient_id").isNotNull()), ["patient_id"], F.col("claim_date"), hot)
     placed = hotkeys.numbered(cut, ["patient_id"], ["claim_date", "claim_id"])
     entry = F.struct("_n", "claim_date", "diagnosis_code", "claim_amount", "claim_status")
     part = F.floor((F.col("_n") - 1) / per_part).cast("int")

@@ -62,7 +62,7 @@ def scd2_versions(
     sequence: list[str],
     track: list[str],
     slice_by: Column | None = None,
-    hot_rows: int = hotkeys.HOT_ROWS,
+    hot: int | DataFrame = hotkeys.HOT_ROWS,
 ) -> DataFrame:
     """Versions of each key: a new one only when a tracked column changes.
 
@@ -77,7 +77,7 @@ def scd2_versions(
     when = sequence[0]
     plain = [c for c in events.columns if c not in keys and c not in sequence]
     cut = hotkeys.cut_hot_keys(
-        not_null(events, [*keys, when]), keys, F.to_date(F.col(when)) if slice_by is None else slice_by, hot_rows
+        not_null(events, [*keys, when]), keys, F.to_date(F.col(when)) if slice_by is None else slice_by, hot
     )
     look = hotkeys.neighbours(cut, keys, sequence, track, before="_before", after="_after")
     mine = F.struct(*track)
@@ -110,7 +110,7 @@ def scd2_apply(
     sequence: list[str],
     track: list[str],
     slice_by: Column | None = None,
-    hot_rows: int = hotkeys.HOT_ROWS,
+    hot: int | DataFrame = hotkeys.HOT_ROWS,
 ) -> DataFrame:
     """Fold change events into a versioned table.
 
@@ -119,7 +119,7 @@ def scd2_apply(
     through unread by any window. Late events open or split past versions.
     """
     if target is None:
-        return scd2_versions(changes, keys, sequence, track, slice_by, hot_rows)
+        return scd2_versions(changes, keys, sequence, track, slice_by, hot)
     changes = not_null(changes, [*keys, sequence[0]])
     touched = changes.select(*keys).distinct()
     stored = (
@@ -127,7 +127,7 @@ def scd2_apply(
         .withColumnRenamed(START, sequence[0])
         .select(*changes.columns)
     )
-    renewed = scd2_versions(stored.unionByName(changes), keys, sequence, track, slice_by, hot_rows)
+    renewed = scd2_versions(stored.unionByName(changes), keys, sequence, track, slice_by, hot)
     kept = target.join(touched, keys, "left_anti")
     return kept.unionByName(renewed.select(*kept.columns))
 
@@ -148,7 +148,7 @@ def version_at(
     at: str,
     attach: list[str],
     tie: list[str],
-    hot_rows: int = hotkeys.HOT_ROWS,
+    hot: int | DataFrame = hotkeys.HOT_ROWS,
 ) -> DataFrame:
     """Attach to each fact the version valid at its time.
 
@@ -175,7 +175,7 @@ def version_at(
         empty.cast(versions.select(payload.alias("x")).schema["x"].dataType).alias("_version"),
         F.struct(*carried).alias("_fact"),
     )
-    cut = hotkeys.cut_hot_keys(opens.unionByName(asks), keys, F.to_date(at), hot_rows)
+    cut = hotkeys.cut_hot_keys(opens.unionByName(asks), keys, F.to_date(at), hot)
     order = [at, "_kind", *[f"_tie_{i}" for i in range(len(tie))]]
     filled = hotkeys.last_known(cut, keys, order, "_version", "_valid")
     return filled.filter("_kind = 1").select(

@@ -20,16 +20,22 @@ HOT_ROWS = 1_000_000
 SLICE = "_slice"
 
 
-def cut_hot_keys(df: DataFrame, keys: list[str], slice_by: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_slice``: NULL for ordinary keys, ``slice_by`` for hot ones."""
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") >= hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with at least ``hot_rows`` rows, counted with map-side combine."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter(F.col("_rows") >= hot_rows).select(*keys)
+
+
+def cut_hot_keys(df: DataFrame, keys: list[str], slice_by: Column, hot: int | DataFrame = HOT_ROWS) -> DataFrame:
+    """Add ``_slice``: NULL for ordinary keys, ``slice_by`` for hot ones.
+
+    ``hot`` is a row bound, or the hot keys themselves when they can be had
+    from a cheaper source than ``df``. Slicing changes no result, so that
+    source may count differently. ``keys`` must not be NULL.
+    """
+    listed = hot if isinstance(hot, DataFrame) else hot_keys(df, keys, hot)
     return (
-        df.join(F.broadcast(hot), keys, "left")
+        df.join(F.broadcast(listed.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
         .withColumn(SLICE, F.when(F.col("_hot"), slice_by))
         .drop("_hot")
     )
@@ -114,15 +120,24 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], out: str = "_n")
 
 
 def ranked_descending(
-    df: DataFrame, keys: list[str], measure: str, step: float, out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, group: str, measure: str, step: float, out: str, hot: int | DataFrame = HOT_ROWS
 ) -> DataFrame:
-    """Add SQL ``rank()`` by ``measure`` descending, NULLs last.
+    """Add SQL ``rank()`` by ``measure`` descending within a text column, NULLs last.
 
     Slices of a hot group are value bands ``step`` wide. Equal values share a
     band, so a rank is the rows of all higher bands plus the rank in the band.
+    Rows without a group form one too, and that one is always sliced.
     """
+    keys = ["_group", "_no_group"]
+
+    def keyed(frame: DataFrame) -> DataFrame:
+        return frame.withColumns({"_group": F.coalesce(group, F.lit("")), "_no_group": F.col(group).isNull()})
+
+    rows = keyed(df)
+    listed = keyed(hot).select(*keys) if isinstance(hot, DataFrame) else hot_keys(rows, keys, hot)
+    no_group = df.sparkSession.createDataFrame([("", True)], "_group STRING, _no_group BOOLEAN")
     band = F.coalesce(-F.floor(F.col(measure) / F.lit(step)), F.lit(2**62)).cast("bigint")
-    cut = cut_hot_keys(df, keys, band, hot_rows)
+    cut = cut_hot_keys(rows, keys, band, listed.union(no_group).distinct())
     across = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     edges = _edges(cut, keys, [F.count(F.lit(1)).alias("_rows")]).select(
         *keys, SLICE, F.sum("_rows").over(across).alias("_skipped")
@@ -132,5 +147,5 @@ def ranked_descending(
         cut.withColumn(out, F.rank().over(near))
         .join(edges, [*keys, SLICE], "left")
         .withColumn(out, (F.col(out) + F.coalesce("_skipped", F.lit(0))).cast("bigint"))
-        .drop("_skipped", SLICE)
+        .drop("_skipped", SLICE, *keys)
     )

@@ -20,6 +20,7 @@ from tallyward.functions import prompts
 from tallyward.functions.fixed_values import INDEX_MIN_ROWS, TOP_K
 
 QUESTIONS_PER_PASS = 2000
+SCORES_AT_ONCE = 4_000_000
 SCORE_DIGITS = 9
 
 
@@ -36,24 +37,25 @@ def _best(frame: pd.DataFrame, question: str, key: str, k: int) -> pd.DataFrame:
 
 def _one_pass(index: DataFrame, key: str, vector: str, asked: pd.DataFrame, question: str, k: int, schema: StructType) -> DataFrame:
     ids, wanted = asked[question].to_numpy(), _matrix(asked["vector"])
+    step = max(1, SCORES_AT_ONCE // len(ids))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = None
         for frame in frames:
             frame = frame[frame[vector].notna()]
-            if frame.empty:
-                continue
-            keys = frame[key].to_numpy()
-            # Rounded before ranking, so equal vectors tie and the key decides.
-            scores = np.round(_matrix(frame[vector]) @ wanted.T, SCORE_DIGITS) + 0.0
-            if len(keys) > k:
-                # Everything not below the k-th best score stays, ties included.
-                bar = np.partition(scores, len(keys) - k, axis=0)[len(keys) - k]
-                row, column = np.nonzero(scores >= bar)
-            else:
-                row, column = np.indices(scores.shape).reshape(2, -1)
-            found = pd.DataFrame({question: ids[column], key: keys[row], "score": scores[row, column]})
-            best = _best(found if best is None else pd.concat([best, found]), question, key, k)
+            for at in range(0, len(frame), step):
+                part = frame.iloc[at : at + step]
+                keys = part[key].to_numpy()
+                # Rounded before ranking, so equal vectors tie and the key decides.
+                scores = np.round(_matrix(part[vector]) @ wanted.T, SCORE_DIGITS) + 0.0
+                if len(keys) > k:
+                    # Everything not below the k-th best score stays, ties included.
+                    bar = np.partition(scores, len(keys) - k, axis=0)[len(keys) - k]
+                    row, column = np.nonzero(scores >= bar)
+                else:
+                    row, column = np.indices(scores.shape).reshape(2, -1)
+                found = pd.DataFrame({question: ids[column], key: keys[row], "score": scores[row, column]})
+                best = _best(found if best is None else pd.concat([best, found]), question, key, k)
         if best is not None:
             yield best
 

@@ -45,14 +45,14 @@ def provider_performance_monthly(claims: DataFrame, providers: DataFrame) -> Dat
     )
 
 
-def readmissions(admissions: DataFrame, hot_rows: int = hotkeys.HOT_ROWS) -> DataFrame:
+def readmissions(admissions: DataFrame, hot: int | DataFrame = hotkeys.HOT_ROWS) -> DataFrame:
     """Each admission with the next one of the patient and whether that one
     falls within 30 days of the discharge."""
     cut = hotkeys.cut_hot_keys(
         admissions.filter(F.col("patient_id").isNotNull() & F.col("admitted_at").isNotNull()),
         ["patient_id"],
         F.to_date("admitted_at"),
-        hot_rows,
+        hot,
     )
     seen = hotkeys.neighbours(cut, ["patient_id"], ["admitted_at", "admission_id"], ["admitted_at"], after="_next")
     following = F.col("_next.admitted_at")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.fixed_values import DENIED, OUT_OF_NETWORK
 from tallyward.operators.history import START, version_at
+from tallyward.operators.hotkeys import HOT_ROWS
 
 HIGH_COST = 50_000
 FLAGS = ["is_denied", "is_out_of_network", "is_high_cost"]
@@ -76,7 +77,9 @@ def dim_procedure(claims: DataFrame) -> DataFrame:
     )
 
 
-def fact_claims(claims: DataFrame, patients: DataFrame, providers: DataFrame) -> DataFrame:
+def fact_claims(
+    claims: DataFrame, patients: DataFrame, providers: DataFrame, hot: int | DataFrame = HOT_ROWS
+) -> DataFrame:
     """Claims with their dimension keys.
 
     The patient key is the version valid on the claim date. Provider,
@@ -92,6 +95,7 @@ def fact_claims(claims: DataFrame, patients: DataFrame, providers: DataFrame) ->
         "claim_date",
         attach=["patient_version", "insurance_plan"],
         tie=["event_no"],
+        hot=hot,
     )
     network = providers.select("provider_id", "network_status")
     return valid.join(network, "provider_id", "left").select(

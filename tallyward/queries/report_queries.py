@@ -137,7 +137,8 @@ def dim_date(spark, folder):
 
 def claim_star(spark, folder):
     return star.fact_claims(
-        model.claims_fact(spark, folder), model.patient_dim(spark, folder), model.provider_dim(spark, folder)
+        model.claims_fact(spark, folder), model.patient_dim(spark, folder), model.provider_dim(spark, folder),
+        model.busy_patients(spark, folder),
     )
 
 

@@ -75,7 +75,9 @@ def triage_labels(spark, folder):
                  CAST((row_number() OVER (PARTITION BY patient_id ORDER BY claim_date, claim_id) - 1) // 20 AS INTEGER) AS part
           FROM claims_fact) GROUP BY patient_id, part""")
 def claim_history_json(spark, folder):
-    documents = enrich.claim_documents(model.claims_fact(spark, folder), per_part=20)
+    documents = enrich.claim_documents(
+        model.claims_fact(spark, folder), per_part=20, hot=model.busy_patients(spark, folder)
+    )
     return documents.drop("prompt")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyward.functions.expressions import padded, stay_seconds
 from tallyward.functions.fixed_values import APPROVED, DENIED, IN_NETWORK, OUT_OF_NETWORK, PENDING
 from tallyward.operators.history import scd2_versions
+from tallyward.operators.hotkeys import HOT_ROWS
 from tallyward.operators.keyed import latest_per_key
 from tallyward.sources.tables import table
 
@@ -66,6 +67,19 @@ def claims_fact(spark: SparkSession, folder: str) -> DataFrame:
     return _as_claims(lines, table(spark, folder, "orders"))
 
 
+def busy_patients(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Patients with many claim loads, from counts per order: two columns are
+    read, and no claim is deduplicated or joined to find them."""
+    per_order = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_lines"))
+    orders = table(spark, folder, "orders").select("o_orderkey", text("o_custkey").alias("patient_id"))
+    counted = (
+        orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
+        .groupBy("patient_id")
+        .agg(F.sum("_lines").alias("_lines"))
+    )
+    return counted.filter(F.col("_lines") >= hot_rows).select("patient_id")
+
+
 def provider_dim(spark: SparkSession, folder: str) -> DataFrame:
     places = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"

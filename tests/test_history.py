@@ -127,7 +127,7 @@ event = st.tuples(st.sampled_from("ab"), st.sampled_from(["x", "y", None]), st.i
 @given(st.lists(event, min_size=1, max_size=25), st.sampled_from([1, 5, 10**6]))
 def test_type2_matches_brute_force_with_and_without_hot_keys(spark, rows, drawn, hot_rows):
     events = [(k, plan, extra, date(2024, 1, 1) + timedelta(days=d), i) for i, (k, plan, extra, d) in enumerate(drawn)]
-    got = history.scd2_versions(spark.createDataFrame(events, EVENTS), ["k"], ["day", "no"], ["plan"], hot_rows=hot_rows)
+    got = history.scd2_versions(spark.createDataFrame(events, EVENTS), ["k"], ["day", "no"], ["plan"], hot=hot_rows)
     assert rows(got) == versions_by_hand(events)
 
 
@@ -175,6 +175,6 @@ def test_banded_rank_matches_plain_rank(spark, rows, hot_rows):
     from pyspark.sql import Window
 
     df = spark.createDataFrame([(f"g{i % 2}", None if i % 11 == 0 else float(i * 37 % 50)) for i in range(80)], "g STRING, m DOUBLE")
-    got = hotkeys.ranked_descending(df, ["g"], "m", 7.0, "r", hot_rows)
+    got = hotkeys.ranked_descending(df, "g", "m", 7.0, "r", hot_rows)
     plain = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.col("m").desc_nulls_last())))
     assert rows(got, "g", "m", "r") == rows(plain, "g", "m", "r")

@@ -70,7 +70,7 @@ def test_claim_documents_keep_every_claim_in_order(spark, hot_rows):
 
     rows = [("p" if i % 4 else "q", f"c{i:03}", date(2024, 1, 1) + timedelta(days=i % 9), "d", float(i), "PENDING") for i in range(60)]
     df = spark.createDataFrame(rows, "patient_id STRING, claim_id STRING, claim_date DATE, diagnosis_code STRING, claim_amount DOUBLE, claim_status STRING")
-    parts = enrich.claim_documents(df, per_part=7, hot_rows=hot_rows).orderBy("patient_id", "part").collect()
+    parts = enrich.claim_documents(df, per_part=7, hot=hot_rows).orderBy("patient_id", "part").collect()
     assert max(r["claim_count"] for r in parts) == 7
     for patient in "pq":
         seen = [c["claim_amount"] for r in parts if r["patient_id"] == patient for c in json.loads(r["claims_json"])]
