@@ -63,7 +63,3 @@ def pick(values: list[str], index: Column) -> Column:
 def padded(prefix: str, number: Column, width: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
 
-
-def same_row(left: list[Column], right: list[Column]) -> Column:
-    """Null-safe equality over paired columns."""
-    return F.struct(*left).eqNullSafe(F.struct(*right))

@@ -7,8 +7,6 @@ some versions touches only their folders.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,6 +153,3 @@ def same_table(a: DataFrame, b: DataFrame) -> DataFrame:
     left = a.exceptAll(b.select(*a.columns)).withColumn("side", F.lit("left"))
     return left.unionByName(b.select(*a.columns).exceptAll(a).withColumn("side", F.lit("right")))
 
-
-def all_equal(columns: list[str], left: str, right: str) -> Column:
-    return reduce(lambda x, y: x & y, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])

@@ -72,14 +72,17 @@ def similarity_topk(
     a longer list is taken in hash slices, one pass over the index for each.
     """
     asked = questions.select(F.col(question), F.col(question_vector).alias("vector"))
-    count = asked.count()
-    # Twice the slices needed on average, so that uneven hashing stays in bounds.
-    slices = 1 if count <= QUESTIONS_PER_PASS else -(-2 * count // QUESTIONS_PER_PASS)
     schema = StructType([questions.schema[question], index.schema[key], StructField("score", DoubleType())])
     found = index.sparkSession.createDataFrame([], schema)
-    for i in range(slices):
-        part = asked if slices == 1 else asked.filter(F.pmod(F.xxhash64(question), F.lit(slices)) == i)
-        local = part.toPandas()
+    first = asked.limit(QUESTIONS_PER_PASS + 1).toPandas()
+    if len(first) <= QUESTIONS_PER_PASS:
+        passes = iter([first])
+    else:
+        # Twice the slices needed on average, so that uneven hashing stays in bounds.
+        slices = -(-2 * asked.count() // QUESTIONS_PER_PASS)
+        part = F.pmod(F.xxhash64(question), F.lit(slices))
+        passes = (asked.filter(part == i).toPandas() for i in range(slices))
+    for local in passes:
         if not local.empty:
             found = found.unionByName(_one_pass(index, key, vector, local, question, k, schema))
     order = Window.partitionBy(question).orderBy(F.col("score").desc(), F.col(key))

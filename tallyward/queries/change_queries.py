@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyward.operators import changelog, history, keyed
+from tallyward.plans import feeds
 from tallyward.queries.registry import query
+from tallyward.session import shared_folder
 from tallyward.sources import model, tables
 
 PLAN = "patient_id, insurance_plan, last_billed, chronic_conditions, event_date, event_no"
@@ -24,13 +26,42 @@ def patient_change_feed(spark, folder):
     return keyed.not_null(model.patient_changes(spark, folder), KEY)
 
 
-@query("provider_change_feed", "claims_bronze",
-       "SELECT DISTINCT provider_id, 'IN_NETWORK' AS network_status, CAST(NULL AS VARCHAR) AS specialty FROM claims_bronze")
+@query("distinct_providers", "claims_bronze", "SELECT DISTINCT provider_id FROM claims_bronze")
+def distinct_providers(spark, folder):
+    return keyed.distinct_keys(model.claims_bronze(spark, folder).select("provider_id"), ["provider_id"])
+
+
+_NONE = "CAST(NULL AS VARCHAR)"
+
+
+@query("provider_change_feed", "claims_bronze", f"""
+    SELECT DISTINCT provider_id, {_NONE} AS provider_name, {_NONE} AS specialty, {_NONE} AS npi,
+           'IN_NETWORK' AS network_status, {_NONE} AS state, {_NONE} AS hospital_affil, ingest_ts AS _updated_ts FROM claims_bronze""")
 def provider_change_feed(spark, folder):
-    feed = model.claims_bronze(spark, folder).select(
-        "provider_id", F.lit("IN_NETWORK").alias("network_status"), F.lit(None).cast("string").alias("specialty")
-    )
-    return keyed.distinct_keys(feed, ["provider_id"])
+    feed = feeds.provider_changes(model.claims_bronze(spark, folder))
+    return feed.withColumn("_updated_ts", F.col("_updated_ts").cast("timestamp_ntz"))
+
+
+@query("member_change_feed", "claims_bronze", f"""
+    SELECT DISTINCT patient_id, {_NONE} AS first_name, {_NONE} AS last_name, dob, {_NONE} AS gender, patient_address AS address,
+           {_NONE} AS city, {_NONE} AS state, {_NONE} AS zip_code, {_NONE} AS insurance_plan, 0 AS chronic_conditions,
+           ingest_ts AS _updated_ts FROM claims_bronze""")
+def member_change_feed(spark, folder):
+    feed = feeds.patient_changes(model.claims_bronze(spark, folder))
+    return feed.withColumn("_updated_ts", F.col("_updated_ts").cast("timestamp_ntz"))
+
+
+@query("provider_feed_applied", "claims_bronze provider_dim", """
+    SELECT d.provider_id, provider_name, specialty, npi, CASE WHEN f.provider_id IS NULL THEN network_status ELSE 'IN_NETWORK' END
+           AS network_status, state, coalesce(f.at, TIMESTAMP '1990-01-01') AS _updated_ts
+    FROM provider_dim d LEFT JOIN (SELECT provider_id, max(ingest_ts) AS at FROM claims_bronze GROUP BY ALL) f
+    ON d.provider_id = f.provider_id""")
+def provider_feed_applied(spark, folder):
+    """The feed knows only the network status; stored attributes survive its NULLs."""
+    dim = model.provider_dim(spark, folder).withColumn("_updated_ts", F.lit("1990-01-01").cast("timestamp"))
+    feed = feeds.provider_changes(model.claims_bronze(spark, folder)).drop("hospital_affil")
+    done = history.scd1_apply(dim, feed, ["provider_id"], ["_updated_ts"], ignore_nulls=True)
+    return done.withColumn("_updated_ts", F.col("_updated_ts").cast("timestamp_ntz"))
 
 
 @query("scd1_apply", "patient_changes", f"""
@@ -68,7 +99,10 @@ def scd2_incremental(spark, folder):
     """Two loads out of order give the versions of one load. Untracked values
     are left out: a stored version keeps only its last ones."""
     feed = model.patient_changes(spark, folder)
-    late = history.scd2_apply(None, feed.filter(F.col("event_date") > MIDDLE), KEY, SEQUENCE, TRACKED)
+    out = shared_folder(spark, "patients")
+    first = history.scd2_apply(None, feed.filter(F.col("event_date") > MIDDLE), KEY, SEQUENCE, TRACKED)
+    first.write.parquet(out)
+    late = spark.read.parquet(out)
     both = history.scd2_apply(late, feed.filter(F.col("event_date") <= MIDDLE), KEY, SEQUENCE, TRACKED)
     return both.select("patient_id", "insurance_plan", history.START, history.END, history.CURRENT)
 

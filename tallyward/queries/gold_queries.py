@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tallyward.operators import keyed
 from tallyward.plans import gold
 from tallyward.queries.registry import query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyward.functions.expressions import exact_sum
 from tallyward.operators import history, quality
 from tallyward.operators.quality import RuleSet
 from tallyward.queries.registry import query
@@ -137,3 +138,25 @@ def stream_scd2(spark, folder):
     columns = ["patient_id", "insurance_plan", "last_billed", "chronic_conditions", "event_no",
                history.START, history.END, history.CURRENT]
     return sinks.scd2_state(spark, f"{out}/t", KEY, SEQUENCE, TRACKED).select(*columns)
+
+
+@query("stream_quarantine", "claims_unchecked", """
+    SELECT 'passed' AS part, count(*) AS rows_stored, CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM claims_unchecked
+    WHERE claim_id IS NOT NULL AND patient_id IS NOT NULL AND provider_id IS NOT NULL
+    UNION ALL SELECT 'claim_id_not_null', count(*), NULL FROM claims_unchecked WHERE claim_id IS NULL
+    UNION ALL SELECT 'patient_id_not_null', count(*), NULL FROM claims_unchecked WHERE patient_id IS NULL
+    UNION ALL SELECT 'provider_id_not_null', count(*), NULL FROM claims_unchecked WHERE provider_id IS NULL""")
+def stream_quarantine(spark, folder):
+    """Claims land as CSV, pass the rules as a stream and split in two tables."""
+    out = shared_folder(spark, "claims")
+    faulty = model.claims_unchecked(spark, folder)
+    faulty.repartition(4, "load_ref").write.option("header", True).csv(f"{out}/landing")
+    raw = csv_stream(spark, f"{out}/landing", faulty.schema, files_per_batch=2)
+    finish(sinks.split_stream(raw, RuleSet.claims("DATE'2001-12-31'"), "claim_id", f"{out}/passed", f"{out}/held", f"{out}/c"))
+    passed = sinks.stored(spark, f"{out}/passed").agg(
+        F.count(F.lit(1)).alias("rows_stored"), exact_sum("claim_amount").alias("amount")
+    )
+    held = sinks.stored(spark, f"{out}/held").groupBy(F.col("dq_rule").alias("part")).agg(F.count(F.lit(1)).alias("rows_stored"))
+    return passed.select(F.lit("passed").alias("part"), "rows_stored", "amount").unionByName(
+        held.withColumn("amount", F.lit(None).cast("double"))
+    )

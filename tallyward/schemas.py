@@ -87,6 +87,11 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], schema(name))
 
 
+def create_table(spark: SparkSession, name: str, table: str, folder: str) -> None:
+    """Create a declared table in the catalog over a folder, if it is missing."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({SCHEMAS[name]}) USING PARQUET LOCATION '{folder}'")
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Cast and order columns to a declared table; absent columns become NULL."""
     have = set(df.columns)

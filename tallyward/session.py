@@ -40,10 +40,3 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix=f"run-{purpose}-", dir="/tmp")
 
-
-def with_shared_checkpoints(spark: SparkSession) -> SparkSession:
-    """Make ``DataFrame.checkpoint`` usable, keeping a folder already set."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark, "checkpoint"))
-    return spark

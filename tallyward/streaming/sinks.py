@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyward.operators import history, keyed
+from tallyward.operators import history, keyed, quality
+from tallyward.operators.quality import RuleSet
 
 BATCH = "_batch"
 
@@ -45,6 +46,27 @@ def upsert_log(
     return _trigger(writer, every).start()
 
 
+def split_stream(
+    df: DataFrame, rule_set: RuleSet, key: str, passed: str, held: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Rules on a stream with both outputs: rows that go on, and quarantine.
+
+    The batch is read once and kept for the second write; if its executors are
+    lost, it is read again from its source.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            quality.apply_rules(batch, rule_set).write.mode("overwrite").parquet(f"{passed}/{BATCH}={batch_id}")
+            quality.quarantine(batch, rule_set, key).write.mode("overwrite").parquet(f"{held}/{BATCH}={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
+    return _trigger(writer, every).start()
+
+
 def stored(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(folder)
 

@@ -20,7 +20,7 @@ def build(spark, snapshots):
     return log
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(snapshot, min_size=3, max_size=3))
 def test_log_laws(spark, rows, states):
     log = build(spark, states).cache()

@@ -110,3 +110,17 @@ def test_shared_folder_follows_the_session(spark):
     folder = shared_folder(spark, "x")
     assert folder.startswith(base) if base else folder.startswith("/tmp/run-")
     assert folder != shared_folder(spark, "x")
+
+
+def test_catalog_statistics_and_declared_table(spark, numbers, tmp_path):
+    from tallyward.schemas import create_table
+
+    numbers.write.mode("overwrite").option("path", str(tmp_path / "managed")).saveAsTable("layout_numbers")
+    layout.analyze(spark, "layout_numbers")
+    told = {r["info_name"]: r["info_value"] for r in spark.sql("DESCRIBE EXTENDED layout_numbers a").collect()}
+    assert (told["min"], told["max"], told["num_nulls"]) == ("0", "499", "0")
+    spark.sql("DROP TABLE layout_numbers")
+    create_table(spark, "provider_dim", "declared_providers", str(tmp_path / "providers"))
+    create_table(spark, "provider_dim", "declared_providers", str(tmp_path / "providers"))
+    assert "hospital_affil" in spark.table("declared_providers").columns
+    spark.sql("DROP TABLE declared_providers")
