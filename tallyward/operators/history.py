@@ -121,6 +121,8 @@ def scd2_apply(
     if target is None:
         return scd2_versions(changes, keys, sequence, track, slice_by, hot)
     changes = not_null(changes, [*keys, sequence[0]])
+    if not isinstance(hot, DataFrame):
+        hot = hotkeys.hot_keys(target.select(*keys).unionByName(changes.select(*keys)), keys, hot)
     touched = changes.select(*keys).distinct()
     stored = (
         target.join(touched, keys, "left_semi")

@@ -1,14 +1,15 @@
 """Ordered per-key lookups that survive hot keys.
 
 A window over ``PARTITION BY key`` sends every row of a key to one task. That
-is fine until one key holds a large share of the table. Here, keys above a row
-bound are cut into slices by a monotone function of the ordering column (a
+is fine until one key holds a large share of the table. Keys above a row bound
+are therefore cut into slices by a monotone function of the ordering column (a
 day, say). Each slice is its own window partition, and one summary row per
-slice carries the edge values across slice borders. Ordinary keys have no
-slice, so their rows take exactly the plain window, on one shuffle.
+slice carries the edge values across slice borders.
 
-The set of hot keys has at most ``rows / HOT_ROWS`` members, which bounds the
-broadcast that tags them.
+Hot keys are looked for once, when a lookup is set up: a count per key with
+map-side combine. There are at most ``rows / HOT_ROWS`` of them, which bounds
+the list. Where there are none, which is the usual case, the plan is the plain
+window and nothing else.
 """
 
 from __future__ import annotations
@@ -17,23 +18,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+HELD_KEYS = 100_000
 SLICE = "_slice"
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows, counted with map-side combine."""
+    """Keys with at least ``hot_rows`` rows."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counted.filter(F.col("_rows") >= hot_rows).select(*keys)
 
 
 def cut_hot_keys(df: DataFrame, keys: list[str], slice_by: Column, hot: int | DataFrame = HOT_ROWS) -> DataFrame:
-    """Add ``_slice``: NULL for ordinary keys, ``slice_by`` for hot ones.
+    """Add ``_slice`` if there are hot keys: ``slice_by`` for them, else NULL.
 
     ``hot`` is a row bound, or the hot keys themselves when they can be had
     from a cheaper source than ``df``. Slicing changes no result, so that
     source may count differently. ``keys`` must not be NULL.
     """
     listed = hot if isinstance(hot, DataFrame) else hot_keys(df, keys, hot)
+    held = listed.select(*keys).limit(HELD_KEYS + 1).collect()
+    if not held:
+        return df
+    if len(held) <= HELD_KEYS:
+        listed = df.sparkSession.createDataFrame(held, listed.select(*keys).schema)
     return (
         df.join(F.broadcast(listed.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
         .withColumn(SLICE, F.when(F.col("_hot"), slice_by))
@@ -41,13 +48,14 @@ def cut_hot_keys(df: DataFrame, keys: list[str], slice_by: Column, hot: int | Da
     )
 
 
-def _within(keys: list[str], order: list[str]):
-    return Window.partitionBy(*keys, SLICE).orderBy(*order)
+def _parts(df: DataFrame, keys: list[str]) -> list[str]:
+    return [*keys, SLICE] if SLICE in df.columns else keys
 
 
-def _edges(df: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
-    """One summary row per slice of each hot key."""
-    return df.filter(F.col(SLICE).isNotNull()).groupBy(*keys, SLICE).agg(*aggregates)
+def _carry(df: DataFrame, window_result: DataFrame, keys: list[str], edges: list[Column], carried: list[Column]) -> DataFrame:
+    """Join to each row what its slice takes over from other slices."""
+    summary = df.filter(F.col(SLICE).isNotNull()).groupBy(*keys, SLICE).agg(*edges)
+    return window_result.join(summary.select(*keys, SLICE, *carried), [*keys, SLICE], "left")
 
 
 def neighbours(
@@ -60,63 +68,60 @@ def neighbours(
 ) -> DataFrame:
     """Add the previous and/or next row's ``columns`` as struct columns.
 
-    ``df`` comes from :func:`cut_hot_keys`. The struct is NULL where there is
-    no such row, so NULL values inside it stay distinguishable.
+    The struct is NULL where there is no such row, so NULL values inside it
+    stay distinguishable.
     """
-    value, position = F.struct(*columns), F.struct(*order)
-    across = Window.partitionBy(*keys).orderBy(SLICE)
-    edges = _edges(
+    value = F.struct(*columns)
+    near = Window.partitionBy(*_parts(df, keys)).orderBy(*order)
+    found = {name: f(value).over(near) for name, f in ((before, F.lag), (after, F.lead)) if name}
+    wide = df.withColumns(found)
+    if SLICE not in df.columns:
+        return wide
+    position, across = F.struct(*order), Window.partitionBy(*keys).orderBy(SLICE)
+    wide = _carry(
         df,
+        wide,
         keys,
         [F.min_by(value, position).alias("_first"), F.max_by(value, position).alias("_last")],
-    ).select(
-        *keys,
-        SLICE,
-        F.lag("_last").over(across).alias("_carried_before"),
-        F.lead("_first").over(across).alias("_carried_after"),
+        [F.lag("_last").over(across).alias("_from_before"), F.lead("_first").over(across).alias("_from_after")],
     )
-    near = _within(keys, order)
-    wide = df
-    if before:
-        wide = wide.withColumn(before, F.lag(value).over(near))
-    if after:
-        wide = wide.withColumn(after, F.lead(value).over(near))
-    wide = wide.join(edges, [*keys, SLICE], "left")
-    if before:
-        wide = wide.withColumn(before, F.coalesce(before, "_carried_before"))
-    if after:
-        wide = wide.withColumn(after, F.coalesce(after, "_carried_after"))
-    return wide.drop("_carried_before", "_carried_after")
+    taken = {name: F.coalesce(name, other) for name, other in ((before, "_from_before"), (after, "_from_after")) if name}
+    return wide.withColumns(taken).drop("_from_before", "_from_after")
 
 
 def last_known(df: DataFrame, keys: list[str], order: list[str], value: str, out: str) -> DataFrame:
     """Add the latest non-NULL ``value`` at or before each row."""
-    across = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    near = Window.partitionBy(*_parts(df, keys)).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wide = df.withColumn(out, F.last(value, ignorenulls=True).over(near))
+    if SLICE not in df.columns:
+        return wide
     known = F.col(value).isNotNull()
-    edges = _edges(
-        df, keys, [F.max_by(F.when(known, F.col(value)), F.when(known, F.struct(*order))).alias("_last")]
-    ).select(*keys, SLICE, F.last("_last", ignorenulls=True).over(across).alias("_carried"))
-    near = _within(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        df.withColumn(out, F.last(value, ignorenulls=True).over(near))
-        .join(edges, [*keys, SLICE], "left")
-        .withColumn(out, F.coalesce(out, "_carried"))
-        .drop("_carried")
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    wide = _carry(
+        df,
+        wide,
+        keys,
+        [F.max_by(F.when(known, F.col(value)), F.when(known, F.struct(*order))).alias("_last")],
+        [F.last("_last", ignorenulls=True).over(earlier).alias("_carried")],
     )
+    return wide.withColumn(out, F.coalesce(out, "_carried")).drop("_carried")
+
+
+def _after_earlier_slices(df: DataFrame, wide: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """Shift positions counted within a slice by the rows of earlier slices."""
+    if SLICE not in df.columns:
+        return wide
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    wide = _carry(
+        df, wide, keys, [F.count(F.lit(1)).alias("_rows")], [F.sum("_rows").over(earlier).alias("_skipped")]
+    )
+    return wide.withColumn(out, F.col(out) + F.coalesce("_skipped", F.lit(0))).drop("_skipped")
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], out: str = "_n") -> DataFrame:
     """Add the 1-based position of each row within its key."""
-    across = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    edges = _edges(df, keys, [F.count(F.lit(1)).alias("_rows")]).select(
-        *keys, SLICE, F.sum("_rows").over(across).alias("_skipped")
-    )
-    return (
-        df.withColumn(out, F.row_number().over(_within(keys, order)))
-        .join(edges, [*keys, SLICE], "left")
-        .withColumn(out, F.col(out) + F.coalesce("_skipped", F.lit(0)))
-        .drop("_skipped")
-    )
+    near = Window.partitionBy(*_parts(df, keys)).orderBy(*order)
+    return _after_earlier_slices(df, df.withColumn(out, F.row_number().over(near)), keys, out)
 
 
 def ranked_descending(
@@ -126,26 +131,11 @@ def ranked_descending(
 
     Slices of a hot group are value bands ``step`` wide. Equal values share a
     band, so a rank is the rows of all higher bands plus the rank in the band.
-    Rows without a group form one too, and that one is always sliced.
     """
     keys = ["_group", "_no_group"]
-
-    def keyed(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({"_group": F.coalesce(group, F.lit("")), "_no_group": F.col(group).isNull()})
-
-    rows = keyed(df)
-    listed = keyed(hot).select(*keys) if isinstance(hot, DataFrame) else hot_keys(rows, keys, hot)
-    no_group = df.sparkSession.createDataFrame([("", True)], "_group STRING, _no_group BOOLEAN")
+    rows = df.withColumns({"_group": F.coalesce(group, F.lit("")), "_no_group": F.col(group).isNull()})
     band = F.coalesce(-F.floor(F.col(measure) / F.lit(step)), F.lit(2**62)).cast("bigint")
-    cut = cut_hot_keys(rows, keys, band, listed.union(no_group).distinct())
-    across = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    edges = _edges(cut, keys, [F.count(F.lit(1)).alias("_rows")]).select(
-        *keys, SLICE, F.sum("_rows").over(across).alias("_skipped")
-    )
-    near = Window.partitionBy(*keys, SLICE).orderBy(F.col(measure).desc_nulls_last())
-    return (
-        cut.withColumn(out, F.rank().over(near))
-        .join(edges, [*keys, SLICE], "left")
-        .withColumn(out, (F.col(out) + F.coalesce("_skipped", F.lit(0))).cast("bigint"))
-        .drop("_skipped", SLICE, *keys)
-    )
+    cut = cut_hot_keys(rows, keys, band, hot)
+    near = Window.partitionBy(*_parts(cut, keys)).orderBy(F.col(measure).desc_nulls_last())
+    wide = _after_earlier_slices(cut, cut.withColumn(out, F.rank().over(near)), keys, out)
+    return wide.withColumn(out, F.col(out).cast("bigint")).drop(SLICE, *keys)

@@ -25,7 +25,8 @@ from tallyward.functions.fixed_values import (
     PENDING,
 )
 from tallyward.operators.history import current_rows
-from tallyward.operators.hotkeys import HOT_ROWS, hot_keys, ranked_descending
+from tallyward.operators.hotkeys import HOT_ROWS, ranked_descending
+from tallyward.session import stored_copy
 
 
 
@@ -64,9 +65,11 @@ def provider_performance(claims: DataFrame, providers: DataFrame, hot_rows: int
     described = per_provider.join(attributes, "provider_id", "left").withColumn(
         "approval_rate_pct", percent("approved_claims", "total_claims")
     )
-    # One row per provider is ranked, so the dimension tells the large groups.
-    crowded = hot_keys(attributes, ["specialty"], hot_rows)
-    return ranked_descending(described, "specialty", "total_billed", 1e6, "specialty_rank", crowded)
+    # One row per provider is left. It is stored, so that finding crowded
+    # specialties and ranking read it and not the claims again.
+    return ranked_descending(
+        stored_copy(described, "providers"), "specialty", "total_billed", 1e6, "specialty_rank", hot_rows
+    )
 
 
 def risk_tier(spend: str, chronic: str):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tallyward") -> SparkSession:
@@ -40,3 +40,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return tempfile.mkdtemp(prefix=f"run-{purpose}-", dir="/tmp")
 
+
+def stored_copy(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to shared storage and read back: its lineage ends
+    there, and several uses do not compute it again."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
