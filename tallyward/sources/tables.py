@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,8 +24,8 @@ def inferred_schema(spark: SparkSession, folder: str, schema_file: str) -> Struc
     """
     try:
         kept = spark.read.option("wholetext", True).text(schema_file).first()
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         kept = None
     if kept:

@@ -31,33 +31,71 @@ def cleanse(raw: DataFrame) -> DataFrame:
     )
 
 
+def hourly_patients(silver: DataFrame, lateness: str = LATENESS, window: str = WINDOW) -> DataFrame:
+    """Partial hourly sums per department and patient.
+
+    Streams reject a distinct count, and a set of patients per department
+    would grow in one state row. Grouped by patient, the state spreads over
+    all partitions and every patient of a window is counted once.
+    """
+    marked = silver.withWatermark("admitted_at", lateness) if silver.isStreaming else silver
+    stay = stay_seconds()
+    return marked.groupBy(F.window("admitted_at", window).alias("_w"), "department", "patient_id").agg(
+        F.count("admission_id").alias("_admissions"),
+        F.sum("severity").alias("_severity"),
+        F.count("severity").alias("_rated"),
+        F.sum(stay).alias("_stay"),
+        F.count(stay).alias("_stays"),
+        tally(stay > HOURLY_LONG_STAY_HOURS * 3600).alias("_long"),
+    )
+
+
+def departments_from_patients(partials: DataFrame, window: str = WINDOW) -> DataFrame:
+    """Hourly figures per department from the per-patient sums."""
+    hour = F.window(F.window_time("_w"), window) if partials.isStreaming else F.col("_w")
+    return (
+        partials.groupBy(hour.alias("_hour"), "department")
+        .agg(
+            F.sum("_admissions").alias("admission_count"),
+            F.try_divide(F.sum("_severity"), F.sum("_rated")).alias("avg_severity"),
+            F.try_divide(F.sum("_stay") / F.lit(3600.0), F.sum("_stays")).alias("avg_los_hours"),
+            F.count("patient_id").alias("unique_patients"),
+            F.sum("_long").alias("long_stay_count"),
+        )
+        .select(*_hourly_columns())
+    )
+
+
 def hourly_departments(silver: DataFrame, lateness: str = LATENESS, window: str = WINDOW, exact: bool = True) -> DataFrame:
     """Hourly admissions per department, under a watermark when streaming.
 
-    Streams reject a distinct count, so patients are counted as the size of a
-    set. Its state grows with the patients of an open window; ``exact=False``
-    keeps a fixed-size sketch per window instead.
+    The exact form chains two aggregates, which a stream can do in append
+    mode only. ``exact=False`` keeps a fixed-size sketch of the patients in
+    one aggregate and runs in any output mode.
     """
-    patients = F.size(F.collect_set("patient_id")).cast("bigint") if exact else F.approx_count_distinct("patient_id")
-    if not silver.isStreaming and exact:
-        patients = F.countDistinct("patient_id")
+    if exact:
+        return departments_from_patients(hourly_patients(silver, lateness, window), window)
     marked = silver.withWatermark("admitted_at", lateness) if silver.isStreaming else silver
     return (
-        marked.groupBy(F.window("admitted_at", window).alias("_w"), "department")
+        marked.groupBy(F.window("admitted_at", window).alias("_hour"), "department")
         .agg(
             F.count("admission_id").alias("admission_count"),
             F.avg("severity").alias("avg_severity"),
             avg_stay_hours().alias("avg_los_hours"),
-            patients.alias("unique_patients"),
+            F.approx_count_distinct("patient_id").alias("unique_patients"),
             tally(stay_seconds() > HOURLY_LONG_STAY_HOURS * 3600).alias("long_stay_count"),
         )
-        .select(
-            F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "department",
-            "admission_count", "avg_severity", "avg_los_hours", "unique_patients", "long_stay_count",
-        )
+        .select(*_hourly_columns())
     )
 
 
+def _hourly_columns() -> list:
+    return [
+        F.col("_hour.start").alias("window_start"), F.col("_hour.end").alias("window_end"), "department",
+        "admission_count", "avg_severity", "avg_los_hours", "unique_patients", "long_stay_count",
+    ]
+
+
 def alerts(silver: DataFrame) -> DataFrame:
     level = F.when(F.col("severity") == CRITICAL_SEVERITY, "CRITICAL").otherwise("HIGH")
     return silver.filter(F.col("severity") >= ALERT_SEVERITY).select(

@@ -91,8 +91,12 @@ def scd2_state(spark: SparkSession, folder: str, keys: list[str], sequence: list
 
 
 def gold_upsert_stream(df: DataFrame, folder: str, checkpoint: str, keys: list[str], every=None) -> StreamingQuery:
-    """Aggregates in update mode: a group is stored again when it changes."""
-    return upsert_log(df, folder, checkpoint, lambda b: keyed.not_null(b, keys), every, mode="update")
+    """Aggregates in update mode: a group is stored again when it changes.
+    ``keys`` are the group columns, as for :func:`gold_state`."""
+    missing = set(keys) - set(df.columns)
+    if missing:
+        raise ValueError(f"no such group columns: {sorted(missing)}")
+    return upsert_log(df, folder, checkpoint, lambda b: b, every, mode="update")
 
 
 def gold_state(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:

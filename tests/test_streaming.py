@@ -113,13 +113,14 @@ def test_fail_rule_stops_a_stream(spark, landing, tmp_path):
 
 
 def test_gold_upsert_follows_every_batch(spark, landing, tmp_path, rows):
-    keys = ["window_start", "department"]
-    agg = lambda: admissions.hourly_departments(silver(spark, landing))
-    for batch in (["10:05"], ["10:15", "11:00"], ["10:30"]):
-        landing.add(*at(*batch))
-    sinks.gold_upsert_stream(agg(), str(tmp_path / "t"), str(tmp_path / "c"), keys).awaitTermination()
-    got = sinks.gold_state(spark, str(tmp_path / "t"), keys).select(F.hour("window_start"), "admission_count")
-    assert rows(got) == [(10, 3), (11, 1)]
+    keys = ["_w", "department", "patient_id"]
+    landing.add(*at("10:05"))
+    landing.add({**at("10:15")[0], "patient_id": "P2"}, *at("11:00"))
+    landing.add(*at("10:30"))
+    partials = admissions.hourly_patients(silver(spark, landing))
+    sinks.gold_upsert_stream(partials, str(tmp_path / "t"), str(tmp_path / "c"), keys).awaitTermination()
+    got = admissions.departments_from_patients(sinks.gold_state(spark, str(tmp_path / "t"), keys))
+    assert rows(got.select(F.hour("window_start"), "admission_count", "unique_patients")) == [(10, 3, 2), (11, 1, 1)]
 
 
 CHANGES = "k STRING, plan STRING, day DATE, no BIGINT"
