@@ -22,6 +22,8 @@ def con():
 def test_query(spark, con, name):
     df = QUERIES[name](spark, FOLDER)
     rows = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     if name not in SQL:
         assert rows
         return
