@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import common, quality_rules, simhash
+from tallyward.llm import bpe, common, mixing, pii, quality_rules, simhash
 from tallyward.session import shared_folder
 
 
@@ -17,9 +18,25 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_one(docs)
 
 
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.mask(docs, pii.train(docs))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; sources below the largest are repeated towards equal shares, at most twice."""
+    return mixing.mix(docs, mixing.Target(entropy=0.97, repeats=2.0))
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES = [
     ("quality_rules", filter_quality),
     ("near_dedup", drop_near_copies),
+    ("personal_data", mask_personal_data),
+    ("source_mixing", mix_sources),
+    ("byte_pair_encoding", encode_tokens),
 ]
 
 #: No SQL: trained models, fingerprints and tokenizers are checked by brute force in the tests.

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyward.llm import common, quality_rules, simhash
+from tallyward.llm import bpe, common, mixing, pii, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,13 +19,31 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    return pii.find(docs, pii.train(docs))
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, sf_dir))
 
 
+@query
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir, "source")
+    tokens = docs.select(F.sum(mixing.word_count(F.col("text")))).first()[0] or 0
+    return mixing.mixture(docs, mixing.Target(entropy=0.97, repeats=4.0, budget=tokens))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     chain = quality_rules.train(docs, common.table(spark, sf_dir, "labels"))
     return quality_rules.judge(docs, chain)
+
+
+@query
+def op10_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(common.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
