@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, common, mixing, pii, quality_rules, simhash
+from tallyward.llm import bpe, common, embed_dedup, license_scan, mixing, pii, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,12 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(docs, mixing.Target(entropy=0.97, repeats=4.0, budget=tokens))
 
 
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    return license_scan.scan(docs, license_scan.rare_index(license_scan.word_frequencies(docs)))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
@@ -44,6 +50,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, chain)
 
 
+@query
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @query
 def op10_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(common.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
