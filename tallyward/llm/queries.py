@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyward.llm import bpe, common, embed_dedup, license_scan, mixing, pii, quality_rules, simhash
+from tallyward.llm import (
+    bpe,
+    common,
+    embed_dedup,
+    langid,
+    license_scan,
+    mixing,
+    ordinal,
+    pii,
+    quality_rules,
+    simhash,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,12 +31,27 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 poor, 1 good but toxic, 2 good. Documents of probable grade 1 or 2 are kept."""
+    docs = common.documents(spark, sf_dir)
+    grade = F.col("quality") * (2 - F.coalesce("toxic", F.lit(0)))
+    return ordinal.rate(docs, ordinal.train(docs, common.table(spark, sf_dir, "labels"), grade))
+
+
 @query
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     return pii.find(docs, pii.train(docs))
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir, "lang")
+    held_out = common.fold(F.col("doc_id"), 4) == 2
+    return langid.identify(docs, langid.train(docs, ~held_out), held_out)
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, sf_dir))
@@ -50,6 +77,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, chain)
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    held_out = common.fold(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, common.table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model, held_out)
+
+
 @query
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
