@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import unicodedata
 from functools import lru_cache
 
 import ahocorasick
@@ -28,6 +29,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 PIECES = 200_000  # pieces whose tokens a worker remembers
 SHORT = 48  # only pieces of at most so many characters are remembered
@@ -78,6 +80,8 @@ class Encoder:
         self.lengths = np.array([len(t) for t in by_id], np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
+        self.splitter = ByteLevel(add_prefix_space=False)
+        self.old: set[str] = set()
         self.fits: dict[tuple[int, int], bool] = {}
         self.known: dict[str, tuple[str, bytes]] = {}
 
@@ -134,6 +138,17 @@ class Encoder:
                 pick = shorter[pick]
         return out
 
+    def _split(self, text: str) -> list[str]:
+        """Pieces that merges never cross. The pattern knows more recent letters
+        and digits than the tokenizers library; a text with characters that are
+        new to Python too is split by the library."""
+        if not text.isascii():
+            for c in set(text):
+                if c not in self.old and unicodedata.category(c) == "Cn":
+                    return [text[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(text)]
+                self.old.add(c)
+        return self.pattern.findall(text)
+
     def _piece(self, piece: str) -> tuple[str, bytes]:
         ids = [self.id[r] for r in self.ranks(piece.encode("utf-8", "surrogatepass"))]
         got = ",".join(map(str, ids)), np.array(ids, np.int32).tobytes()
@@ -148,10 +163,7 @@ class Encoder:
         text = text or ""
         cuts = [(m.start(), m.end()) for m in self.stops.finditer(text)] if self.stops else []
         for start, end in [*cuts, (len(text), len(text))]:
-            for m in self.pattern.finditer(text, at, start) if len(text) > 1_000_000 else self.pattern.findall(
-                text if not cuts else text[at:start]
-            ):
-                piece = m if isinstance(m, str) else m.group()
+            for piece in self._split(text[at:start] if cuts else text):
                 got = known.get(piece) or self._piece(piece)
                 said.append(got[0])
                 packed.append(got[1])

@@ -185,7 +185,7 @@ def _dealt(docs: DataFrame, plan_: DataFrame, n_tokens: Column) -> DataFrame:
 
 def mixture(docs: DataFrame, target: Target) -> DataFrame:
     """doc_id, source, n_tokens, weight, epoch, block, mix_key: one row per
-    appearance. Reading by ``mix_key`` (0 to 1) interleaves the sources in
+    appearance. Reading by ``mix_key`` (0 to about 1) interleaves the sources in
     proportion to their weights."""
     counted = stored_copy(docs.select("doc_id", "source", word_count(F.col("text")).alias("n_tokens")), "mixing-docs")
     dealt = _dealt(counted, plan(counted, target, F.col("n_tokens")), F.col("n_tokens"))
