@@ -129,13 +129,14 @@ def preview(dim: DataFrame) -> DataFrame:
     return rows.select("icd10_code", "description", F.substring("ai_description", 1, PREVIEW_CHARS).alias("ai_desc_preview"))
 
 
-def claim_documents(claims: DataFrame, per_part: int = 1000, hot: int | DataFrame = hotkeys.HOT_ROWS) -> DataFrame:
+def claim_documents(claims: DataFrame, per_part: int = 1000, hot: DataFrame | None = None) -> DataFrame:
     """The claims of each patient as JSON and as a prompt, oldest first.
 
     A patient with many claims gets several parts, so no row grows without
     bound and no task holds more than a slice of one patient.
     """
-    cut = hotkeys.cut_hot_keys(claims.filter(F.col("patient_id").isNotNull()), ["patient_id"], F.col("claim_date"), hot)
+    known = claims.filter(F.col("patient_id").isNotNull())
+    cut = hotkeys.cut_hot_keys(known, ["patient_id"], ["claim_date", "claim_id"], hot)
     placed = hotkeys.numbered(cut, ["patient_id"], ["claim_date", "claim_id"])
     entry = F.struct("_n", "claim_date", "diagnosis_code", "claim_amount", "claim_status")
     part = F.floor((F.col("_n") - 1) / per_part).cast("int")

@@ -26,10 +26,11 @@ def scd1_apply(
     values = [c for c in changes.columns if c not in keys and c not in sequence]
     if ignore_nulls:
         place = F.struct(*sequence)
+        settled = lambda v: F.struct(*sequence, v)  # noqa: E731 - of equal times the largest value
         newest = changes.groupBy(*keys).agg(
             F.max(place).alias("_seq"),
             *[
-                F.max_by(F.when(F.col(v).isNotNull(), F.col(v)), F.when(F.col(v).isNotNull(), place)).alias(v)
+                F.max(F.when(F.col(v).isNotNull(), settled(v)))[v].alias(v)
                 for v in values
             ],
         ).select(*keys, *values, "_seq.*")
@@ -61,24 +62,21 @@ def scd2_versions(
     keys: list[str],
     sequence: list[str],
     track: list[str],
-    slice_by: Column | None = None,
-    hot: int | DataFrame = hotkeys.HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Versions of each key: a new one only when a tracked column changes.
 
     Untracked columns hold the last value of the version. ``sequence[0]`` is
     the event time and becomes ``__START_AT``; the remaining sequence columns
-    break ties and keep the value of the opening event. ``slice_by`` must grow
-    with ``sequence[0]``; the default is its day.
+    break ties and keep the value of the opening event. ``hot`` lists busy keys
+    (see ``hotkeys``).
 
     Two neighbour passes on one shuffle: the first marks where a run of equal
     tracked values opens and closes, the second pairs the marks.
     """
     when = sequence[0]
     plain = [c for c in events.columns if c not in keys and c not in sequence]
-    cut = hotkeys.cut_hot_keys(
-        not_null(events, [*keys, when]), keys, F.to_date(F.col(when)) if slice_by is None else slice_by, hot
-    )
+    cut = hotkeys.cut_hot_keys(not_null(events, [*keys, when]), keys, sequence, hot)
     look = hotkeys.neighbours(cut, keys, sequence, track, before="_before", after="_after")
     mine = F.struct(*track)
     marks = (
@@ -105,31 +103,27 @@ def scd2_versions(
 
 def scd2_apply(
     target: DataFrame | None,
+    earlier: DataFrame | None,
     changes: DataFrame,
     keys: list[str],
     sequence: list[str],
     track: list[str],
-    slice_by: Column | None = None,
-    hot: int | DataFrame = hotkeys.HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Fold change events into a versioned table.
 
-    Only the affected keys are derived again: their stored versions become
-    events at their start time and join the new events. All other keys pass
-    through unread by any window. Late events open or split past versions.
+    ``earlier`` are the events behind ``target`` (the stored feed). Only the keys
+    of new events are derived again, from all their events; all other keys
+    pass through unread by any window. A version alone cannot take a late
+    event: what its untracked columns held before its last event is only in
+    the feed. So loads may come in any order, with the result of one load.
     """
-    if target is None:
-        return scd2_versions(changes, keys, sequence, track, slice_by, hot)
+    if target is None or earlier is None:
+        return scd2_versions(changes, keys, sequence, track, hot)
     changes = not_null(changes, [*keys, sequence[0]])
-    if not isinstance(hot, DataFrame):
-        hot = hotkeys.hot_keys(target.select(*keys).unionByName(changes.select(*keys)), keys, hot)
     touched = changes.select(*keys).distinct()
-    stored = (
-        target.join(touched, keys, "left_semi")
-        .withColumnRenamed(START, sequence[0])
-        .select(*changes.columns)
-    )
-    renewed = scd2_versions(stored.unionByName(changes), keys, sequence, track, slice_by, hot)
+    again = earlier.join(touched, keys, "left_semi").select(*changes.columns)
+    renewed = scd2_versions(again.unionByName(changes), keys, sequence, track, hot)
     kept = target.join(touched, keys, "left_anti")
     return kept.unionByName(renewed.select(*kept.columns))
 
@@ -150,14 +144,19 @@ def version_at(
     at: str,
     attach: list[str],
     tie: list[str],
-    hot: int | DataFrame = hotkeys.HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Attach to each fact the version valid at its time.
 
     Facts and version starts are merged into one ordered stream per key and
     the last start is carried forward. That is linear in the input: no pair of
-    fact and version is ever formed, even for a key with many of both.
+    fact and version is ever formed, even for a key with many of both. Facts
+    without a key or time have no version and are kept apart.
     """
+    keyed = F.lit(True)
+    for c in [*keys, at]:
+        keyed = keyed & F.col(c).isNotNull()
+    unkeyed, facts, versions = facts.filter(~keyed), facts.filter(keyed), not_null(versions, keys)
     payload = F.struct(*[F.col(c) for c in attach])
     carried = [c for c in facts.columns if c not in keys and c != at]
     empty = F.lit(None)
@@ -177,12 +176,20 @@ def version_at(
         empty.cast(versions.select(payload.alias("x")).schema["x"].dataType).alias("_version"),
         F.struct(*carried).alias("_fact"),
     )
-    cut = hotkeys.cut_hot_keys(opens.unionByName(asks), keys, F.to_date(at), hot)
     order = [at, "_kind", *[f"_tie_{i}" for i in range(len(tie))]]
+    if hot is not None:  # places of many facts at one time differ by their content
+        order = [*order, "_spread"]
+    merged = opens.unionByName(asks)
+    if hot is not None:
+        merged = merged.withColumn("_spread", F.xxhash64("_fact"))
+    cut = hotkeys.cut_hot_keys(merged, keys, order, hot)
     filled = hotkeys.last_known(cut, keys, order, "_version", "_valid")
-    return filled.filter("_kind = 1").select(
+    found = filled.filter("_kind = 1").select(
         *keys,
         F.col(at).cast(facts.schema[at].dataType).alias(at),
         *[F.col(f"_fact.{c}").alias(c) for c in carried],
         *[F.col(f"_valid.{c}").alias(c) for c in attach],
     )
+    return found.unionByName(unkeyed.withColumns(
+        {c: F.lit(None).cast(found.schema[c].dataType) for c in attach}
+    ).select(*found.columns))

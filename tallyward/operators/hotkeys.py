@@ -1,15 +1,19 @@
 """Ordered per-key lookups that survive hot keys.
 
 A window over ``PARTITION BY key`` sends every row of a key to one task. That
-is fine until one key holds a large share of the table. Keys above a row bound
-are therefore cut into slices by a monotone function of the ordering column (a
-day, say). Each slice is its own window partition, and one summary row per
-slice carries the edge values across slice borders.
-
-Hot keys are looked for once, when a lookup is set up: a count per key with
-map-side combine. There are at most ``rows / HOT_ROWS`` of them, which bounds
-the list. Where there are none, which is the usual case, the plan is the plain
-window and nothing else.
+is fine until one key holds a large share of the table. The caller may
+therefore pass a table of hot keys with their numbers of rows (``hot_keys``,
+written once per load with ``stored_copy``). The rows of these keys are cut into
+slices; each slice is its own window partition, and one summary row per slice
+carries the edge values across slice borders. Without such a table the plan is
+the plain window and nothing else. Nothing is counted or collected while a plan
+is built.
+
+Cuts are places in the full order of the window: a sample of the rows of a hot
+key, picked by a hash of key and place, gives about ``SLICES`` cuts per key,
+and a row's slice is the number of cuts at or before its place. So a crowded
+day or value is split like any other stretch, NULL places have a slice, equal
+places share one, and a rerun cuts alike.
 """
 
 from __future__ import annotations
@@ -17,35 +21,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-HELD_KEYS = 100_000
+SLICES = 64
+ROWS = "_rows"
 SLICE = "_slice"
+_SPAN = 1 << 40
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counted.filter(F.col("_rows") >= hot_rows).select(*keys)
+def hot_keys(df: DataFrame, keys: list[str], at_least: int) -> DataFrame:
+    """Keys with at least so many rows, and their numbers of rows."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
+    return counted.filter(F.col(ROWS) >= at_least)
 
 
-def cut_hot_keys(df: DataFrame, keys: list[str], slice_by: Column, hot: int | DataFrame = HOT_ROWS) -> DataFrame:
-    """Add ``_slice`` if there are hot keys: ``slice_by`` for them, else NULL.
+def cut_hot_keys(df: DataFrame, keys: list[str], order: list[str], hot: DataFrame | None, slices: int = SLICES) -> DataFrame:
+    """Add ``_slice`` if there is a table of hot keys: a number for their rows, else NULL.
 
-    ``hot`` is a row bound, or the hot keys themselves when they can be had
-    from a cheaper source than ``df``. Slicing changes no result, so that
-    source may count differently. ``keys`` must not be NULL.
+    ``hot`` has the keys and their rows (``_rows``); it may count more or fewer
+    rows than ``df`` has, as slicing changes no result. Keys must not be NULL.
     """
-    listed = hot if isinstance(hot, DataFrame) else hot_keys(df, keys, hot)
-    held = listed.select(*keys).limit(HELD_KEYS + 1).collect()
-    if not held:
+    if hot is None:
         return df
-    if len(held) <= HELD_KEYS:
-        listed = df.sparkSession.createDataFrame(held, listed.select(*keys).schema)
-    return (
-        df.join(F.broadcast(listed.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
-        .withColumn(SLICE, F.when(F.col("_hot"), slice_by))
-        .drop("_hot")
+    place = F.struct(*order)
+    listed = hot.select(*keys, ROWS)
+    picked = F.pmod(F.xxhash64(*keys, *order), F.lit(_SPAN)) < F.lit(_SPAN) * slices / F.col(ROWS)
+    cuts = (
+        df.select(*keys, *[c for c in order if c not in keys])
+        .join(listed, keys)
+        .filter(picked)
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_set(place)).alias("_cuts"))
     )
+    at = F.size(F.filter("_cuts", lambda cut: cut <= place))
+    return df.join(cuts, keys, "left").withColumn(SLICE, F.when(F.col("_cuts").isNotNull(), at)).drop("_cuts")
 
 
 def _parts(df: DataFrame, keys: list[str]) -> list[str]:
@@ -113,7 +120,7 @@ def _after_earlier_slices(df: DataFrame, wide: DataFrame, keys: list[str], out:
         return wide
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     wide = _carry(
-        df, wide, keys, [F.count(F.lit(1)).alias("_rows")], [F.sum("_rows").over(earlier).alias("_skipped")]
+        df, wide, keys, [F.count(F.lit(1)).alias(ROWS)], [F.sum(ROWS).over(earlier).alias("_skipped")]
     )
     return wide.withColumn(out, F.col(out) + F.coalesce("_skipped", F.lit(0))).drop("_skipped")
 
@@ -124,18 +131,22 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], out: str = "_n")
     return _after_earlier_slices(df, df.withColumn(out, F.row_number().over(near)), keys, out)
 
 
-def ranked_descending(
-    df: DataFrame, group: str, measure: str, step: float, out: str, hot: int | DataFrame = HOT_ROWS
-) -> DataFrame:
+def ranked_descending(df: DataFrame, group: str, measure: str, out: str, hot: DataFrame | None = None) -> DataFrame:
     """Add SQL ``rank()`` by ``measure`` descending within a text column, NULLs last.
 
-    Slices of a hot group are value bands ``step`` wide. Equal values share a
-    band, so a rank is the rows of all higher bands plus the rank in the band.
+    ``hot`` lists crowded groups by the column's name (a NULL group cannot be
+    listed). Equal values share a slice, so a rank is the rows of all earlier
+    slices plus the rank in the slice.
     """
-    keys = ["_group", "_no_group"]
-    rows = df.withColumns({"_group": F.coalesce(group, F.lit("")), "_no_group": F.col(group).isNull()})
-    band = F.coalesce(-F.floor(F.col(measure) / F.lit(step)), F.lit(2**62)).cast("bigint")
-    cut = cut_hot_keys(rows, keys, band, hot)
-    near = Window.partitionBy(*_parts(cut, keys)).orderBy(F.col(measure).desc_nulls_last())
+    keys, order = ["_group", "_no_group"], ["_no_measure", "_down"]
+    rows = df.withColumns({
+        "_group": F.coalesce(group, F.lit("")),
+        "_no_group": F.col(group).isNull(),
+        "_no_measure": F.col(measure).isNull(),
+        "_down": -F.col(measure),
+    })
+    listed = None if hot is None else hot.select(F.col(group).alias("_group"), F.lit(False).alias("_no_group"), ROWS)
+    cut = cut_hot_keys(rows, keys, order, listed)
+    near = Window.partitionBy(*_parts(cut, keys)).orderBy(*order)
     wide = _after_earlier_slices(cut, cut.withColumn(out, F.rank().over(near)), keys, out)
-    return wide.withColumn(out, F.col(out).cast("bigint")).drop(SLICE, *keys)
+    return wide.withColumn(out, F.col(out).cast("bigint")).drop(SLICE, *keys, *order)

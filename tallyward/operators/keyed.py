@@ -28,9 +28,11 @@ def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[Column]) -
 
 
 def newest_first(sequence: list[str], df: DataFrame, keys: list[str]) -> list[Column]:
-    """A total order: the sequence columns, then every other column."""
+    """A total order: the sequence columns, then a hash of all other columns,
+    then these columns, which are compared only where the hashes are equal."""
     rest = [c for c in df.columns if c not in sequence and c not in keys]
-    return [F.col(c).desc_nulls_last() for c in [*sequence, *rest]]
+    tie = [F.xxhash64(*rest).desc()] if rest else []
+    return [*[F.col(c).desc_nulls_last() for c in sequence], *tie, *[F.col(c).desc_nulls_last() for c in rest]]
 
 
 def dedup_latest(df: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
@@ -42,9 +44,7 @@ def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return not_null(df, keys).dropDuplicates(keys)
 
 
-def _one_per_key(source: DataFrame, keys: list[str], on_duplicate: str) -> DataFrame:
-    if on_duplicate == "latest":
-        raise ValueError("pass the source through dedup_latest first")
+def _one_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
     values = [c for c in source.columns if c not in keys]
     packed = source.groupBy(*keys).agg(
         F.max(F.struct(*[F.col(v) for v in values])).alias("_row"), F.count(F.lit(1)).alias("_copies")
@@ -66,7 +66,7 @@ def merge_upsert(
     A source with two rows for one key is an error. ``source_is_unique`` skips
     that check when the source comes straight from a dedup.
     """
-    source = source if source_is_unique else _one_per_key(source, keys, "fail")
+    source = source if source_is_unique else _one_per_key(source, keys)
     s = source.select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.struct(*source.columns).alias("_s")
     )
@@ -89,7 +89,7 @@ def merge_update_if(
 ) -> DataFrame:
     """MERGE without insert: matched rows that meet ``condition`` (over the
     target's columns) take the ``update`` columns of the source."""
-    s = _one_per_key(source.select(*keys, *update), keys, "fail").select(
+    s = _one_per_key(source.select(*keys, *update), keys).select(
         *keys, F.struct(*update).alias("_s")
     )
     take = F.coalesce(condition, F.lit(False)) & F.col("_s").isNotNull()

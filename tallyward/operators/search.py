@@ -1,15 +1,15 @@
 """Vector index upkeep, exact similarity search and prompt context.
 
-Search is exact. The questions of one call are few (somebody asks them) and
-travel to the index, never the index to them: each task scores its share of
-the index with one matrix product and keeps only the k best per question, so
-the shuffle carries ``tasks x questions x k`` rows whatever the index size.
+Search is exact for any number of questions. Questions are dealt into blocks
+and the index into shards, each of a bounded number of rows, by hash; every
+block meets every shard in one task, which makes one matrix product at a time
+and keeps the k best per question. So the shuffle carries the index once per
+block and ``shards x questions x k`` hits, never pairs, and nothing passes
+through the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -19,72 +19,77 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tallyward.functions import prompts
 from tallyward.functions.fixed_values import INDEX_MIN_ROWS, TOP_K
 
-QUESTIONS_PER_PASS = 2000
+BLOCK_QUESTIONS = 2_000
+SHARD_ROWS = 50_000
 SCORES_AT_ONCE = 4_000_000
 SCORE_DIGITS = 9
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    rows = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-    length = np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
-    return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
-
-
-def _best(frame: pd.DataFrame, question: str, key: str, k: int) -> pd.DataFrame:
-    ranked = frame.sort_values([question, "score", key], ascending=[True, False, True], kind="stable")
-    return ranked.groupby(question, sort=False).head(k)
-
-
-def _one_pass(index: DataFrame, key: str, vector: str, asked: pd.DataFrame, question: str, k: int, schema: StructType) -> DataFrame:
-    ids, wanted = asked[question].to_numpy(), _matrix(asked["vector"])
-    step = max(1, SCORES_AT_ONCE // len(ids))
+def _dealt(df: DataFrame, key: str, vector: str, own: str, rows: int, other: DataFrame, other_name: str, other_rows: int) -> DataFrame:
+    """Rows with a sound vector, by hash into parts of about ``rows`` rows, once for each part of the other side.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
-        for frame in frames:
-            frame = frame[frame[vector].notna()]
-            for at in range(0, len(frame), step):
-                part = frame.iloc[at : at + step]
-                keys = part[key].to_numpy()
-                # Rounded before ranking, so equal vectors tie and the key decides.
-                scores = np.round(_matrix(part[vector]) @ wanted.T, SCORE_DIGITS) + 0.0
-                if len(keys) > k:
-                    # Everything not below the k-th best score stays, ties included.
-                    bar = np.partition(scores, len(keys) - k, axis=0)[len(keys) - k]
-                    row, column = np.nonzero(scores >= bar)
-                else:
-                    row, column = np.indices(scores.shape).reshape(2, -1)
-                found = pd.DataFrame({question: ids[column], key: keys[row], "score": scores[row, column]})
-                best = _best(found if best is None else pd.concat([best, found]), question, key, k)
-        if best is not None:
-            yield best
-
-    return index.select(key, vector).mapInPandas(run, schema)
+    The numbers of parts are subqueries of the same plan."""
+    parts = lambda d, n: d.agg(F.greatest(F.ceil(F.count(F.lit(1)) / n), F.lit(1))).scalar()
+    sound = F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x))
+    return df.select(key, F.col(vector).cast("array<double>").alias("_vector")).withColumnRenamed("_vector", vector).filter(sound).select(
+        F.col(key),
+        F.col(vector),
+        F.size(vector).alias("_dim"),
+        F.pmod(F.xxhash64(key), parts(df, rows)).alias(own),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), parts(other, other_rows) - 1)).alias(other_name),
+    )
 
 
 def similarity_topk(
-    index: DataFrame, key: str, vector: str, questions: DataFrame, question: str, question_vector: str, k: int = TOP_K
+    index: DataFrame,
+    key: str,
+    vector: str,
+    questions: DataFrame,
+    question: str,
+    question_vector: str,
+    k: int = TOP_K,
+    block_questions: int = BLOCK_QUESTIONS,
+    shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """The ``k`` index rows nearest to each question by cosine, with rank.
 
     Filters on index metadata go on ``index`` beforehand and reach its scan.
-    The driver holds at most ``QUESTIONS_PER_PASS`` questions at a time;
-    a longer list is taken in hash slices, one pass over the index for each.
+    NULL vectors, and vectors with NULL or NaN, give no hits on either side;
+    vectors are compared with those of their own length.
     """
-    asked = questions.select(F.col(question), F.col(question_vector).alias("vector"))
     schema = StructType([questions.schema[question], index.schema[key], StructField("score", DoubleType())])
-    found = index.sparkSession.createDataFrame([], schema)
-    first = asked.limit(QUESTIONS_PER_PASS + 1).toPandas()
-    if len(first) <= QUESTIONS_PER_PASS:
-        passes = iter([first])
-    else:
-        # Twice the slices needed on average, so that uneven hashing stays in bounds.
-        slices = -(-2 * asked.count() // QUESTIONS_PER_PASS)
-        part = F.pmod(F.xxhash64(question), F.lit(slices))
-        passes = (asked.filter(part == i).toPandas() for i in range(slices))
-    for local in passes:
-        if not local.empty:
-            found = found.unionByName(_one_pass(index, key, vector, local, question, k, schema))
+    shards = _dealt(index, key, vector, "_shard", shard_rows, questions, "_block", block_questions)
+    blocks = _dealt(questions, question, question_vector, "_block", block_questions, index, "_shard", shard_rows)
+
+    def unit(vectors: pd.Series) -> np.ndarray:
+        rows = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+        length = np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
+        return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
+
+    def best(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(held) or not len(asked):
+            return pd.DataFrame()
+        found = None
+        ids, wanted, step = asked[question].to_numpy(), unit(asked[question_vector]), max(1, SCORES_AT_ONCE // len(asked))
+        for at in range(0, len(held), step):
+            part = held.iloc[at : at + step]
+            keys = part[key].to_numpy()
+            # Rounded before ranking, so equal vectors tie and the key decides.
+            scores = np.round(unit(part[vector]) @ wanted.T, SCORE_DIGITS) + 0.0
+            if len(keys) > k:
+                # Everything not below the k-th best score stays, ties included.
+                bar = np.partition(scores, len(keys) - k, axis=0)[len(keys) - k]
+                row, column = np.nonzero(scores >= bar)
+            else:
+                row, column = np.indices(scores.shape).reshape(2, -1)
+            new = pd.DataFrame({question: ids[column], key: keys[row], "score": scores[row, column]})
+            found = new if found is None else pd.concat([found, new])
+            found = found.sort_values([question, "score", key], ascending=[True, False, True], kind="stable")
+            found = found.groupby(question, sort=False).head(k)
+        return found
+
+    together = ["_shard", "_block", "_dim"]
+    found = shards.groupBy(*together).cogroup(blocks.groupBy(*together)).applyInPandas(best, schema)
     order = Window.partitionBy(question).orderBy(F.col("score").desc(), F.col(key))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
@@ -119,6 +124,33 @@ def apply_sync(index: DataFrame, embedded: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(embedded.filter("action <> 'delete'").select(*index.columns))
 
 
+def term_counts(docs: DataFrame, key: str, text: str, dims: int = 256) -> DataFrame:
+    """(key, dim, tf): terms of each text, hashed by md5 to ``dims`` dimensions.
+    The hash is one that any engine has, so vectors can be checked elsewhere."""
+    terms = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    dim = F.conv(F.substring(F.md5("_term"), 1, 8), 16, 10).cast("bigint") % dims
+    return (
+        docs.select(key, F.explode(terms).alias("_term"))
+        .groupBy(key, dim.cast("int").alias("dim"))
+        .agg(F.count(F.lit(1)).alias("tf"))
+    )
+
+
+def dimension_weights(counts: DataFrame, docs: DataFrame) -> DataFrame:
+    """(dim, idf): inverse document frequency of each dimension, over all of ``docs``."""
+    n = docs.agg(F.count(F.lit(1))).scalar()
+    return counts.groupBy("dim").agg(F.log((n + 1) / (F.count(F.lit(1)) + 1)).alias("idf"))
+
+
+def hashed_vectors(counts: DataFrame, weights: DataFrame, key: str, dims: int = 256) -> DataFrame:
+    """(key, embedding): TF-IDF vectors of ``dims`` numbers; their length does not matter to a cosine."""
+    weighed = counts.join(weights, "dim").groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("dim", F.col("tf") * F.col("idf")))).alias("_by_dim")
+    )
+    at = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.coalesce(F.try_element_at("_by_dim", d), F.lit(0.0)))
+    return weighed.select(key, at.alias("embedding"))
+
+
 def fit_text_vectors(docs: DataFrame, text: str, dims: int = 256):
     """A TF-IDF text embedder as a Spark ML pipeline: hashed terms, weighted
     and scaled to length one. Fitting is one aggregate of ``dims`` counters."""
@@ -155,19 +187,20 @@ def context_prompts(
 ) -> DataFrame:
     """One prompt per question: its hits in rank order, optional statistics of
     their codes, and the question. A question has at most k hits, so the
-    collected lists are short."""
+    collected lists are short; a question without hits has an empty context."""
     rows = hits.join(docs.select(key, label.alias("_line")), key)
     if stats is None:
         rows = rows.withColumn("_stat", F.lit(None).cast("string"))
     else:
         rows = rows.join(stats.select(key, stats_line.alias("_stat")), key, "left")
     line = F.struct("rank", "_line", "_stat")
-    grouped = rows.groupBy(question).agg(F.array_sort(F.collect_list(line)).alias("_hits"))
-    context = F.concat_ws("\n", F.transform("_hits", lambda h: F.concat(F.lit("- "), h["_line"])))
-    claims = F.concat_ws("\n", F.filter(F.transform("_hits", lambda h: h["_stat"]), lambda s: s.isNotNull()))
+    grouped = rows.groupBy(question).agg(F.array_sort(F.collect_list(line)).alias("_found"))
     texts = questions.select(question, F.col(question_text).alias("_q"))
-    return grouped.join(texts, question).select(
+    joined = texts.join(grouped, question, "left")
+    context = F.concat_ws("\n", F.transform("_found", lambda h: F.concat(F.lit("- "), h["_line"])))
+    claims = F.concat_ws("\n", F.filter(F.transform("_found", lambda h: h["_stat"]), lambda s: s.isNotNull()))
+    return joined.select(
         question,
-        F.size("_hits").alias("context_docs"),
+        F.coalesce(F.array_size("_found"), F.lit(0)).alias("context_docs"),
         F.format_string(prompts.ANSWER, context, claims, F.col("_q")).alias("prompt"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.fixed_values import IN_NETWORK
-from tallyward.operators.keyed import not_null
+from tallyward.operators.keyed import latest_per_key, newest_first, not_null
 from tallyward.schemas import schema
 
 TIME = "_updated_ts"
@@ -21,7 +21,8 @@ def _feed(claims: DataFrame, table: str, key: str, known: dict) -> DataFrame:
     """Columns of a declared dimension: known expressions, else typed NULLs."""
     fields = [f for f in schema(table) if not f.name.startswith("__")]
     columns = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
-    return not_null(claims.select(*columns), [key]).dropDuplicates([key, TIME])
+    rows = not_null(claims.select(*columns), [key])
+    return latest_per_key(rows, [key, TIME], newest_first([TIME], rows, [key, TIME]))
 
 
 def provider_changes(claims: DataFrame) -> DataFrame:

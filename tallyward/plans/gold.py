@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.functions.expressions import avg_stay_hours, exact_avg, exact_sum, month_of, percent, stay_seconds, tally
+from tallyward.functions.expressions import MONEY, avg_stay_hours, exact_avg, exact_sum, month_of, percent, stay_seconds, tally
 from tallyward.functions.fixed_values import (
     ALERT_SEVERITY,
     APPROVED,
@@ -25,8 +25,7 @@ from tallyward.functions.fixed_values import (
     PENDING,
 )
 from tallyward.operators.history import current_rows
-from tallyward.operators.hotkeys import HOT_ROWS, ranked_descending
-from tallyward.session import stored_copy
+from tallyward.operators.hotkeys import ranked_descending
 
 
 
@@ -52,7 +51,8 @@ def monthly_claims_summary(claims: DataFrame) -> DataFrame:
     )
 
 
-def provider_performance(claims: DataFrame, providers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def provider_performance(claims: DataFrame, providers: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """``hot`` lists crowded specialties, if there are any (see ``hotkeys``)."""
     per_provider = claims.groupBy("provider_id").agg(
         F.count("claim_id").alias("total_claims"),
         exact_sum("claim_amount").alias("total_billed"),
@@ -65,11 +65,7 @@ def provider_performance(claims: DataFrame, providers: DataFrame, hot_rows: int
     described = per_provider.join(attributes, "provider_id", "left").withColumn(
         "approval_rate_pct", percent("approved_claims", "total_claims")
     )
-    # One row per provider is left. It is stored, so that finding crowded
-    # specialties and ranking read it and not the claims again.
-    return ranked_descending(
-        stored_copy(described, "providers"), "specialty", "total_billed", 1e6, "specialty_rank", hot_rows
-    )
+    return ranked_descending(described, "specialty", "total_billed", "specialty_rank", hot)
 
 
 def risk_tier(spend: str, chronic: str):
@@ -141,16 +137,22 @@ def er_dept_summary(admissions: DataFrame) -> DataFrame:
 
 
 def network_utilization(claims: DataFrame, providers: DataFrame) -> DataFrame:
-    """The grain holds no provider, so the join precedes the aggregate; a hot
-    provider is split by the adaptive skew join when the dimension is large."""
+    """The grain holds no provider but counts patients once, so claims are
+    reduced to month, provider and patient before the provider is looked up."""
     network = providers.select("provider_id", "network_status", "specialty")
+    reduced = claims.groupBy(month_of("claim_date").alias("claim_month"), "provider_id", "patient_id").agg(
+        F.count("claim_id").alias("_claims"),
+        F.count("claim_amount").alias("_amounts"),
+        F.sum(F.col("claim_amount").cast(MONEY)).alias("_amount"),
+    )
+    total = F.sum("_amount").cast("double")
     return (
-        claims.join(network, "provider_id", "left")
-        .groupBy(month_of("claim_date").alias("claim_month"), "network_status", "specialty")
+        reduced.join(network, "provider_id", "left")
+        .groupBy("claim_month", "network_status", "specialty")
         .agg(
-            F.count("claim_id").alias("claim_count"),
-            exact_sum("claim_amount").alias("total_amount"),
-            exact_avg("claim_amount").alias("avg_amount"),
+            F.sum("_claims").alias("claim_count"),
+            total.alias("total_amount"),
+            F.try_divide(total, F.sum("_amounts")).alias("avg_amount"),
             F.countDistinct("patient_id").alias("patient_count"),
         )
     )

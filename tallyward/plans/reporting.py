@@ -45,13 +45,13 @@ def provider_performance_monthly(claims: DataFrame, providers: DataFrame) -> Dat
     )
 
 
-def readmissions(admissions: DataFrame, hot: int | DataFrame = hotkeys.HOT_ROWS) -> DataFrame:
+def readmissions(admissions: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Each admission with the next one of the patient and whether that one
     falls within 30 days of the discharge."""
     cut = hotkeys.cut_hot_keys(
         admissions.filter(F.col("patient_id").isNotNull() & F.col("admitted_at").isNotNull()),
         ["patient_id"],
-        F.to_date("admitted_at"),
+        ["admitted_at", "admission_id"],
         hot,
     )
     seen = hotkeys.neighbours(cut, ["patient_id"], ["admitted_at", "admission_id"], ["admitted_at"], after="_next")
@@ -177,9 +177,10 @@ def network_adequacy(claims: DataFrame, providers: DataFrame) -> DataFrame:
     There are no coordinates, so the distance stays NULL.
     """
     places = providers.select("provider_id", "state", "specialty")
+    seen = claims.select("provider_id", "patient_id", quarter_label("claim_date").alias("report_quarter")).distinct()
     return (
-        claims.join(places, "provider_id")
-        .groupBy("state", "specialty", quarter_label("claim_date").alias("report_quarter"))
+        seen.join(places, "provider_id")
+        .groupBy("state", "specialty", "report_quarter")
         .agg(
             F.countDistinct("provider_id").cast("int").alias("active_provider_cnt"),
             F.countDistinct("patient_id").alias("_members"),

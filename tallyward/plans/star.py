@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.fixed_values import DENIED, OUT_OF_NETWORK
 from tallyward.operators.history import START, version_at
-from tallyward.operators.hotkeys import HOT_ROWS
 
 HIGH_COST = 50_000
 FLAGS = ["is_denied", "is_out_of_network", "is_high_cost"]
@@ -50,10 +49,22 @@ def claim_flags(network_status: Column) -> list[Column]:
     ]
 
 
-def dim_claim_flags(facts: DataFrame) -> DataFrame:
+def flagged_claims(claims: DataFrame, providers: DataFrame) -> DataFrame:
+    """Flag keys with their numbers of claims. Claims are reduced to provider,
+    denial and cost before the provider's network is looked up."""
+    denied, _, costly = claim_flags(F.lit(None))
+    reduced = claims.groupBy("provider_id", denied.alias("_denied"), costly.alias("_costly")).agg(
+        F.count(F.lit(1)).alias("claim_count")
+    )
+    joined = reduced.join(providers.select("provider_id", "network_status"), "provider_id", "left")
+    outside = F.col("network_status") == OUT_OF_NETWORK
+    return joined.select(flag_key(F.col("_denied"), outside, F.col("_costly")).alias("flag_key"), "claim_count")
+
+
+def dim_claim_flags(counted: DataFrame) -> DataFrame:
     """The flag combinations in use, with the claims that carry each."""
     k = F.col("flag_key")
-    return facts.groupBy("flag_key").agg(F.count(F.lit(1)).alias("claim_count")).select(
+    return counted.groupBy("flag_key").agg(F.sum("claim_count").alias("claim_count")).select(
         "flag_key",
         (k.bitwiseAND(4) > 0).alias(FLAGS[0]),
         (k.bitwiseAND(2) > 0).alias(FLAGS[1]),
@@ -78,7 +89,7 @@ def dim_procedure(claims: DataFrame) -> DataFrame:
 
 
 def fact_claims(
-    claims: DataFrame, patients: DataFrame, providers: DataFrame, hot: int | DataFrame = HOT_ROWS
+    claims: DataFrame, patients: DataFrame, providers: DataFrame, hot: DataFrame | None = None
 ) -> DataFrame:
     """Claims with their dimension keys.
 

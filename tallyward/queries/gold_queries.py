@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyward.operators import keyed
+from tallyward.operators import hotkeys, keyed
 from tallyward.plans import gold
 from tallyward.queries.registry import query
+from tallyward.session import stored_copy
 from tallyward.sources import model, tables
 
 CLAIM_COLUMNS = (
@@ -15,9 +16,9 @@ CLAIM_COLUMNS = (
 
 @query("dedup_latest", "claims_fact", f"SELECT {CLAIM_COLUMNS} FROM claims_fact")
 def dedup_latest(spark, folder):
-    claims = model.claims_bronze(spark, folder)
-    best = keyed.dedup_latest(claims, ["claim_id"], ["_ingest_ts", "claim_amount"])
-    return best.select(*CLAIM_COLUMNS.split(", "))
+    """Duplicates go on the two numbers of the line key, before orders are joined."""
+    lines = keyed.dedup_latest(tables.table(spark, folder, "lineitem"), model.CLAIM_KEY, ["l_shipdate", "l_extendedprice"])
+    return model.as_claims(lines, tables.table(spark, folder, "orders")).select(*CLAIM_COLUMNS.split(", "))
 
 
 @query("duplicate_check", "claims_bronze",
@@ -56,6 +57,15 @@ def denials(spark, folder):
 
 query("monthly_claims_summary", "monthly_claims_summary", "SELECT * FROM monthly_claims_summary")(monthly)
 query("provider_performance", "provider_performance", "SELECT * FROM provider_performance")(performance)
+@query("provider_rank_sliced", "provider_performance", "SELECT provider_id, specialty, specialty_rank FROM provider_performance")
+def provider_rank_sliced(spark, folder):
+    """Every specialty of three or more providers in slices."""
+    providers = model.provider_dim(spark, folder)
+    crowded = stored_copy(hotkeys.hot_keys(providers, ["specialty"], 3), "crowded")
+    ranked = gold.provider_performance(model.claims_fact(spark, folder), providers, crowded)
+    return ranked.select("provider_id", "specialty", "specialty_rank")
+
+
 query("patient_risk_scores", "patient_risk_scores", "SELECT * FROM patient_risk_scores")(risk)
 query("diagnosis_trends", "diagnosis_trends", "SELECT * FROM diagnosis_trends")(trends)
 query("er_dept_summary", "er_dept_summary", "SELECT * FROM er_dept_summary")(departments)

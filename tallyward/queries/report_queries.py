@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyward.plans import reporting, star
 from tallyward.queries.registry import query
+from tallyward.session import stored_copy
 from tallyward.sources import model
 from tallyward.streaming import admissions as er
 
@@ -138,7 +139,6 @@ def dim_date(spark, folder):
 def claim_star(spark, folder):
     return star.fact_claims(
         model.claims_fact(spark, folder), model.patient_dim(spark, folder), model.provider_dim(spark, folder),
-        model.busy_patients(spark, folder),
     )
 
 
@@ -156,11 +156,21 @@ _STAR = """
 query("fact_claims_star", "claims_fact provider_dim patient_versions", _STAR)(claim_star)
 
 
+@query("fact_claims_star_sliced", "claims_fact provider_dim patient_versions", _STAR)
+def fact_claims_star_sliced(spark, folder):
+    """The same with the patients of 30 or more claims in slices."""
+    return star.fact_claims(
+        model.claims_fact(spark, folder), model.patient_dim(spark, folder), model.provider_dim(spark, folder),
+        stored_copy(model.busy_patients(spark, folder, 30), "busy"),
+    )
+
+
 @query("dim_claim_flags", "claims_fact provider_dim patient_versions", f"""
     SELECT flag_key, (flag_key & 4) > 0 AS is_denied, (flag_key & 2) > 0 AS is_out_of_network,
            (flag_key & 1) > 0 AS is_high_cost, count(*) AS claim_count FROM ({_STAR}) GROUP BY ALL""")
 def dim_claim_flags(spark, folder):
-    return star.dim_claim_flags(claim_star(spark, folder))
+    facts = star.flagged_claims(model.claims_fact(spark, folder), model.provider_dim(spark, folder))
+    return star.dim_claim_flags(facts)
 
 
 @query("dim_procedure", "claims_fact", """

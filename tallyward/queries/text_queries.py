@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyward.operators import enrich, search
-from tallyward.plans import gold
-from tallyward.queries.gold_queries import trends
 from tallyward.queries.registry import query
 from tallyward.sources import model
+from tallyward.session import stored_copy
 from tallyward.sources.tables import table
 
 _DESCRIBE = """'Describe the ' || CASE WHEN chronic_flag THEN 'chronic' ELSE 'acute' END || ' condition ' || icd10_code || ' ('
@@ -35,7 +34,7 @@ def enrich_pending(spark, folder):
            coalesce(ai_description, 'Answer to: ' || {_DESCRIBE}) AS ai_description FROM diagnosis_dim""")
 def enrich_merge(spark, folder):
     dim = model.diagnosis_dim(spark, folder)
-    return enrich.write_back(dim, enrich.describe_pending(dim))
+    return enrich.write_back(dim, stored_copy(enrich.describe_pending(dim), "descriptions"))
 
 
 @query("enrich_coverage", "diagnosis_dim", """
@@ -67,18 +66,25 @@ def triage_labels(spark, folder):
     return enrich.triage(model.er_silver(spark, folder))
 
 
-@query("claim_history_json", "claims_fact", """
+_HISTORY = """
     SELECT patient_id, part, count(*) AS claim_count,
            CAST(to_json(list({claim_date: claim_date, diagnosis_code: diagnosis_code, claim_amount: claim_amount,
                               claim_status: claim_status} ORDER BY n)) AS VARCHAR) AS claims_json
     FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY claim_date, claim_id) AS n,
                  CAST((row_number() OVER (PARTITION BY patient_id ORDER BY claim_date, claim_id) - 1) // 20 AS INTEGER) AS part
-          FROM claims_fact) GROUP BY patient_id, part""")
+          FROM claims_fact) GROUP BY patient_id, part"""
+
+
+@query("claim_history_json", "claims_fact", _HISTORY)
 def claim_history_json(spark, folder):
-    documents = enrich.claim_documents(
-        model.claims_fact(spark, folder), per_part=20, hot=model.busy_patients(spark, folder)
-    )
-    return documents.drop("prompt")
+    return enrich.claim_documents(model.claims_fact(spark, folder), per_part=20).drop("prompt")
+
+
+@query("claim_history_json_sliced", "claims_fact", _HISTORY)
+def claim_history_json_sliced(spark, folder):
+    """The same with the patients of 30 or more claims in slices."""
+    busy = stored_copy(model.busy_patients(spark, folder, 30), "busy")
+    return enrich.claim_documents(model.claims_fact(spark, folder), per_part=20, hot=busy).drop("prompt")
 
 
 @query("event_properties", "", """
@@ -125,6 +131,11 @@ def nearest(spark, folder, where=None, k=5):
     return search.similarity_topk(index, "icd10_code", "embedding", label_questions(spark, folder), "label", "question_vector", k)
 
 
+def in_units(hits):
+    """Scores in billionths, the digits by which hits are ranked."""
+    return hits.withColumn("score_e9", F.round(F.col("score") * 1e9).cast("bigint")).drop("score")
+
+
 def rounded(hits):
     return hits.withColumn("score", F.round("score", 6))
 
@@ -141,28 +152,77 @@ def vector_topk_filtered(spark, folder):
     return rounded(nearest(spark, folder, (F.col("category") == "ECONOMY") & F.col("chronic_flag"), 3))
 
 
-@query("rag_context", "diagnosis_dim diagnosis_trends", f"""WITH {_TOP.format(where="true", k=5)},
-    stat AS (SELECT diagnosis_code, CAST(sum(claim_count) AS BIGINT) AS n FROM diagnosis_trends GROUP BY ALL)
-    SELECT label, CAST(count(*) AS INTEGER) AS context_docs,
+_PROMPT = f"""WITH {_TOP.format(where="true", k=5)},
+    stat AS (SELECT diagnosis_code, CAST(sum(claim_count) AS BIGINT) AS n FROM diagnosis_trends GROUP BY ALL),
+    asked AS (SELECT label FROM mean UNION ALL SELECT -1),
+    prompts AS (SELECT asked.label, CAST(count(t.icd10_code) AS INTEGER) AS context_docs,
            'Answer the question from the context. Say so if the context does not suffice.' || chr(10) || 'CONTEXT:' || chr(10)
-           || string_agg('- [' || t.icd10_code || '] ' || description || ': ' || coalesce(ai_description, 'N/A'), chr(10) ORDER BY rank)
+           || coalesce(string_agg('- [' || t.icd10_code || '] ' || description || ': ' || coalesce(ai_description, 'N/A'), chr(10) ORDER BY rank), '')
            || chr(10) || 'CLAIMS:' || chr(10)
            || coalesce(string_agg(t.icd10_code || ': ' || n || ' claims', chr(10) ORDER BY rank), '')
-           || chr(10) || 'QUESTION: What marks group ' || label || '?' AS prompt
-    FROM top t JOIN diagnosis_dim d ON t.icd10_code = d.icd10_code LEFT JOIN stat ON diagnosis_code = t.icd10_code
-    GROUP BY label""")
+           || chr(10) || 'QUESTION: What marks group ' || asked.label || '?' AS prompt
+    FROM asked LEFT JOIN top t ON t.label = asked.label LEFT JOIN diagnosis_dim d ON t.icd10_code = d.icd10_code
+    LEFT JOIN stat ON diagnosis_code = t.icd10_code GROUP BY asked.label)"""
+
+
+@query("rag_context", "diagnosis_dim diagnosis_trends", _PROMPT + "SELECT * FROM prompts")
 def rag_context(spark, folder):
-    stats = gold.claim_stats(trends(spark, folder)).withColumnRenamed("diagnosis_code", "icd10_code")
+    """One question has no vector, and so a prompt without context. Claims are
+    counted for the codes that were found, and for no others."""
+    nowhere = F.lit(None).cast("array<double>")
+    questions = label_questions(spark, folder)
+    questions = questions.unionByName(
+        spark.range(1).select(
+            F.lit(-1).alias("label"), nowhere.alias("question_vector"), F.lit("What marks group -1?").alias("question_text")
+        )
+    )
+    hits = stored_copy(
+        search.similarity_topk(diagnosis_index(spark, folder), "icd10_code", "embedding", questions, "label", "question_vector"), "hits"
+    )
+    dim = model.diagnosis_dim(spark, folder)
+    found = hits.select(F.col("icd10_code").alias("diagnosis_code")).distinct()
+    stats = (
+        model.claims_fact(spark, folder).join(found, "diagnosis_code", "left_semi")
+        .groupBy(F.col("diagnosis_code").alias("icd10_code")).agg(F.count("claim_id").alias("total_claims"))
+    )
     label = F.concat(
         F.lit("["), F.col("icd10_code"), F.lit("] "), F.col("description"), F.lit(": "), F.coalesce("ai_description", F.lit("N/A"))
     )
     return search.context_prompts(
-        nearest(spark, folder), model.diagnosis_dim(spark, folder), "icd10_code", label,
-        label_questions(spark, folder), "label", "question_text",
+        hits, dim, "icd10_code", label, questions, "label", "question_text",
         stats, F.concat(F.col("icd10_code"), F.lit(": "), F.col("total_claims").cast("string"), F.lit(" claims")),
     )
 
 
+@query("rag_answers", "diagnosis_dim diagnosis_trends",
+       _PROMPT + "SELECT label, context_docs, 'Answer to: ' || prompt AS answer FROM prompts")
+def rag_answers(spark, folder):
+    """The model asked on each prompt. Answers are stored, so that it is asked once."""
+    asked = enrich.ask_model(rag_context(spark, folder), F.col("prompt"), enrich.offline_text, "answer")
+    return stored_copy(asked, "answers").drop("prompt")
+
+
+@query("vector_topk_many", "diagnosis_dim", """
+    WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+    q AS (SELECT vec_id * 8 + s AS q, CASE WHEN vec_id = 7 THEN NULL
+                 ELSE list_transform(e, lambda x, i: CASE WHEN i % 7 = s THEN -x ELSE x END) END AS e
+          FROM v, (SELECT unnest(range(5)) AS s)),
+    idx AS (SELECT icd10_code, e FROM diagnosis_dim JOIN v ON icd10_code = CAST(vec_id AS VARCHAR) WHERE vec_id % 20 = 0)
+    SELECT q, icd10_code, CAST(round(score * 1e9) AS BIGINT) AS score_e9, CAST(rank AS INTEGER) AS rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, icd10_code) AS rank
+          FROM (SELECT q, icd10_code, round(list_cosine_similarity(idx.e, q.e), 9) AS score FROM q, idx WHERE q.e IS NOT NULL))
+    WHERE rank <= 2""")
+def vector_topk_many(spark, folder):
+    """Five questions from each vector, more than one block of them; one vector is NULL."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    turned = vectors.select("vec_id", "e", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("s")).select(
+        (F.col("vec_id") * 8 + F.col("s")).alias("q"),
+        F.when(F.col("vec_id") != 7, F.transform("e", lambda x, i: F.when((i + 1) % 7 == F.col("s"), -x).otherwise(x))).alias("qv"),
+    )
+    index = diagnosis_index(spark, folder).where("cast(icd10_code as bigint) % 20 = 0")
+    return in_units(search.similarity_topk(index, "icd10_code", "embedding", turned, "q", "qv", 2, block_questions=700, shard_rows=10))
+
+
 @query("index_ready", "diagnosis_dim", """
     SELECT count(ai_description) AS enriched, count(ai_description) >= 10 AS ready FROM diagnosis_dim""")
 def index_ready(spark, folder):
@@ -186,11 +246,30 @@ def index_sync(spark, folder):
     return plan.select("doc_id", "action", "text_hash", F.length("text").cast("bigint").alias("chars"))
 
 
-@query("text_search")
+_VECTORS = r"""
+    words AS (SELECT 'd' AS side, doc_id AS id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS w FROM documents
+              UNION ALL SELECT 'q', item_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) FROM benchmark),
+    counts AS (SELECT side, id, CAST(CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 256 AS INTEGER) AS dim, count(*) AS tf
+               FROM words WHERE w <> '' GROUP BY ALL),
+    idf AS (SELECT dim, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf FROM counts WHERE side = 'd' GROUP BY dim),
+    weighed AS (SELECT side, id, dim, tf * idf AS x FROM counts JOIN idf USING (dim)),
+    norm AS (SELECT side, id, sqrt(sum(x * x)) AS n FROM weighed GROUP BY ALL),
+    dots AS (SELECT q.id AS item_id, d.id AS doc_id, sum(q.x * d.x) AS dot FROM weighed q JOIN weighed d ON q.dim = d.dim
+             WHERE q.side = 'q' AND d.side = 'd' GROUP BY ALL),
+    scores AS (SELECT item_id, doc_id, round(dot / q.n / d.n, 9) AS score FROM dots
+               JOIN norm q ON q.side = 'q' AND q.id = item_id JOIN norm d ON d.side = 'd' AND d.id = doc_id)"""
+
+
+@query("text_search", "", f"""WITH {_VECTORS}
+    SELECT item_id, doc_id, CAST(round(score * 1e9) AS BIGINT) AS score_e9, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores) WHERE rank <= 5""")
 def text_search(spark, folder):
     """Benchmark passages looked up in the documents by TF-IDF vectors."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    fitted = search.fit_text_vectors(docs, "text")
-    questions = search.embed_text(fitted, table(spark, folder, "benchmark")).select("item_id", "embedding")
-    index = search.embed_text(fitted, docs)
-    return search.similarity_topk(index, "doc_id", "embedding", questions, "item_id", "embedding", 5)
+    counts = stored_copy(search.term_counts(docs, "doc_id", "text"), "terms")
+    weights = stored_copy(search.dimension_weights(counts, docs), "weights")
+    asked = search.term_counts(table(spark, folder, "benchmark"), "item_id", "text")
+    questions = search.hashed_vectors(asked, weights, "item_id")
+    return in_units(search.similarity_topk(
+        search.hashed_vectors(counts, weights, "doc_id"), "doc_id", "embedding", questions, "item_id", "embedding", 5
+    ))

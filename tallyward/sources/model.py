@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyward.functions.expressions import padded, stay_seconds
 from tallyward.functions.fixed_values import APPROVED, DENIED, IN_NETWORK, OUT_OF_NETWORK, PENDING
 from tallyward.operators.history import scd2_versions
-from tallyward.operators.hotkeys import HOT_ROWS
+from tallyward.operators.hotkeys import ROWS
 from tallyward.operators.keyed import latest_per_key
 from tallyward.sources.tables import table
 
@@ -30,7 +30,7 @@ def claim_newest() -> list[Column]:
     return [F.col("l_shipdate").desc(), F.col("l_extendedprice").desc()]
 
 
-def _as_claims(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def as_claims(lines: DataFrame, orders: DataFrame) -> DataFrame:
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select(
         F.concat_ws("-", text("l_orderkey"), text("l_linenumber")).alias("claim_id"),
@@ -54,7 +54,7 @@ def _as_claims(lines: DataFrame, orders: DataFrame) -> DataFrame:
 
 def claims_bronze(spark: SparkSession, folder: str) -> DataFrame:
     """All claim rows, repeated loads included."""
-    return _as_claims(table(spark, folder, "lineitem"), table(spark, folder, "orders"))
+    return as_claims(table(spark, folder, "lineitem"), table(spark, folder, "orders"))
 
 
 def claims_fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,10 +64,10 @@ def claims_fact(spark: SparkSession, folder: str) -> DataFrame:
     large order over tasks, and repeated rows are not joined at all.
     """
     lines = latest_per_key(table(spark, folder, "lineitem"), CLAIM_KEY, claim_newest())
-    return _as_claims(lines, table(spark, folder, "orders"))
+    return as_claims(lines, table(spark, folder, "orders"))
 
 
-def busy_patients(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def busy_patients(spark: SparkSession, folder: str, at_least: int) -> DataFrame:
     """Patients with many claim loads, from counts per order: two columns are
     read, and no claim is deduplicated or joined to find them."""
     per_order = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_lines"))
@@ -75,9 +75,9 @@ def busy_patients(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) ->
     counted = (
         orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy("patient_id")
-        .agg(F.sum("_lines").alias("_lines"))
+        .agg(F.sum("_lines").alias(ROWS))
     )
-    return counted.filter(F.col("_lines") >= hot_rows).select("patient_id")
+    return counted.filter(F.col(ROWS) >= at_least)
 
 
 def provider_dim(spark: SparkSession, folder: str) -> DataFrame:

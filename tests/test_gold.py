@@ -2,6 +2,7 @@ from datetime import date, datetime
 
 import pytest
 
+from tallyward.operators import hotkeys
 from tallyward.plans import gold, reporting, star
 from tallyward.schemas import SCHEMAS, conform, empty_table, schema
 
@@ -91,7 +92,7 @@ def test_readmission_needs_thirty_days(spark, hot_rows):
     day = lambda n: datetime(2024, 1, 1) + __import__("datetime").timedelta(days=n)
     rows = [("p", "1", day(0), day(1)), ("p", "2", day(31), day(32)), ("p", "3", day(63), None), ("p", "4", day(64), day(65))]
     df = spark.createDataFrame(rows, "patient_id STRING, admission_id STRING, admitted_at TIMESTAMP, discharged_at TIMESTAMP")
-    got = reporting.readmissions(df, hot_rows).collect()
+    got = reporting.readmissions(df, hotkeys.hot_keys(df, ["patient_id"], hot_rows)).collect()
     assert {r["admission_id"]: r["readmitted"] for r in got} == {"1": True, "2": False, "3": False, "4": False}
 
 

@@ -1,78 +1,62 @@
-from datetime import date, datetime
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyward.operators import changelog, keyed
 
-SCHEMA = (
-    "claim_id STRING, patient_id STRING, provider_id STRING, diagnosis_code STRING, claim_amount DOUBLE, "
-    "claim_status STRING, claim_date DATE, _updated_ts TIMESTAMP"
-)
-UPDATE = ["claim_status", "claim_amount", "_updated_ts"]
-FIRST = ("CLM001", "PAT001", "PRV001", "E11.9", 1250.0, "PENDING", date(2024, 1, 15), datetime(2024, 1, 15))
-SECOND = ("CLM002", "PAT002", "PRV002", "I10", 890.5, "APPROVED", date(2024, 1, 16), datetime(2024, 1, 16))
-SETTLED = (*FIRST[:5], "APPROVED", date(2024, 1, 15), datetime(2024, 1, 20))
-NEW = ("CLM999", "PAT003", "PRV003", "J44.1", 3200.0, "APPROVED", date(2024, 1, 17), datetime(2024, 1, 17))
+LOANS = "loan STRING, branch STRING, due DOUBLE, state STRING, seen TIMESTAMP"
+DAY = lambda n: datetime(2031, 5, n)
+OPEN = ("l1", "quay", 40.0, "open", DAY(1))
+LATE = ("l2", "mill", 15.5, "late", DAY(2))
+PAID = ("l1", "moved", 0.0, "paid", DAY(9))
+FRESH = ("l7", "quay", 99.0, "open", DAY(9))
 
 
 @pytest.fixture
 def table(spark):
-    return lambda *r: spark.createDataFrame(list(r), SCHEMA)
+    return lambda *r: spark.createDataFrame(list(r), LOANS)
 
 
 def merge(target, source):
-    return keyed.merge_upsert(target, source, ["claim_id"], UPDATE)
+    return keyed.merge_upsert(target, source, ["loan"], ["due", "state", "seen"])
 
 
-def test_same_rows_again_do_not_duplicate(table, rows):
-    stored = table(FIRST, SECOND)
-    assert rows(merge(stored, stored)) == rows(stored)
-
-
-def test_match_takes_listed_columns_only(table, rows):
-    moved = ("CLM001", "OTHER", "OTHER", "OTHER", 7.0, "APPROVED", date(2030, 1, 1), datetime(2024, 1, 20))
-    got = merge(table(FIRST, SECOND), table(moved)).filter("claim_id = 'CLM001'").collect()
-    assert [tuple(r) for r in got] == [(*FIRST[:4], 7.0, "APPROVED", date(2024, 1, 15), datetime(2024, 1, 20))]
+def test_upsert_takes_listed_columns_and_inserts_whole_rows(table, rows):
+    got = merge(table(OPEN, LATE), table(PAID, FRESH))
+    assert rows(got) == sorted([("l1", "quay", 0.0, "paid", DAY(9)), LATE, FRESH], key=repr)
 
 
-def test_update_to_null_is_taken(table):
-    cleared = (*FIRST[:5], None, date(2024, 1, 15), datetime(2024, 1, 20))
-    got = merge(table(FIRST), table(cleared)).first()
-    assert got["claim_status"] is None
-
-
-def test_unknown_key_is_inserted_whole(table, rows):
-    assert rows(merge(table(FIRST, SECOND), table(NEW))) == sorted([FIRST, SECOND, NEW], key=repr)
+def test_upsert_of_the_same_source_again_changes_nothing(table, rows):
+    once = merge(table(OPEN, LATE), table(PAID, FRESH))
+    assert changelog.same_table(once, merge(once, table(PAID, FRESH))).count() == 0
+    stored = table(OPEN, LATE)
+    assert rows(merge(stored, stored)) == rows(stored)
 
 
-def test_merging_twice_changes_nothing(table):
-    once = merge(table(FIRST, SECOND), table(SETTLED, NEW))
-    twice = merge(once, table(SETTLED, NEW))
-    assert changelog.same_table(once, twice).count() == 0
+def test_upsert_takes_nulls(table):
+    assert merge(table(OPEN), table((*PAID[:3], None, DAY(9)))).first()["state"] is None
 
 
-def test_two_source_rows_for_a_key_fail(table):
+def test_upsert_refuses_two_rows_for_a_key(table):
     with pytest.raises(Exception, match="several rows"):
-        merge(table(FIRST), table(SETTLED, (*SETTLED[:5], "DENIED", *SETTLED[6:]))).collect()
+        merge(table(OPEN), table(PAID, (*PAID[:3], "late", DAY(9)))).collect()
 
 
 def test_null_keys_are_filtered(table):
-    assert keyed.not_null(table(FIRST, (None, *SECOND[1:])), ["claim_id"]).count() == 1
-    assert keyed.any_null(table(FIRST, (None, *SECOND[1:])), ["claim_id", "patient_id"]).count() == 1
+    some = table(OPEN, (None, *LATE[1:]), ("l3", None, 1.0, "open", DAY(3)))
+    assert keyed.not_null(some, ["loan"]).count() == 2
+    assert keyed.any_null(some, ["loan", "branch"]).count() == 2
 
 
 def test_dedup_keeps_the_latest(table):
-    early = (*FIRST[:7], datetime(2024, 1, 15, 8))
-    late = (*FIRST[:5], "APPROVED", FIRST[6], datetime(2024, 1, 15, 9))
-    got = keyed.dedup_latest(table(early, late), ["claim_id"], ["_updated_ts"]).collect()
-    assert [r["claim_status"] for r in got] == ["APPROVED"]
+    got = keyed.dedup_latest(table(OPEN, PAID, LATE), ["loan"], ["seen"]).collect()
+    assert {(r["loan"], r["state"]) for r in got} == {("l1", "paid"), ("l2", "late")}
 
 
 def test_dedup_settles_equal_times_by_the_other_columns(table, rows):
-    a = (*FIRST[:5], "APPROVED", *FIRST[6:])
-    b = (*FIRST[:5], "DENIED", *FIRST[6:])
-    pick = lambda *r: rows(keyed.dedup_latest(table(*r), ["claim_id"], ["_updated_ts"]))
+    a, b = OPEN, (*OPEN[:3], "late", OPEN[4])
+    pick = lambda *r: rows(keyed.dedup_latest(table(*r), ["loan"], ["seen"]))
     assert pick(a, b) == pick(b, a)
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.operators import enrich, search
+from tallyward.operators import enrich, hotkeys, search
 
 DIM = "icd10_code STRING, description STRING, category STRING, chronic_flag BOOLEAN, ai_description STRING"
 
@@ -70,7 +70,7 @@ def test_claim_documents_keep_every_claim_in_order(spark, hot_rows):
 
     rows = [("p" if i % 4 else "q", f"c{i:03}", date(2024, 1, 1) + timedelta(days=i % 9), "d", float(i), "PENDING") for i in range(60)]
     df = spark.createDataFrame(rows, "patient_id STRING, claim_id STRING, claim_date DATE, diagnosis_code STRING, claim_amount DOUBLE, claim_status STRING")
-    parts = enrich.claim_documents(df, per_part=7, hot=hot_rows).orderBy("patient_id", "part").collect()
+    parts = enrich.claim_documents(df, per_part=7, hot=hotkeys.hot_keys(df, ["patient_id"], hot_rows)).orderBy("patient_id", "part").collect()
     assert max(r["claim_count"] for r in parts) == 7
     for patient in "pq":
         seen = [c["claim_amount"] for r in parts if r["patient_id"] == patient for c in json.loads(r["claims_json"])]
@@ -90,19 +90,28 @@ def brute_force(index, questions, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("per_pass", [3, 1000])
-def test_search_matches_brute_force(spark, rows, monkeypatch, per_pass):
-    monkeypatch.setattr(search, "QUESTIONS_PER_PASS", per_pass)
+@pytest.mark.parametrize("blocks, shards", [(3, 50), (1000, 10**6)])
+def test_search_matches_brute_force(spark, rows, blocks, shards):
     rng = np.random.default_rng(3)
     index = [(f"k{i:03}", rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(200)]  # many equal scores
     questions = [(i, rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(9)]
     got = search.similarity_topk(
         spark.createDataFrame(index, "key STRING, v ARRAY<FLOAT>").repartition(5), "key", "v",
-        spark.createDataFrame(questions, "q INT, qv ARRAY<DOUBLE>"), "q", "qv", 6,
+        spark.createDataFrame(questions, "q INT, qv ARRAY<DOUBLE>"), "q", "qv", 6, blocks, shards,
     )
     assert rows(got, "q", "key", "rank") == brute_force(index, questions, 6)
 
 
+def test_search_of_unsound_vectors_has_no_hits(spark, rows):
+    index = spark.createDataFrame([("a", [1.0, 0.0]), ("b", None), ("c", [1.0])], "key STRING, v ARRAY<FLOAT>")
+    asked = spark.createDataFrame([(1, [1.0, 1.0]), (2, None), (3, [None, 1.0]), (4, [2.0])], "q INT, qv ARRAY<DOUBLE>")
+    hits = search.similarity_topk(index, "key", "v", asked, "q", "qv", 3)
+    assert rows(hits, "q", "key", "rank") == [(1, "a", 1), (4, "c", 1)]
+    texts = asked.withColumn("t", F.lit("why?"))
+    prompts = search.context_prompts(hits, index.select("key", F.col("key").alias("line")), "key", F.col("line"), texts, "q", "t")
+    assert rows(prompts, "q", "context_docs") == [(1, 1), (2, 0), (3, 0), (4, 1)]
+
+
 def test_search_without_questions_is_empty(spark):
     index = spark.createDataFrame([("k", [1.0])], "key STRING, v ARRAY<FLOAT>")
     none = spark.createDataFrame([], "q INT, qv ARRAY<DOUBLE>")
