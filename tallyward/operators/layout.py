@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from tallyward.functions.fixed_values import COMPACT_BYTES
 
-SAMPLE_ROWS = 20_000
-
 
 def spread(df: DataFrame) -> Column:
     """A value per row that splits rows with equal clustering keys, so that a
@@ -32,37 +30,58 @@ def write_clustered(df: DataFrame, folder: str, columns: list[str], files: int |
     return folder
 
 
-def _cuts(stored: DataFrame, columns: list[str], cells: int) -> list[list]:
-    """Cut points of about equal shares per column, from one bounded sample.
-
-    They steer only the layout; every row is kept whatever they are. Counting
-    a stored table reads file footers, and the sample reads these columns only.
-    """
-    share = min(1.0, SAMPLE_ROWS / max(1, stored.count()))
-    picked = stored.select(*columns).sample(share, seed=7).limit(2 * SAMPLE_ROWS).collect()
-    found = []
-    for c in columns:
-        values = sorted(r[c] for r in picked if r[c] is not None)
-        found.append(sorted({values[len(values) * i // cells] for i in range(1, cells)}) if values else [])
-    return found
+STRING_BYTES = 7
 
 
-def _cell(column: str, cuts: list) -> Column:
-    """Number of cut points at or below the value, by binary choice."""
+def _numbers(stored: DataFrame, columns: list[str]) -> dict[str, Column]:
+    """Each column as a number that grows with it: dates and times as counts,
+    strings as the bytes that follow the prefix all of them share."""
+    types = dict(stored.dtypes)
+    texts = [c for c in columns if types[c] == "string"]
+    ends = stored.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(texts) for n, f in (("low", F.min), ("high", F.max))]).first() if texts else None
+    out = {}
+    for c in columns:
+        if types[c] == "string":
+            low, high = (ends[f"{n}{texts.index(c)}"] or "" for n in ("low", "high"))
+            shared = next((k for k, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
+            bytes_ = F.rpad(F.hex(F.substring(F.substring(c, shared + 1, STRING_BYTES).cast("binary"), 1, STRING_BYTES)), 2 * STRING_BYTES, "0")
+            out[c] = F.conv(bytes_, 16, 10).cast("bigint")
+        elif types[c] == "date":
+            out[c] = F.unix_date(c).cast("bigint")
+        elif types[c].startswith("timestamp"):
+            out[c] = F.unix_micros(F.col(c).cast("timestamp"))
+        else:
+            out[c] = F.col(c)
+    return out
+
+
+def _cell(number: Column, cuts: list) -> Column:
+    """Number of cut points at or below the value, by binary choice; 0 for NULL."""
 
     def choose(low: int, high: int) -> Column:
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
-        return F.when(F.col(column) < F.lit(cuts[middle]), choose(low, middle)).otherwise(choose(middle + 1, high))
+        return F.when(number < F.lit(cuts[middle]), choose(low, middle)).otherwise(choose(middle + 1, high))
+
+    return F.when(number.isNull(), F.lit(0)).otherwise(choose(0, len(cuts))).cast("bigint")
 
-    return F.when(F.col(column).isNull(), F.lit(0)).otherwise(choose(0, len(cuts))).cast("bigint")
 
+def with_z_value(stored: DataFrame, columns: list[str], files: int) -> DataFrame:
+    """Add ``_z``, the interleaved bits of the columns' cells.
 
-def with_z_value(stored: DataFrame, columns: list[str], bits: int = 5) -> DataFrame:
-    """Add ``_z``, the interleaved bits of the columns' cells. The cells get
-    columns of their own, so that each is computed once per row."""
-    cells = {f"_cell{i}": _cell(c, cuts) for i, (c, cuts) in enumerate(zip(columns, _cuts(stored, columns, 2**bits), strict=True))}
+    Cells are quantiles of all stored rows, from one aggregate over these
+    columns; there are at least four cells in all for each file, so skipping
+    grows with the table. Only the cut points reach the driver. The cells get
+    columns of their own, so that each is computed once per row.
+    """
+    bits = max(1, -(-(4 * files - 1).bit_length() // len(columns)))
+    shares = [i / 2**bits for i in range(1, 2**bits)]
+    numbers = _numbers(stored, columns)
+    found = stored.agg(*[
+        F.percentile_approx(n, shares, 10 * 2**bits).alias(f"_q{i}") for i, n in enumerate(numbers.values())
+    ]).first()
+    cells = {f"_cell{i}": _cell(n, sorted(set(found[i] or []))) for i, n in enumerate(numbers.values())}
     parts = [
         F.shiftleft(F.shiftright(name, bit).bitwiseAND(F.lit(1)), bit * len(columns) + place)
         for bit in range(bits)
@@ -72,10 +91,10 @@ def with_z_value(stored: DataFrame, columns: list[str], bits: int = 5) -> DataFr
     return stored.withColumns(cells).withColumn("_z", z).drop(*cells)
 
 
-def z_order(spark: SparkSession, source: str, target: str, columns: list[str], files: int, bits: int = 5) -> str:
+def z_order(spark: SparkSession, source: str, target: str, columns: list[str], files: int) -> str:
     """Rewrite a stored table so that each file covers a small range of every column."""
     stored = spark.read.parquet(source)
-    placed = with_z_value(stored, columns, bits)
+    placed = with_z_value(stored, columns, files)
     (
         placed.repartitionByRange(files, "_z", spread(stored))
         .sortWithinPartitions("_z")
@@ -93,11 +112,11 @@ def folder_bytes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, source: str, target: str, target_bytes: int = COMPACT_BYTES) -> str:
-    """Rewrite small files into files of about the target size, unshuffled:
-    neighbouring inputs are read by one task each."""
+    """Rewrite small files into even files of about the target size."""
     size = folder_bytes(spark, source).first()["bytes"]
     files = max(1, -(-size // target_bytes))
-    spark.read.parquet(source).coalesce(files).write.mode("overwrite").parquet(target)
+    stored = spark.read.parquet(source)
+    stored.repartition(files, spread(stored)).write.mode("overwrite").parquet(target)
     return target
 
 
@@ -124,13 +143,14 @@ def files_to_read(stats: DataFrame, column: str, value) -> DataFrame:
     )
 
 
-def column_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Nulls, distinct values (sketched) and range per column, in one pass."""
+def column_statistics(df: DataFrame, columns: list[str], exact: tuple[str, ...] = ()) -> DataFrame:
+    """Nulls, distinct values and range per column, in one pass. Distinct
+    values are sketched, but counted for the columns in ``exact``."""
     aggregates, lines = [], []
     for c in columns:
         aggregates += [
             F.count_if(F.col(c).isNull()).alias(f"n_{c}"),
-            F.approx_count_distinct(c).alias(f"d_{c}"),
+            (F.countDistinct(c) if c in exact else F.approx_count_distinct(c)).alias(f"d_{c}"),
             F.min(c).cast("string").alias(f"lo_{c}"),
             F.max(c).cast("string").alias(f"hi_{c}"),
         ]
@@ -138,7 +158,7 @@ def column_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.col(f"n_{c}").alias("null_count"),
-                F.col(f"d_{c}").alias("approx_distinct"),
+                F.col(f"d_{c}").alias("distinct_count"),
                 F.col(f"lo_{c}").alias("min_value"),
                 F.col(f"hi_{c}").alias("max_value"),
             )

@@ -238,7 +238,7 @@ def claim_stats(trends: DataFrame) -> DataFrame:
     return trends.groupBy("diagnosis_code").agg(
         F.sum("claim_count").alias("total_claims"),
         F.round(exact_sum("total_amount") / 1e6, 2).alias("total_amount_m"),
-        F.round(exact_avg("avg_amount"), 0).alias("avg_claim_amount"),
+        F.round(F.try_divide(F.sum(F.col("avg_amount").cast("decimal(28,8)")).cast("double"), F.count("avg_amount")), 0).alias("avg_claim_amount"),
     )
 
 

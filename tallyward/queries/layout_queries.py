@@ -53,34 +53,41 @@ def rebalanced_write(spark, folder):
 
 
 @query("file_stats", "claims_fact", """
-    SELECT count(*) AS row_count, min(claim_date) AS min_claim_date, max(claim_date) AS max_claim_date,
-           min(patient_id) AS min_patient_id, max(patient_id) AS max_patient_id FROM claims_fact""")
+    SELECT CAST(year(claim_date) AS VARCHAR) AS label, count(*) AS row_count, min(claim_date) AS min_claim_date,
+           max(claim_date) AS max_claim_date, min(patient_id) AS min_patient_id, max(patient_id) AS max_patient_id
+    FROM claims_fact GROUP BY 1""")
 def file_stats(spark, folder):
-    """Statistics per file, brought together: the files cover the table."""
+    """Statistics per file of a table with one file per year; the year in the path labels a file."""
     out = shared_folder(spark, "stats")
-    layout.write_clustered(claims(spark, folder), out, ["claim_date"], files=8)
+    yearly = claims(spark, folder).withColumn("year", F.year("claim_date"))
+    yearly.repartition("year").write.partitionBy("year").parquet(out)
     per_file = layout.file_stats(spark.read.parquet(out), ["claim_date", "patient_id"])
-    return per_file.agg(
-        F.sum("row_count").alias("row_count"),
-        F.min("min_claim_date").alias("min_claim_date"),
-        F.max("max_claim_date").alias("max_claim_date"),
-        F.min("min_patient_id").alias("min_patient_id"),
-        F.max("max_patient_id").alias("max_patient_id"),
-    )
+    return per_file.withColumn("label", F.regexp_extract("file_path", "year=(\\d+)/", 1)).drop("file_path")
 
 
-@query("lookup_probe")
+@query("lookup_probe", "claims_fact", """
+    SELECT 'plain' AS layout, count(*) AS rows_found, false AS fewer_files FROM claims_fact WHERE patient_id = '7'
+    UNION ALL SELECT 'z', count(*), true FROM claims_fact WHERE patient_id = '7'""")
 def lookup_probe(spark, folder):
-    """Files a patient lookup opens, before and after Z-ordering."""
+    """Rows of a patient in the files that a lookup opens, and whether these
+    are fewer than without the layout."""
     out = shared_folder(spark, "probe")
     claims(spark, folder).repartition(16, "claim_id").write.parquet(f"{out}/plain")
     layout.z_order(spark, f"{out}/plain", f"{out}/z", ["patient_id", "claim_date"], 16)
+    may_hold = F.lit("7").between(F.col("min_patient_id"), F.col("max_patient_id"))
 
     def probe(name):
-        stats = layout.file_stats(spark.read.parquet(f"{out}/{name}"), ["patient_id"])
-        return layout.files_to_read(stats, "patient_id", "7").select(F.lit(name).alias("layout"), "files", "files_read", "rows_read")
+        stored = spark.read.parquet(f"{out}/{name}")
+        stats = layout.file_stats(stored, ["patient_id"])
+        read = layout.files_to_read(stats, "patient_id", "7").select(F.lit(name).alias("layout"), "files_read")
+        mine = stored.filter(F.col("patient_id") == "7").groupBy(F.col("_metadata.file_path").alias("file_path")).count()
+        found = stats.filter(may_hold).join(mine, "file_path").agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows_found"))
+        return read.withColumn("rows_found", found.scalar())
 
-    return probe("plain").unionByName(probe("z"))
+    plain = probe("plain")
+    both = plain.unionByName(probe("z"))
+    before = plain.select("files_read").scalar()
+    return both.select("layout", "rows_found", (F.col("files_read") < before).alias("fewer_files"))
 
 
 @query("point_lookup", "claims_fact", "SELECT count(*) AS claims FROM claims_fact WHERE patient_id = '7'")
@@ -89,9 +96,11 @@ def point_lookup(spark, folder):
 
 
 @query("column_statistics", "claims_bronze", """
-    SELECT 'claim_date' AS column_name, count(*) FILTER (claim_date IS NULL) AS null_count,
+    SELECT 'claim_date' AS column_name, count(*) FILTER (claim_date IS NULL) AS null_count, count(DISTINCT claim_date) AS distinct_count,
            CAST(min(claim_date) AS VARCHAR) AS min_value, CAST(max(claim_date) AS VARCHAR) AS max_value FROM claims_bronze
-    UNION ALL SELECT 'payer_id', count(*) FILTER (payer_id IS NULL), min(payer_id), max(payer_id) FROM claims_bronze""")
+    UNION ALL SELECT 'payer_id', count(*) FILTER (payer_id IS NULL), count(DISTINCT payer_id), min(payer_id), max(payer_id) FROM claims_bronze
+    UNION ALL SELECT 'claim_status', count(*) FILTER (claim_status IS NULL), count(DISTINCT claim_status), min(claim_status),
+                     max(claim_status) FROM claims_bronze""")
 def column_statistics(spark, folder):
-    # The sketched distinct count differs by engine and is left out here.
-    return layout.column_statistics(model.claims_bronze(spark, folder), ["claim_date", "payer_id"]).drop("approx_distinct")
+    names = ["claim_date", "payer_id", "claim_status"]
+    return layout.column_statistics(model.claims_bronze(spark, folder), names, exact=tuple(names))

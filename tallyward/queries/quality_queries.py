@@ -9,7 +9,7 @@ from tallyward.operators.quality import RuleSet
 from tallyward.queries.registry import query
 from tallyward.sources import model
 
-AS_OF = "DATE'2001-12-31'"
+AS_OF = "DATE'2019-12-31'"
 COLUMNS = "claim_id, patient_id, provider_id, diagnosis_code, claim_date, claim_amount, claim_status, payer_id, load_ref, load_date"
 DROPPED = "claim_id IS NULL OR patient_id IS NULL OR provider_id IS NULL"
 
@@ -50,7 +50,7 @@ def _metric(name: str, action: str, broken: str, source: str) -> str:
     _metric("provider_id_not_null", "drop", "provider_id IS NULL", "claims_unchecked"),
     _metric("claim_amount_positive", "warn", "claim_amount IS NULL OR claim_amount <= 0", "claims_unchecked"),
     _metric("claim_date_valid", "warn",
-            "claim_date IS NULL OR claim_date < DATE '2015-01-01' OR claim_date > DATE '2001-12-31'", "claims_unchecked"),
+            "claim_date IS NULL OR claim_date < DATE '2015-01-01' OR claim_date > DATE '2019-12-31'", "claims_unchecked"),
     _metric("claim_status_valid", "fail",
             "claim_status IS NULL OR claim_status NOT IN ('APPROVED', 'DENIED', 'PENDING')", "claims_unchecked"),
     _metric("diagnosis_code_not_null", "warn", "diagnosis_code IS NULL", "claims_unchecked"),

@@ -70,7 +70,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                CASE WHEN fault NOT IN (0, 1) THEN patient_id END AS patient_id,
                CASE WHEN fault <> 2 THEN provider_id END AS provider_id,
                CASE WHEN fault <> 3 THEN diagnosis_code END AS diagnosis_code,
-               CASE WHEN fault = 4 THEN DATE '2014-12-31' ELSE claim_date END AS claim_date,
+               CASE WHEN fault = 4 THEN DATE '2014-12-31' ELSE CAST(claim_date + INTERVAL 264 MONTH AS DATE) END AS claim_date,
                CASE WHEN fault = 5 THEN -claim_amount ELSE claim_amount END AS claim_amount,
                CASE WHEN fault <> 0 THEN claim_status END AS claim_status,
                payer_id, claim_id AS load_ref, CAST(ingest_ts AS DATE) AS load_date

@@ -175,7 +175,7 @@ def claims_unchecked(spark: SparkSession, folder: str) -> DataFrame:
         F.when(~fault.isin(0, 1), F.col("patient_id")).alias("patient_id"),
         F.when(fault != 2, F.col("provider_id")).alias("provider_id"),
         F.when(fault != 3, F.col("diagnosis_code")).alias("diagnosis_code"),
-        F.when(fault == 4, F.lit("2014-12-31").cast("date")).otherwise(F.col("claim_date")).alias("claim_date"),
+        F.when(fault == 4, F.lit("2014-12-31").cast("date")).otherwise(F.add_months("claim_date", 264)).alias("claim_date"),
         F.when(fault == 5, -F.col("claim_amount")).otherwise(F.col("claim_amount")).alias("claim_amount"),
         F.when(fault != 0, F.col("claim_status")).alias("claim_status"),
         "payer_id",
