@@ -38,6 +38,9 @@ HEADLINE = [
     "rag_context",
     "claim_history_json",
     "zorder_layout",
+    "text_search",
+    "network_adequacy",
+    "stream_scd2",
 ]
 
 

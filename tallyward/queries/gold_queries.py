@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallyward.operators import hotkeys, keyed
-from tallyward.plans import gold
+from tallyward.plans import gold, lifecycle
 from tallyward.queries.registry import query
-from tallyward.session import stored_copy
+from tallyward.session import shared_folder, stored_copy
 from tallyward.sources import model, tables
 
 CLAIM_COLUMNS = (
@@ -155,6 +157,41 @@ def gold_row_counts(spark, folder):
     return gold.row_counts({n: f(spark, folder) for n, f in GOLD.items()}, WANTED)
 
 
+# Every written gold table in three numbers: rows, a count and an amount.
+MEASURES = {
+    "monthly_claims_summary": ("total_claims", "total_amount"),
+    "provider_performance": ("total_claims", "total_billed"),
+    "patient_risk_scores": ("total_claims", "total_spend"),
+    "diagnosis_trends": ("claim_count", "total_amount"),
+    "er_dept_summary": ("total_admissions", "avg_los_hours"),
+    "network_utilization": ("claim_count", "total_amount"),
+    "payer_denial_analysis": ("denied_count", "denied_amount"),
+}
+
+
+@query("pipeline_batch_gold", " ".join(GOLD) + " claims_bronze", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count, CAST(sum({c}) AS BIGINT) AS total, "
+    f"CAST(sum(CAST({m} AS DECIMAL(28,6))) AS DOUBLE) AS amount, true AS stamped FROM {n}" for n, (c, m) in MEASURES.items()))
+def pipeline_batch_gold(spark, folder):
+    """The whole batch life cycle, and what its gold tables hold."""
+    paths = lifecycle.run(
+        spark, model.claims_bronze(spark, folder), model.er_silver(spark, folder),
+        {"providers": model.provider_dim(spark, folder), "patients": model.patient_dim(spark, folder),
+         "diagnoses": model.diagnosis_dim(spark, folder)},
+        shared_folder(spark, "lifecycle"), "DATE'2001-12-31'",
+    )
+    lines = None
+    for name, (count, amount) in MEASURES.items():
+        line = spark.read.parquet(paths[name]).agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(count).cast("bigint").alias("total"),
+            F.sum(F.col(amount).cast("decimal(28,6)")).cast("double").alias("amount"),
+            (F.count("_updated_ts") == F.count(F.lit(1))).alias("stamped"),
+        ).select(F.lit(name).alias("table_name"), "row_count", "total", "amount", "stamped")
+        lines = line if lines is None else lines.unionByName(line)
+    return lines
+
+
 @query("source_row_counts", "", """
     SELECT *, CASE WHEN row_count >= expected * 0.99 THEN 'OK' ELSE 'LOW' END AS status FROM (
     SELECT 'lineitem' AS table_name, count(*) AS row_count, 5000::BIGINT AS expected FROM lineitem

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyward.functions.expressions import exact_sum
 from tallyward.operators import history, quality
@@ -10,6 +11,7 @@ from tallyward.operators.quality import RuleSet
 from tallyward.queries.registry import query
 from tallyward.session import shared_folder
 from tallyward.sources import model
+from tallyward.sources.tables import REJECTED
 from tallyward.streaming import admissions, sinks
 from tallyward.streaming.sources import csv_stream, table_stream
 
@@ -109,6 +111,64 @@ def stream_csv_ingest(spark, folder):
     return plain_times(spark.read.parquet(f"{out}/t"), "admitted_at", "discharged_at")
 
 
+@query("stream_malformed", "er_admissions", """
+    SELECT 'sound' AS part, count(*) AS lines, CAST(sum(severity) AS BIGINT) AS severity FROM er_admissions WHERE severity <> 5
+    UNION ALL SELECT 'malformed', count(*), NULL FROM er_admissions WHERE severity = 5""")
+def stream_malformed(spark, folder):
+    """Lines whose severity is no number keep their text and reach no table as NULL."""
+    out = shared_folder(spark, "malformed")
+    severity = F.when(F.col("severity") == 5, F.lit("five")).otherwise(F.col("severity").cast("string")).alias("severity")
+    lines = model.er_admissions(spark, folder).select("admission_id", severity, "department")
+    lines.repartition(3, "admission_id").write.option("header", True).csv(f"{out}/landing")
+    declared = StructType.fromDDL("admission_id STRING, severity INT, department STRING")
+    raw = csv_stream(spark, f"{out}/landing", declared, files_per_batch=1, rejects=True)
+    finish(sinks.append_table(raw, f"{out}/t", f"{out}/c"))
+    bad = F.col(REJECTED).isNotNull() & F.col(REJECTED).contains("five")
+    part = F.when(bad, "malformed").otherwise("sound").alias("part")
+    return spark.read.parquet(f"{out}/t").groupBy(part).agg(F.count(F.lit(1)).alias("lines"), F.sum("severity").alias("severity"))
+
+
+@query("stream_late", "er_silver", f"""
+    SELECT * FROM ({HOURLY}) WHERE window_end <= (SELECT max(admitted_at) FROM er_silver) - INTERVAL 2 HOUR""")
+def stream_late(spark, folder):
+    """Three files: the earlier admissions, the later ones, and a late copy of
+    old ones, which the watermark drops."""
+    out = shared_folder(spark, "late")
+    rows = model.er_admissions(spark, folder)
+    middle = rows.agg(F.expr("timestamp_micros(percentile_approx(unix_micros(admitted_at), 0.5, 1000))")).scalar()
+    early = rows.filter(F.col("admitted_at") <= middle)
+    # late rows are judged by the watermark of one batch before
+    late = rows.filter((F.col("admitted_at") < middle - F.expr("INTERVAL 3 HOURS")) & (F.col("severity") >= 4))
+    for part in (early, rows.filter(F.col("admitted_at") > middle), late):
+        part.coalesce(1).write.mode("append").parquet(f"{out}/landing")
+    silver = admissions.cleanse(table_stream(spark, f"{out}/landing", files_per_batch=1))
+    finish(sinks.append_table(admissions.hourly_departments(silver), f"{out}/t", f"{out}/c"))
+    return plain_times(spark.read.parquet(f"{out}/t"), "window_start", "window_end")
+
+
+@query("stream_restart", "er_silver", CLEAN)
+def stream_restart(spark, folder):
+    """A stream that stops, and goes on from its checkpoint with new files, at
+    a fixed interval. Every admission is stored once."""
+    out = shared_folder(spark, "restart")
+    rows = model.er_admissions(spark, folder)
+    half = F.pmod(F.xxhash64("admission_id"), F.lit(2)) == 0
+
+    def start(every):
+        silver = admissions.cleanse(table_stream(spark, f"{out}/landing")).drop("_ingest_ts")
+        return sinks.append_table(silver, f"{out}/t", f"{out}/c", every)
+
+    rows.filter(half).write.parquet(f"{out}/landing")
+    finish(start(None))
+    rows.filter(~half).write.mode("append").parquet(f"{out}/landing")
+    again = start("1 second")
+    try:
+        again.processAllAvailable()
+    finally:
+        again.stop()
+    return plain_times(spark.read.parquet(f"{out}/t"), "admitted_at", "discharged_at")
+
+
 @query("stream_dedup", "er_admissions", "SELECT admission_id, admitted_at FROM er_admissions")
 def stream_dedup(spark, folder):
     """Every admission sent twice is kept once."""
