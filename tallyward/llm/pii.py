@@ -168,9 +168,26 @@ def votes(text: str, kind: str, start: int, end: int, strict: bool) -> tuple[int
     )
 
 
+def _covered(spans: list[tuple[str, int, int]]) -> list[list[int]]:
+    """The stretches that spans cover, apart and in order."""
+    out: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if out and a < out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
 def spans_with_votes(text: str | None) -> list[tuple[str, int, int, bool, tuple[int, ...]]]:
+    """Base spans, and the proposed spans that overlap none of them, with their votes."""
     base = base_spans(text)
-    more = proposed_spans(text)
+    taken, more, i = _covered(base), [], 0
+    for k, a, b in sorted(proposed_spans(text), key=lambda s: s[1:]):
+        while i < len(taken) and taken[i][1] <= a:
+            i += 1
+        if i == len(taken) or taken[i][0] >= b:
+            more.append((k, a, b))
     return [(k, a, b, True, votes(text, k, a, b, True)) for k, a, b in base] + [
         (k, a, b, False, votes(text, k, a, b, False)) for k, a, b in more
     ]
@@ -258,17 +275,9 @@ class SpanClassifier:
         more = sorted(
             (a, b, k) for k, a, b, own, said in found if not own and pattern(k, said) in self.accepted
         )
-        taken: list[list[int]] = []  # stretches that base spans cover, apart and in order
-        for a, b in sorted((a, b) for _, a, b in base):
-            if taken and a < taken[-1][1]:
-                taken[-1][1] = max(taken[-1][1], b)
-            else:
-                taken.append([a, b])
-        added, end, i = [], -1, 0
+        added, end = [], -1
         for a, b, k in more:
-            while i < len(taken) and taken[i][1] <= a:
-                i += 1
-            if a >= end and (i == len(taken) or taken[i][0] >= b):
+            if a >= end:
                 added.append((k, a, b))
                 end = b
         return base, sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1]))

@@ -98,6 +98,15 @@ def test_base_spans_of_cards_and_long_texts():
         pii.spans_with_votes(long)
 
 
+def test_proposals_keep_clear_of_base_spans():
+    text = "+1 (625) 555-7196, (625) 555-7196, x.y@mail.com, token=ab12cd34ef56"
+    found = pii.spans_with_votes(text)
+    assert [(k, text[a:b], own) for k, a, b, own, _ in found] == [
+        ("email", "x.y@mail.com", True), ("phone", "+1 (625) 555-7196", True),
+        ("phone", "(625) 555-7196", False), ("secret", "token=ab12cd34ef56", False),
+    ]
+
+
 def test_em_recovers_reliabilities():
     rng = np.random.default_rng(6)
     truth = rng.random(4_000) < 0.4
