@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.llm import common
+
 HIDDEN = 8
 WINDOW = 64
 #: Windows that the network reads at once.
@@ -224,10 +226,8 @@ def _batches(texts: list[bytes]):
 def train(docs: DataFrame, allowed: Column, epochs: int = 9) -> ByteNetwork:
     """Fit on windows of a bounded sample of the documents for which
     ``allowed`` holds. ``docs`` has doc_id, text and lang."""
-    ids = (
-        docs.where(allowed).where("lang is not null and doc_id is not null").select("doc_id", "lang")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(SAMPLE_DOCS)
-    )
+    named = docs.where(allowed).where("lang is not null and doc_id is not null").select("doc_id", "lang")
+    ids = common.smallest_hashes(named, SAMPLE_DOCS)
     chosen = ids.toPandas().drop_duplicates("doc_id").groupby("lang", sort=True).head(PER_LANGUAGE)
     languages = sorted(chosen["lang"].unique())
     if not languages:

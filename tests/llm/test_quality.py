@@ -7,7 +7,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyward.llm import ordinal, quality_rules
+from pyspark.sql import functions as F
+
+from tallyward.llm import common, ordinal, quality_rules
 
 TEXT = st.text(st.sampled_from(list("ab \n\t\x0b\x1c é#")), max_size=60)
 
@@ -121,3 +123,11 @@ def test_ordinal_without_ratings_and_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id long, grade int")
     got = ordinal.rate(docs, ordinal.train(docs, none, none["grade"])).collect()
     assert [(r.expected_grade, r.grade, r.p_tail, r.kept) for r in got] == [(0.0, 0, 0.0, False)] * 4
+
+
+def test_sample_is_the_smallest_hashes(spark):
+    rows = spark.range(20_000).selectExpr("id as doc_id", "cast(id % 3 as double) as y")
+    got = {r.doc_id for r in common.smallest_hashes(rows, 500).collect()}
+    order = rows.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("h")).toPandas().sort_values("h")
+    assert got == set(order["doc_id"][:500])
+    assert common.smallest_hashes(rows.limit(0), 5).count() == 0 and common.smallest_hashes(rows, 10**6).count() == 20_000
