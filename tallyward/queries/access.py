@@ -59,3 +59,11 @@ def access_table_claims(spark, folder):
     grants = model.provider_dim(spark, folder).select(F.col("specialty").alias("viewer"), "provider_id")
     view = masking.rows_by_access(model.claims_fact(spark, folder), "provider_id", grants, Viewer("ASIA"))
     return view.select("claim_id", "provider_id", "claim_amount")
+
+
+@query("secured_view_claims", "claims_fact", """
+    SELECT claim_id, DATE '1900-01-01' AS dob, 'REDACTED' AS patient_address, claim_amount FROM claims_fact WHERE provider_id = '7'""")
+def secured_view_claims(spark, folder):
+    """A view with masks and row filter, read by its name."""
+    masking.secured_view(model.claims_fact(spark, folder), "secured_claims", PERSONAL, "provider_id", Viewer("7"))
+    return spark.sql("SELECT claim_id, dob, patient_address, claim_amount FROM secured_claims")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyward import schemas
 from tallyward.operators import layout
 from tallyward.queries.gold_queries import CLAIM_COLUMNS, monthly
 from tallyward.queries.registry import query
@@ -104,3 +105,16 @@ def point_lookup(spark, folder):
 def column_statistics(spark, folder):
     names = ["claim_date", "payer_id", "claim_status"]
     return layout.column_statistics(model.claims_bronze(spark, folder), names, exact=tuple(names))
+
+
+@query("declared_table", "provider_dim", """
+    SELECT provider_id, provider_name, specialty, npi, network_status, state, CAST(NULL AS VARCHAR) AS hospital_affil,
+           CAST(NULL AS TIMESTAMP) AS _updated_ts FROM provider_dim""")
+def declared_table(spark, folder):
+    """A table declared in the catalog before it has rows, filled in its declared form and read by name."""
+    out = shared_folder(spark, "declared")
+    schemas.conform(model.provider_dim(spark, folder), "provider_dim").write.mode("overwrite").parquet(out)
+    spark.sql("DROP TABLE IF EXISTS declared_provider_dim")
+    schemas.create_table(spark, "provider_dim", "declared_provider_dim", out)
+    rows = spark.table("declared_provider_dim")
+    return rows.withColumn("_updated_ts", F.col("_updated_ts").cast("timestamp_ntz"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallyward.operators import quality
 from tallyward.operators.quality import RuleSet
 from tallyward.queries.registry import query
+from tallyward.session import shared_folder
 from tallyward.sources import model
 
 AS_OF = "DATE'2019-12-31'"
@@ -76,3 +78,40 @@ def er_dq_metrics(spark, folder):
 def er_dq_pass(spark, folder):
     good = quality.apply_rules(model.er_admissions(spark, folder), RuleSet.admissions())
     return good.select("admission_id", "patient_id", "department", "severity")
+
+
+@query("dq_observed", "claims_unchecked", f"""
+    SELECT 'claim_id_not_null' AS rule, count(*) FILTER (claim_id IS NULL) AS violations FROM claims_unchecked
+    UNION ALL SELECT 'diagnosis_code_not_null', count(*) FILTER (diagnosis_code IS NULL) FROM claims_unchecked
+    UNION ALL SELECT 'rows_stored', count(*) FROM claims_unchecked WHERE NOT ({DROPPED})""")
+def dq_observed(spark, folder):
+    """Violations counted in the same pass that stores the passing rows."""
+    seen, out = Observation("rules"), shared_folder(spark, "observed")
+    quality.apply_rules(model.claims_unchecked(spark, folder), RuleSet.claims(AS_OF), seen).write.parquet(out)
+    counts = F.array(*[
+        F.struct(F.lit(n).alias("rule"), F.lit(seen.get[n]).cast("bigint").alias("violations"))
+        for n in ("claim_id_not_null", "diagnosis_code_not_null")
+    ])
+    stored = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("violations")).select(F.lit("rows_stored").alias("rule"), "violations")
+    return spark.range(1).select(F.inline(counts)).unionByName(stored)
+
+
+@query("dq_halt", "claims_unchecked", """
+    SELECT 'as they are' AS input, count(*) FILTER (claim_status IS NULL) > 0 AS halted FROM claims_unchecked
+    UNION ALL SELECT 'sound', false""")
+def dq_halt(spark, folder):
+    """A fail rule stops the job where a row breaks it, and only there."""
+    rule = [r for r in RuleSet.claims(AS_OF).rules if r.name == "claim_status_valid"]
+    rows = model.claims_unchecked(spark, folder)
+
+    def halted(df) -> bool:
+        try:
+            quality.halt_on_violation(df, rule).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 - the error class differs by Spark version
+            if "claim_status_valid" not in str(e):
+                raise
+            return True
+        return False
+
+    found = [("as they are", halted(rows)), ("sound", halted(rows.filter("claim_status is not null")))]
+    return spark.createDataFrame(found, "input STRING, halted BOOLEAN")

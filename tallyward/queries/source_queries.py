@@ -48,3 +48,17 @@ def append_tables(spark, folder):
     labels.write.mode("overwrite").parquet(out)
     labels.write.mode("append").parquet(out)
     return spark.read.parquet(out)
+
+
+@query("ingest_columns", "", """
+    SELECT priority, orders, orders AS stamped, 1::BIGINT AS files FROM (
+        SELECT o_orderpriority AS priority, count(*) AS orders FROM orders GROUP BY ALL)""")
+def ingest_columns(spark, folder):
+    """Orders land in one CSV file per priority; each row knows its file and load time."""
+    out = shared_folder(spark, "landing")
+    orders = tables.table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    orders.withColumn("priority", F.col("o_orderpriority")).repartition("priority").write.partitionBy("priority").option("header", True).csv(out)
+    rows = tables.with_ingest_columns(tables.csv_table(spark, out, "o_orderkey BIGINT, o_orderpriority STRING"))
+    return rows.groupBy(F.col("o_orderpriority").alias("priority")).agg(
+        F.count(F.lit(1)).alias("orders"), F.count("_ingest_ts").alias("stamped"), F.countDistinct("_source_file").alias("files")
+    )

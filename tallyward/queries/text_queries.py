@@ -273,3 +273,19 @@ def text_search(spark, folder):
     return in_units(search.similarity_topk(
         search.hashed_vectors(counts, weights, "doc_id"), "doc_id", "embedding", questions, "item_id", "embedding", 5
     ))
+
+
+@query("index_synced", "", """
+    SELECT doc_id, md5(text) AS text_hash, length(text) AS vec FROM documents WHERE text IS NOT NULL""")
+def index_synced(spark, folder):
+    """The index after the sync of ``index_sync``; the vector here is the text's length."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    group = F.col("doc_id") % 10
+    known = docs.filter(group != 0).select(
+        "doc_id", F.md5(F.when(group == 1, F.concat("text", F.lit(" old"))).otherwise(F.col("text"))).alias("text_hash"),
+        F.length("text").cast("bigint").alias("vec"),
+    )
+    gone = docs.filter(group == 2).select((-1 - F.col("doc_id")).alias("doc_id"), F.md5("text").alias("text_hash"), F.lit(0).cast("bigint").alias("vec"))
+    index = known.unionByName(gone)
+    plan = search.sync_plan(index, docs, "doc_id", "text")
+    return search.apply_sync(index, plan.withColumn("vec", F.length("text").cast("bigint")), "doc_id")
