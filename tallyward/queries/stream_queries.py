@@ -191,6 +191,30 @@ def stream_scd1(spark, folder):
     return sinks.scd1_state(spark, f"{out}/t", KEY, SEQUENCE)
 
 
+@query("stream_folded", "patient_changes", """
+    SELECT 'state' AS part, count(*) AS patients, CAST(sum(event_no) AS BIGINT) AS events, CAST(NULL AS BOOLEAN) AS fewer FROM (
+        SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY event_date DESC, event_no DESC) AS rn FROM patient_changes) WHERE rn = 1
+    UNION ALL SELECT 'folded', NULL, NULL, true""")
+def stream_folded(spark, folder):
+    """Type 1 in five batches, folded after every second; readers take the
+    last fold and one batch, fewer rows than all batches hold."""
+    out = shared_folder(spark, "folded")
+    changes = model.patient_changes(spark, folder)
+    for n in range(5):
+        changes.filter(F.pmod(F.xxhash64("event_no"), F.lit(5)) == n).coalesce(1).write.mode("append").parquet(f"{out}/landing")
+    source = table_stream(spark, f"{out}/landing", files_per_batch=1)
+    finish(sinks.scd1_stream(source, f"{out}/t", f"{out}/c", KEY, SEQUENCE, fold_every=2))
+    state = sinks.scd1_state(spark, f"{out}/t", KEY, SEQUENCE).agg(
+        F.count(F.lit(1)).alias("patients"), F.sum("event_no").alias("events")
+    )
+    every = spark.read.parquet(f"{out}/t").agg(F.count(F.lit(1)).alias("n")).scalar()
+    kept = sinks.stored(spark, f"{out}/t").agg(F.count(F.lit(1)).alias("n")).select((F.col("n") < every).alias("fewer"))
+    nothing = F.lit(None).cast("bigint")
+    return state.select(F.lit("state").alias("part"), "patients", "events", F.lit(None).cast("boolean").alias("fewer")).unionByName(
+        kept.select(F.lit("folded").alias("part"), nothing.alias("patients"), nothing.alias("events"), "fewer")
+    )
+
+
 @query("stream_scd2", "patient_versions", """SELECT patient_id, insurance_plan, last_billed, chronic_conditions, event_no,
     start_at AS "__START_AT", end_at AS "__END_AT", is_current AS "__IS_CURRENT" FROM patient_versions""")
 def stream_scd2(spark, folder):

@@ -3,13 +3,16 @@
 Upserts never rewrite the table per micro-batch. Each batch stores its reduced
 rows in a folder of its own, ``_batch=<id>``, overwritten when the batch is
 retried, so every batch counts once. The table state is a reduction over the
-stored rows, and :func:`fold` shortens the folders when they grow many.
+stored rows. Every ``fold_every`` batches, the rows so far are reduced into one
+folder; a mark that is written last tells readers up to which batch it holds,
+so a fold that fails half-way is never read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,9 +41,15 @@ def upsert_log(
     reduce_batch: Callable[[DataFrame], DataFrame],
     every: str | None = None,
     mode: str = "append",
+    fold_every: int | None = None,
+    reduce_stored: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
+    """``reduce_stored`` takes and returns stored rows, their batch number included."""
+
     def store(batch: DataFrame, batch_id: int) -> None:
         reduce_batch(batch).write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
+        if fold_every and reduce_stored and batch_id % fold_every == fold_every - 1:
+            fold(batch.sparkSession, folder, batch_id, reduce_stored)
 
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(store)
     return _trigger(writer, every).start()
@@ -67,13 +76,38 @@ def split_stream(
     return _trigger(writer, every).start()
 
 
+def _last_fold(spark: SparkSession, folder: str) -> int | None:
+    try:
+        return spark.read.parquet(f"{folder}_folds").agg(F.max("upto")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def stored(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(folder)
+    """The last fold and the batches after it; folders of earlier batches are not read."""
+    batches, upto = spark.read.parquet(folder), _last_fold(spark, folder)
+    if upto is None:
+        return batches
+    folded = spark.read.parquet(f"{folder}_folded/upto={upto}")
+    return folded.unionByName(batches.filter(F.col(BATCH) > upto).withColumn(BATCH, F.col(BATCH).cast("int")))
+
 
+def fold(spark: SparkSession, folder: str, upto: int, reduce_stored: Callable[[DataFrame], DataFrame]) -> None:
+    """Reduce the stored rows up to a batch into one folder, then mark it as valid.
+    Folders of those batches can be deleted afterwards."""
+    rows = stored(spark, folder).filter(F.col(BATCH) <= upto)
+    reduce_stored(rows).withColumn(BATCH, F.col(BATCH).cast("int")).write.mode("overwrite").parquet(f"{folder}_folded/upto={upto}")
+    spark.range(1).select(F.lit(upto).alias("upto")).write.mode("append").parquet(f"{folder}_folds")
 
-def scd1_stream(df: DataFrame, folder: str, checkpoint: str, keys: list[str], sequence: list[str], every=None):
+
+def scd1_stream(
+    df: DataFrame, folder: str, checkpoint: str, keys: list[str], sequence: list[str], every=None, fold_every: int | None = None
+):
     """Type 1 upserts: each batch keeps its newest row per key."""
-    return upsert_log(df, folder, checkpoint, lambda b: history.scd1_apply(None, b, keys, sequence), every)
+    newest = lambda b: history.scd1_apply(None, b, keys, sequence)
+    return upsert_log(df, folder, checkpoint, newest, every, fold_every=fold_every, reduce_stored=newest)
 
 
 def scd1_state(spark: SparkSession, folder: str, keys: list[str], sequence: list[str]) -> DataFrame:
@@ -90,22 +124,18 @@ def scd2_state(spark: SparkSession, folder: str, keys: list[str], sequence: list
     return history.scd2_versions(stored(spark, folder).drop(BATCH), keys, sequence, track)
 
 
-def gold_upsert_stream(df: DataFrame, folder: str, checkpoint: str, keys: list[str], every=None) -> StreamingQuery:
+def gold_upsert_stream(
+    df: DataFrame, folder: str, checkpoint: str, keys: list[str], every=None, fold_every: int | None = None
+) -> StreamingQuery:
     """Aggregates in update mode: a group is stored again when it changes.
     ``keys`` are the group columns, as for :func:`gold_state`."""
     missing = set(keys) - set(df.columns)
     if missing:
         raise ValueError(f"no such group columns: {sorted(missing)}")
-    return upsert_log(df, folder, checkpoint, lambda b: b, every, mode="update")
+    last = lambda rows: keyed.latest_per_key(rows, keys, [F.col(BATCH).desc()])
+    return upsert_log(df, folder, checkpoint, lambda b: b, every, "update", fold_every, last)
 
 
 def gold_state(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
     rows = stored(spark, folder)
     return keyed.latest_per_key(rows, keys, [F.col(BATCH).desc()]).drop(BATCH)
-
-
-def fold(state: DataFrame, folder: str) -> str:
-    """Write the current state as batch -1 of a new folder. Point the stream
-    and its readers there; the old folder can be dropped afterwards."""
-    state.write.mode("overwrite").parquet(f"{folder}/{BATCH}=-1")
-    return folder

@@ -155,8 +155,10 @@ def test_type1_and_type2_streams_match_batch(spark, change_table, tmp_path, rows
     assert rows(one) == rows(history.scd1_apply(None, batch, ["k"], ["day", "no"]))
     two = sinks.scd2_state(spark, str(tmp_path / "t2"), ["k"], ["day", "no"], ["plan"])
     assert rows(two) == rows(history.scd2_versions(batch, ["k"], ["day", "no"], ["plan"]))
-    folded = sinks.fold(one, str(tmp_path / "t3"))
-    assert rows(sinks.scd1_state(spark, folded, ["k"], ["day", "no"])) == rows(one)
+    keep = str(tmp_path / "t3")
+    sinks.scd1_stream(stream(), keep, str(tmp_path / "c3"), ["k"], ["day", "no"], fold_every=2).awaitTermination()
+    assert rows(sinks.scd1_state(spark, keep, ["k"], ["day", "no"])) == rows(one)
+    assert sinks.stored(spark, keep).count() < spark.read.parquet(keep).count()
 
 
 def test_retried_batch_counts_once(spark, change_table, tmp_path):
