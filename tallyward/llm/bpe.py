@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-PIECES = 200_000  # pieces whose tokens a worker remembers
+PIECES = 100_000  # pieces whose tokens a worker remembers
 SHORT = 48  # only pieces of at most so many characters are remembered
-PAIRS = 1_000_000  # pairs whose compatibility a worker remembers
+PAIRS = 200_000  # pairs whose compatibility a worker remembers
 
 
 def byte_letters() -> list[str]:
@@ -82,7 +82,7 @@ class Encoder:
         self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
         self.splitter = ByteLevel(add_prefix_space=False)
         self.old: set[str] = set()
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.known: dict[str, tuple[str, bytes]] = {}
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -106,11 +106,12 @@ class Encoder:
                 before, right = right + 1, outer
 
     def compatible(self, left: int, right: int) -> bool:
-        got = self.fits.get((left, right))
+        pair = left * len(self.token) + right
+        got = self.fits.get(pair)
         if got is None:
             if len(self.fits) >= PAIRS:
                 self.fits.clear()
-            got = self.fits[left, right] = self._stay_apart(left, right)
+            got = self.fits[pair] = self._stay_apart(left, right)
         return got
 
     def ranks(self, raw: bytes) -> list[int]:
