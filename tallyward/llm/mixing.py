@@ -159,10 +159,12 @@ def plan(docs: DataFrame, target: Target, tokens: Column | None = None) -> DataF
     before = first_over.select("source", F.struct((start - 1).alias("place"), F.lit(_HIGHEST).alias("id")).alias("cut"))
     cuts = before.unionByName(cut).groupBy("source").agg(F.max("cut").alias("cut"))
     a, d = budgets.alias("a"), cuts.alias("d")
-    return a.join(d, F.col("a.source").eqNullSafe(F.col("d.source")), "left").select(
+    # stored, so that its size is known when documents are joined: few sources are
+    # sent to the documents, and these are not shuffled by source
+    return stored_copy(a.join(d, F.col("a.source").eqNullSafe(F.col("d.source")), "left").select(
         "a.source", "tokens", "weight", "budget", "epochs", "rest",
         F.coalesce("cut.place", F.lit(-1)).alias("cut_place"), F.coalesce("cut.id", F.lit(_LOWEST)).alias("cut_id"),
-    )
+    ), "mixing-plan")
 
 
 def _dealt(docs: DataFrame, plan_: DataFrame, n_tokens: Column) -> DataFrame:
