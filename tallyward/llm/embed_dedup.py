@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.components import components
+from tallyward.llm.simhash import stars
 from tallyward.session import stored_copy
 
 THRESHOLD = 0.9
@@ -36,7 +37,7 @@ WINDOW = 24
 BITS = 64
 SEED = 97
 #: Vectors of one component in a block of the exact count.
-BLOCK = 2048
+BLOCK = 256
 
 
 def unit(vectors) -> np.ndarray:
@@ -91,11 +92,12 @@ def _compare_sorted(batches, window: int, threshold: float):
         for (pass_, dim), own in joined.groupby(["pass", "dim"], sort=False):
             x = unit(own["vec"].tolist())
             fresh = int((own.index < low).sum())
-            i, j = window_pairs(x, fresh, window, threshold)
-            node = own["node"].to_numpy()
+            # a star per linked set says as much as all its pairs
+            root = stars(*window_pairs(x, fresh, window, threshold), len(x))
+            moved, node = root != np.arange(len(x)), own["node"].to_numpy()
             yield pd.DataFrame({
-                "kind": "link", "u": node[i], "v": node[j], "pass": pass_, "dim": dim, "part": part,
-                "vec": pd.Series([None] * len(i), dtype=object),
+                "kind": "link", "u": node[moved], "v": node[root[moved]], "pass": pass_, "dim": dim, "part": part,
+                "vec": pd.Series([None] * int(moved.sum()), dtype=object),
             })
         tail = joined.iloc[-window:].reset_index(drop=True)
     if tail is not None:
@@ -145,6 +147,7 @@ def member_counts(members: DataFrame, threshold: float, block: int) -> DataFrame
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .select("component", "node", "n", "vec", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
         .select("component", "node", "n", "vec", "own", F.least("own", "o").alias("b"), F.greatest("own", "o").alias("c"))
+        .repartition("component", "b", "c")  # else the join's layout keeps a component in one task
     )
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:

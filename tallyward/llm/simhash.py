@@ -190,6 +190,7 @@ def _wide_links(wide: DataFrame, most: int) -> DataFrame:
         .withColumn("b", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
         .select("p", "key", "fp", "b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("c"))
         .select("p", "key", "fp", F.least("b", "c").alias("b"), F.greatest("b", "c").alias("c"))
+        .repartition("p", "key", "b", "c")  # else the join's layout keeps a key in one task
     )
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
