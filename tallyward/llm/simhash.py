@@ -257,8 +257,9 @@ def keep_one(docs: DataFrame, most: int = IN_MEMORY) -> DataFrame:
     )
     ids = stored_copy(ids, "simhash-kept")
     columns = docs.columns
-    once = docs.join(ids.where("doc_id = component_id and n = 1").select("doc_id"), "doc_id", "left_semi")
-    again = docs.join(ids.where("doc_id = component_id and n > 1").select("doc_id"), "doc_id", "left_semi")
+    # ids grow with the documents: one plan at every size, a merge join by doc_id
+    once = docs.join(ids.where("doc_id = component_id and n = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
+    again = docs.join(ids.where("doc_id = component_id and n > 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
     row = F.struct(*columns)
     again = again.groupBy("doc_id").agg(
         F.min_by(row, F.struct("text", F.xxhash64(*columns))).alias("row")
