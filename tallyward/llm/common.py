@@ -40,7 +40,7 @@ def smallest_hashes(rows: DataFrame, most: int) -> DataFrame:
     so that no task sends more than its share to the final sort."""
     place = F.pmod(F.xxhash64("doc_id"), F.lit(_SPAN))
     n = rows.agg(F.count(F.lit(1))).scalar()
-    near = place * n <= F.lit(float(_SPAN)) * (2 * most + 100)
+    near = place.cast("double") * n <= F.lit(float(_SPAN)) * (2 * most + 100)  # long numbers overflow from 2^23 rows on
     return rows.where(near).orderBy(place, *rows.columns).limit(most)
 
 

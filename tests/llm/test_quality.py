@@ -131,3 +131,13 @@ def test_sample_is_the_smallest_hashes(spark):
     order = rows.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("h")).toPandas().sort_values("h")
     assert got == set(order["doc_id"][:500])
     assert common.smallest_hashes(rows.limit(0), 5).count() == 0 and common.smallest_hashes(rows, 10**6).count() == 20_000
+
+
+def test_sample_of_more_rows_than_long_products_hold(spark, monkeypatch):
+    """The number of rows is stubbed: 2^24 places of 40 bits do not fit in 63."""
+    rows = spark.range(2_000).selectExpr("id as doc_id", "cast(id % 3 as double) as y")
+    monkeypatch.setattr(common.F, "count", lambda _: F.max(F.lit(1 << 24)))
+    assert len(common.smallest_hashes(rows, 1 << 23).collect()) == 2_000
+    few = {r.doc_id for r in common.smallest_hashes(rows, 1 << 19).collect()}
+    place = rows.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("h")).collect()
+    assert few == {r.doc_id for r in place if r.h * (1 << 24) <= (1 << 40) * (2 * (1 << 19) + 100)}
