@@ -48,7 +48,7 @@ _SPELLED = re.compile(r"[ ]?(?:\[at\]|\(at\))[ ]?([A-Za-z0-9-]++(?:(?:\.|[ ]?(?:
 _LOCAL_PHONE = re.compile(r"(?<![0-9+(])(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-][0-9]{3,4}[ .-][0-9]{4}(?![0-9])")
 _SECRET = re.compile(
     r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-    r"|(?:password|passwd|token|secret|api_key)[ ]?[=:][ ]?\"?[^\s\"]{8,256})"
+    r"|(?:password|passwd|token|secret|api_key)[ ]?[=:][ ]?\"?[^\s\"]{8,}+)"
 )
 
 # Gazetteers and context words.

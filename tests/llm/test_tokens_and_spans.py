@@ -139,6 +139,15 @@ def test_personal_data_rows(spark):
     assert pii.find(docs.limit(0), pii.train(docs.limit(0))).count() == 0
 
 
+def test_long_secrets_are_masked_whole(spark):
+    long = "".join(hashlib.sha256(str(k).encode()).hexdigest() for k in range(32))[:2_000]
+    rows = [(k, f"login secret=e3b3ed3cc8548923d{k} end") for k in range(20)]
+    rows += [(20, f"login token={long} end"), (21, f'key api_key: "{long[:257]}" end'), (22, f"login password={long[:256]} end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.mask(docs, pii.train(docs)).collect()}
+    assert got[0] == got[20] == got[22] == "login <SECRET> end" and got[21] == 'key <SECRET>" end'
+
+
 def brute_license(text):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
