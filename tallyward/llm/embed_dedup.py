@@ -5,7 +5,15 @@ all vectors by these bits, most significant first, so that vectors with a long
 common prefix lie together. Each vector is compared with the next ``WINDOW`` in
 this order, also across the borders of partitions, and pairs with a cosine of
 at least the threshold are united. Pairs of all passes are united into
-components.
+components. Vectors are centred for the hash, and only for it, or the signs
+would not tell vectors of one narrow cone apart: every other pass around the
+mean of a sample, the passes between around the mean of a neighbourhood in it.
+
+How many passes are enough depends on the number and spread of the vectors, so
+it is measured: up to ``ASKED`` vectors of smallest hash are compared with all
+vectors, and a link is found if both ends are in one component. While less than
+``TARGET`` of these links are found, the passes are doubled. Where that would
+move more rows than comparing all vectors in blocks, all are compared, exactly.
 
 A window is bounded, a group of copies is not; so links are then counted
 exactly within components: all members of a component are compared in blocks
@@ -13,7 +21,7 @@ of bounded size, and only a count per vector and block leaves a task. A vector
 in a group of thousands therefore has all its links. Equal vectors are one
 node with a multiplicity.
 
-Every pass moves each vector once: the shuffle is ``PASSES`` times the vectors.
+Every pass moves each vector once: the shuffle is the passes times the vectors.
 NULL or zero vectors and vectors with NULL or non-finite components link with
 nothing, and so do vectors of different lengths and rows without vec_id, which
 get a NULL component and are kept. Repeated rows are vectors of their own.
@@ -27,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.llm import common
 from tallyward.llm.components import components
 from tallyward.llm.simhash import stars
 from tallyward.session import stored_copy
@@ -36,6 +45,14 @@ PASSES = 20
 WINDOW = 24
 BITS = 64
 SEED = 97
+#: Share of the sample's links that passes must find.
+TARGET = 0.95
+#: Vectors in the sample that is compared with all vectors.
+ASKED = 2_048
+#: One of so many sample vectors is in a neighbourhood.
+NEAR = 8
+#: Vectors in a block where all are compared.
+WHOLE = 2_048
 #: Vectors of one component in a block of the exact count.
 BLOCK = 256
 
@@ -51,9 +68,19 @@ def projections(pass_: int, dim: int) -> np.ndarray:
     return np.random.default_rng([SEED, pass_, dim]).standard_normal((dim, BITS))
 
 
-def hashes(x: np.ndarray, pass_: int) -> np.ndarray:
+def centre(sample: np.ndarray | None, pass_: int) -> np.ndarray | float:
+    """What a pass is centred around. ``sample``: unit vectors in a fixed order."""
+    if sample is None or not len(sample):
+        return 0.0
+    if pass_ % 2:
+        one = sample[np.random.default_rng([SEED, pass_]).integers(len(sample))]
+        sample = sample[np.argsort(-(sample @ one), kind="stable")[: -(-len(sample) // NEAR)]]
+    return sample.mean(axis=0)
+
+
+def hashes(x: np.ndarray, pass_: int, around: np.ndarray | float = 0.0) -> np.ndarray:
     """64 signs as a signed number whose order is the order of the bits."""
-    bits = np.packbits(x @ projections(pass_, x.shape[1]) >= 0, axis=1)
+    bits = np.packbits((x - around) @ projections(pass_, x.shape[1]) >= 0, axis=1)
     return (bits.copy().view(">u8").ravel().astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
 
 
@@ -104,16 +131,18 @@ def _compare_sorted(batches, window: int, threshold: float):
         yield _rows("tail", tail, part)
 
 
-def pass_links(nodes: DataFrame, passes: int, window: int, threshold: float) -> DataFrame:
-    """(u, v) of all passes. ``nodes``: node, vec; vectors differ."""
+def pass_links(nodes: DataFrame, passes: range, window: int, threshold: float, sample: pd.DataFrame) -> DataFrame:
+    """(u, v) of all passes. ``nodes``, ``sample``: node, vec; vectors differ."""
+    known = {dim: unit(own["vec"].tolist()) for dim, own in sample.groupby(sample["vec"].map(len))}
+    around = {(dim, p): centre(x, p) for dim, x in known.items() for p in passes}
 
     def hashed(batches):
         for pdf in batches:
             for dim, own in pdf.groupby(pdf["vec"].map(len)):
                 x = unit(own["vec"].tolist())
-                for p in range(passes):
+                for p in passes:
                     yield pd.DataFrame({
-                        "pass": p, "dim": dim, "hash": hashes(x, p), "node": own["node"].to_numpy(), "vec": own["vec"],
+                        "pass": p, "dim": dim, "hash": hashes(x, p, around.get((dim, p), 0.0)), "node": own["node"].to_numpy(), "vec": own["vec"],
                     }).astype({"pass": "int32", "dim": "int32"})
 
     number = nodes.schema["vec"].dataType.elementType.simpleString()
@@ -139,6 +168,86 @@ def pass_links(nodes: DataFrame, passes: int, window: int, threshold: float) ->
     return inside.unionByName(border.groupBy("border", "pass", "dim").applyInPandas(across, "u long, v long"))
 
 
+def whole_links(nodes: DataFrame, blocks: int, threshold: float) -> DataFrame:
+    """(u, v): all vectors compared in pairs of blocks; a star per linked set of a pair."""
+    dealt = (
+        nodes.select("node", "vec", F.size("vec").alias("dim"), F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("own"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("o"))
+        .select("node", "vec", "dim", "own", F.least("own", "o").alias("b"), F.greatest("own", "o").alias("c"))
+    )
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        b, c = pdf["b"].iloc[0], pdf["c"].iloc[0]
+        x, node, own = unit(pdf["vec"].tolist()), pdf["node"].to_numpy(), pdf["own"].to_numpy()
+        left, right, root = np.flatnonzero(own == b), np.flatnonzero(own == c), np.arange(len(x))
+        for at in range(0, len(left), 256):
+            i, j = np.nonzero(x[left[at : at + 256]] @ x[right].T >= threshold)
+            i, j = left[at + i], right[j]
+            # stars so far are links too, so that few pairs are held
+            root = stars(np.concatenate([np.arange(len(x)), i]), np.concatenate([root, j]), len(x))
+        moved = root != np.arange(len(x))
+        return pd.DataFrame({"u": node[moved], "v": node[root[moved]]}, dtype="int64")
+
+    return dealt.groupBy("b", "c", "dim").applyInPandas(compare, "u long, v long")
+
+
+def recall(nodes: DataFrame, member: DataFrame, sample: pd.DataFrame, threshold: float) -> float:
+    """The share of the links between ``sample`` and all vectors that have both
+    ends in one component. Sample vectors are classed by the magnitude of their
+    number of links, and the least share of a class counts, so that a large
+    group does not hide loose pairs. A task sends two sums per sample vector."""
+    spark = nodes.sparkSession
+    asked = spark.createDataFrame(sample[["node"]], "node long").join(member, "node").toPandas()
+    asked = sample.merge(asked, "left", on="node")
+    own = asked["component"].where(asked["component"].notna(), asked["node"]).to_numpy(np.int64)
+    known = {
+        dim: (unit(part["vec"].tolist()), part["node"].to_numpy(np.int64), own[part.index], part.index.to_numpy())
+        for dim, part in asked.groupby(asked["vec"].map(len))
+    }
+    shared = spark.sparkContext.broadcast(known)
+
+    def count(batches):
+        links, found = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+        for pdf in batches:
+            for dim, part in pdf.groupby(pdf["vec"].map(len)):
+                if dim not in shared.value:
+                    continue
+                q, node, component, at = shared.value[dim]
+                for low in range(0, len(part), 1024):
+                    some = part.iloc[low : low + 1024]
+                    near = unit(some["vec"].tolist()) @ q.T >= threshold
+                    near &= some["node"].to_numpy()[:, None] != node
+                    links[at] += near.sum(axis=0)
+                    found[at] += (near & (some["component"].to_numpy()[:, None] == component)).sum(axis=0)
+        some = np.flatnonzero(links)
+        yield pd.DataFrame({"at": some, "links": links[some], "found": found[some]})
+
+    all_ = nodes.join(member, "node", "left").select("node", "vec", F.coalesce("component", "node").alias("component"))
+    got = all_.mapInPandas(count, "at long, links long, found long").groupBy("at").agg(
+        F.sum("links").alias("links"), F.sum("found").alias("found")
+    ).toPandas()
+    share = (got["found"] / got["links"]).groupby(np.frexp(got["links"].to_numpy(float))[1]).mean()
+    return float(share.min()) if len(share) else 1.0
+
+
+def linked_components(
+    nodes: DataFrame, threshold: float, passes: int, window: int, target: float, asked: int, whole: int
+) -> DataFrame:
+    """(node, component), by as many passes as the sample's links ask for."""
+    sample = common.smallest_hashes(nodes.select(F.col("node").alias("doc_id"), "vec"), asked).toPandas()
+    sample = sample.rename(columns={"doc_id": "node"}).sort_values("node", ignore_index=True)
+    blocks, done, links = -(-max(1, nodes.count()) // whole), range(0), None
+    while True:
+        done = range(done.stop, max(passes, 2 * done.stop))
+        new = pass_links(nodes, done, window, threshold, sample)
+        links = stored_copy(new if links is None else links.unionByName(new), "embed-links")
+        member = components(links, "embed-components")
+        if recall(nodes, member, sample, threshold) >= target:
+            return member
+        if 2 * done.stop >= blocks:
+            return components(whole_links(nodes, blocks, threshold), "embed-components")
+
+
 def member_counts(members: DataFrame, threshold: float, block: int) -> DataFrame:
     """(node, n): the multiplicities of a node's partners. ``members``: component, node, n, vec."""
     sized = members.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
@@ -177,6 +286,9 @@ def near_duplicates(
     passes: int = PASSES,
     window: int = WINDOW,
     block: int = BLOCK,
+    target: float = TARGET,
+    asked: int = ASKED,
+    whole: int = WHOLE,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``vectors`` (vec_id, embedding)."""
     number = vectors.schema["embedding"].dataType.elementType.simpleString()
@@ -190,7 +302,7 @@ def near_duplicates(
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
     nodes = rows.where("sound").groupBy("vec").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"))
     nodes = stored_copy(nodes, "embed-nodes")
-    member = components(pass_links(nodes, passes, window, threshold), "embed-components")
+    member = linked_components(nodes, threshold, passes, window, target, asked, whole)
     linked = stored_copy(nodes.join(member, "node").select("component", "node", "n", "vec"), "embed-members")
     counts = member_counts(linked, threshold, block)
     told = nodes.join(member, "node", "left").join(counts, "node", "left").select(

@@ -139,3 +139,20 @@ def test_recall_of_loose_pairs():
         i, j = embed_dedup.window_pairs(x[order], 0, embed_dedup.WINDOW, 0.9 - 1e-9)
         found |= {(min(a, b), max(a, b)) for a, b in zip(order[i].tolist(), order[j].tolist())}
     assert sum((k, 7_999 - k) in found for k in range(300)) >= 0.95 * 300
+
+
+@pytest.mark.parametrize("whole", [2_048, 8])
+def test_recall_of_loose_pairs_in_a_cone(spark, whole):
+    """Unrelated vectors have a cosine of 0.7; by blocks of 8, passes are added in place of comparing all."""
+    rng, n = np.random.default_rng(8), 6_000
+    x = np.sqrt(0.3) * embed_dedup.unit(rng.normal(size=(n, 64))) + np.sqrt(0.7) * np.eye(64)[0]
+    x = embed_dedup.unit(x)
+    for k in range(300):
+        side = x[1_000 + k] - (x[1_000 + k] @ x[k]) * x[k]
+        cos = rng.uniform(0.9, 0.93)
+        x[n - 1 - k] = cos * x[k] + np.sqrt(1 - cos**2) * side / np.linalg.norm(side)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    more = {} if whole == 2_048 else {"whole": whole}
+    component = {r.vec_id: r.component_id for r in embed_dedup.near_duplicates(df, **more).collect()}
+    i, j = np.nonzero(np.triu(x @ x.T >= 0.9, 1))
+    assert len(i) >= 300 and np.mean([component[a] == component[b] for a, b in zip(i.tolist(), j.tolist())]) >= 0.95
