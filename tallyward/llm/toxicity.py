@@ -3,7 +3,8 @@
 A disguise replaces letters (1d1ot), repeats them (idiiiot) or spaces them out
 (i d i o t). A suspicious token is read as a lattice: each character may stand
 for itself or for the letters it imitates, and a run of one letter for one or
-two of it. The best path under a character trigram model of the corpus, less
+two of it. In a stretch of short fragments, and in a token with signs inside,
+each separator is either skipped or ends a word. The best path under a character trigram model of the corpus, less
 the costs of the channel, is the restored token (Viterbi). The trigrams are
 counted over all documents.
 
@@ -36,7 +37,6 @@ MIN_TOXIC = 4
 MIN_EVIDENCE = 12.0
 BEGINNINGS = (3, 4, 5)
 WORDS = 200_000  # words whose weight a worker remembers
-LONGEST = 40  # characters of a suspicious token that the lattice reads
 
 #: What characters imitate.
 IMITATED = {
@@ -60,7 +60,16 @@ REPLACED, DROPPED, JOINED = -1.5, -1.0, -0.5  # channel costs, as log-probabilit
 _EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "@$") + "¡¿…«»„“”’"
 _RUN = re.compile(r"([^\W\d_])\1\1")
 _LETTER = r"(?:[^\W\d_]|[0134578@$!])"
-_SPACED = re.compile(rf"(?<![^\W_]){_LETTER}([ .\-_*])(?:{_LETTER}\1){{2,40}}{_LETTER}(?![^\W_])")
+_SIGNS = r"[\s.\-_*]"
+#: Fragments of up to three letters, at least two of them, whatever separates them.
+_FRAGMENT = rf"(?=[@$!]*[^\W_]){_LETTER}{{1,3}}+(?![^\W_])"
+_SPACED = re.compile(rf"(?<![^\s.\-_*(\"'¡¿]){_FRAGMENT}(?:{_SIGNS}{{1,3}}+{_FRAGMENT})++")
+#: Single letters, at least three of them, parted by one and the same sign.
+_SINGLES = re.compile(rf"(?<![^\W_]){_LETTER}({_SIGNS}){_LETTER}(?![^\W_])(?:\1{_LETTER}(?![^\W_]))++")
+_GAPS = re.compile(rf"{_SIGNS}+")
+_ALPHA = re.compile(r"[^\W\d_]")
+#: Signs inside a token that imitate no letter.
+_PARTS = re.compile(r"[^\w@$!|+(€£]+|_+")
 
 
 def letter_counts(texts) -> np.ndarray:
@@ -89,34 +98,42 @@ class LetterModel:
         three = (n + 5 * two[None]) / (n.sum(axis=2, keepdims=True) + 5)
         self.log = np.log(np.maximum(three, 1e-12)).astype(np.float32)
 
-    def restore(self, token: str) -> str:
-        """The best reading of a token (Viterbi over letter pairs)."""
-        token = token[:LONGEST].lower()
+    def restore(self, token: str, spaced: bool = False) -> str:
+        """The best reading of a token (Viterbi over letter pairs). ``spaced``:
+        of fragments parted by single spaces, each of which is skipped or ends a
+        word. Skipping one costs more between longer fragments."""
         log = self.log
-        # states: (last two letters) -> (score, reading, character that made the last letter)
-        states = {(0, 0): (0.0, "", "")}
-        for c in token:
+        sizes = [len(part) for part in token.split(" ")] if spaced else []
+        skipped = iter([JOINED * (m + n - 1) for m, n in zip(sizes, sizes[1:])])
+        # states: (last two letters) -> (score, reading as linked letters from the last one, character that made the last letter)
+        states = {(0, 0): (0.0, None, "")}
+        for c in token.lower():
             options = [(c, 0.0)] if c.isalpha() else []
             options += [(x, REPLACED) for x in IMITATED.get(c, "")]
-            nxt: dict[tuple[int, int], tuple[float, str, str]] = {}
+            skip = next(skipped) if spaced and c == " " else DROPPED
+            nxt: dict[tuple[int, int], tuple[float, tuple | None, str]] = {}
 
-            def put(key, score, text, last):
+            def put(key, score, path, last):
                 if key not in nxt or nxt[key][0] < score:
-                    nxt[key] = (score, text, last)
+                    nxt[key] = (score, path, last)
 
-            for (a, b), (score, text, last) in states.items():
+            for (a, b), (score, path, last) in states.items():
                 if not options:
-                    put((a, b), score + DROPPED, text, last)  # a sign that stands for no letter
+                    put((a, b), score + skip, path, last)  # a sign that stands for no letter
+                if spaced and c == " " and b:
+                    put((b, 0), score + float(log[a, b, 0]), (path, " "), "")
                 for letter, cost in options:
                     k = _INDEX.get(letter, _OTHER)
-                    put((b, k), score + cost + float(log[a, b, k]), text + letter, letter)
+                    put((b, k), score + cost + float(log[a, b, k]), (path, letter), letter)
                     if last == letter:
-                        put((a, b), score + cost + DROPPED, text, last)  # one more of the same
+                        put((a, b), score + cost + DROPPED, path, last)  # one more of the same
             states = nxt
-        best = max(
-            ((score + float(log[a, b, 0]), text) for (a, b), (score, text, _) in states.items()), default=(0.0, "")
-        )
-        return best[1]
+        best = max(states.items(), key=lambda s: s[1][0] + float(log[*s[0], 0]))
+        path, letters = best[1][1], []
+        while path is not None:
+            path, letter = path
+            letters.append(letter)
+        return "".join(reversed(letters)).strip()
 
 
 def suspicious(word: str) -> bool:
@@ -139,24 +156,46 @@ class Reader:
     letters: LetterModel
     known: dict[str, str] = field(default_factory=dict)
 
+    def remember(self, token: str, reading: str) -> str:
+        if len(self.known) >= WORDS:
+            self.known.clear()
+        self.known[token] = reading
+        return reading
+
     def word(self, token: str) -> str:
+        """The reading of a token; words that signs part in it are parted by spaces."""
         got = self.known.get(token)
         if got is None:
             bare = token.strip(_EDGES)
-            got = self.letters.restore(bare) if suspicious(bare) else bare.lower()
-            if len(self.known) >= WORDS:
-                self.known.clear()
-            self.known[token] = got
+            got = self.remember(token, self.read(bare) if suspicious(bare) else bare.lower())
         return got
 
+    def read(self, token: str) -> str:
+        parts = [p for p in _PARTS.split(token) if p]
+        return self.letters.restore(" ".join(parts), True) if len(parts) > 1 else self.letters.restore(token)
+
+    def stretch(self, m: re.Match) -> str:
+        """The reading of a stretch of short fragments, or itself if it has no letter."""
+        if not _ALPHA.search(m.group()):
+            return m.group()
+        bare = " ".join(_GAPS.split(m.group()))
+        got = self.known.get(" " + bare)
+        return self.remember(" " + bare, self.letters.restore(bare, True)) if got is None else got
+
     def words(self, text: str | None) -> set[str]:
         """Different restored words of a text, spaced-out words included."""
         if not text:
             return set()
-        found = set(map(self.word, set(text.split())))
-        for m in _SPACED.finditer(text):
-            letters = re.sub(r"[ .\-_*]", "", m.group())
-            found.add(self.letters.restore(letters))
+        found = set()
+        for token in set(text.split()):
+            w = self.word(token)
+            found.update(w.split()) if " " in w else found.add(w)
+        for m in _SINGLES.finditer(text):
+            if _ALPHA.search(m.group()):
+                found.add(self.letters.restore("".join(_GAPS.split(m.group()))))
+                found.update(self.stretch(m).split())
+        for m in _SPACED.finditer(_SINGLES.sub(self.stretch, text)):
+            found.update(self.stretch(m).split())
         found.discard("")
         return found
 
@@ -164,7 +203,7 @@ class Reader:
         """The text with suspicious tokens replaced by their readings."""
         if not text:
             return ""
-        joined = _SPACED.sub(lambda m: self.letters.restore(re.sub(r"[ .\-_*]", "", m.group())), text)
+        joined = _SPACED.sub(self.stretch, _SINGLES.sub(self.stretch, text))
         return re.sub(r"\S+", lambda m: self.word(m.group()) or m.group(), joined)
 
 

@@ -66,6 +66,18 @@ def test_restoring_disguised_words(spark):
     assert reader.restored(None) == "" and "idiot" in reader.restored("what an 1d1ot")
 
 
+def test_restoring_long_and_spaced_words():
+    texts = ["you are an idiot and a moron, what a clown", "go and die now", "some long glued phrase for a token"] * 50
+    reader = toxicity.Reader(toxicity.LetterModel(toxicity.letter_counts(texts)))
+    assert reader.restored("i" * 60 + "diot") == "idiot"
+    assert "idiot" in reader.words("some_long_glued_phrase_for_a_token_which_is_long_1d1ot")
+    assert {"are", "an", "idiot"} <= reader.words("y o u a r e a n i d i o t")
+    assert reader.restored("go d i e now") == "go die now" and "die" in reader.words("d i e")
+    assert [reader.restored(t) for t in ("you id iot", "i d  i o t", "1 2 3 4")] == ["you idiot", "idiot", "1 2 3 4"]
+    spaced = " ".join("idiot" * 30)
+    assert reader.restored(spaced).replace(" ", "") == "idiot" * 30
+
+
 def test_viterbi_reading_is_the_best_of_all(spark):
     texts = ["sell bell less see bee bees cell"] * 20
     model = toxicity.LetterModel(toxicity.letter_counts(texts))
