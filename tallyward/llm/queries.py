@@ -12,6 +12,7 @@ from tallyward.llm import (
     bpe,
     common,
     embed_dedup,
+    fingerprints,
     langid,
     license_scan,
     mixing,
@@ -19,7 +20,9 @@ from tallyward.llm import (
     pii,
     quality_rules,
     simhash,
+    spelling,
     toxicity,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +96,18 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(common.documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(common.documents(spark, sf_dir), slip=199))
+
+
+@query
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_prints(common.documents(spark, sf_dir))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
