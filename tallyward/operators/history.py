@@ -63,13 +63,15 @@ def scd2_versions(
     sequence: list[str],
     track: list[str],
     hot: DataFrame | None = None,
+    closing: str | None = None,
 ) -> DataFrame:
     """Versions of each key: a new one only when a tracked column changes.
 
     Untracked columns hold the last value of the version. ``sequence[0]`` is
     the event time and becomes ``__START_AT``; the remaining sequence columns
     break ties and keep the value of the opening event. ``hot`` lists busy keys
-    (see ``hotkeys``).
+    (see ``hotkeys``). ``closing`` names a column for the sequence of the last
+    event of each version.
 
     Two neighbour passes on one shuffle: the first marks where a run of equal
     tracked values opens and closes, the second pairs the marks.
@@ -97,6 +99,7 @@ def scd2_versions(
             F.col(f"_open.{when}").alias(START),
             F.col(f"_next.{when}").alias(END),
             F.col("_next").isNull().alias(CURRENT),
+            *([F.struct(*sequence).alias(closing)] if closing else []),
         )
     )
 

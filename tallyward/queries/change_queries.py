@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyward.operators import changelog, history, keyed
+from tallyward.operators.versions import VersionTable
 from tallyward.plans import feeds
 from tallyward.queries.registry import query
-from tallyward.session import stored_copy
+from tallyward.session import shared_folder, stored_copy
 from tallyward.sources import model, tables
 
 PLAN = "patient_id, insurance_plan, last_billed, chronic_conditions, event_date, event_no"
@@ -106,6 +107,18 @@ def scd2_incremental(spark, folder):
     return table.select(*VERSION_COLUMNS)
 
 
+@query("scd2_stored", "patient_versions", f"SELECT {VERSION_SQL} FROM patient_versions")
+def scd2_stored(spark, folder):
+    """The same three loads into a stored table, of which each load reads and
+    replaces only the partitions that its keys are in."""
+    feed = model.patient_changes(spark, folder)
+    load = F.pmod(F.xxhash64("event_no"), F.lit(3))
+    table = VersionTable(shared_folder(spark, "versions"), KEY, SEQUENCE, TRACKED, parts=16)
+    for number, n in enumerate((2, 0, 1)):
+        table.load(feed.filter(load == n), number)
+    return table.state(spark).select(*VERSION_COLUMNS)
+
+
 @query("scd2_current", "patient_versions", """
     SELECT patient_id, insurance_plan, start_at AS "__START_AT" FROM patient_versions WHERE is_current""")
 def scd2_current(spark, folder):

@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 from tallyward.functions.expressions import exact_sum
 from tallyward.operators import history, quality
 from tallyward.operators.quality import RuleSet
+from tallyward.operators.versions import VersionTable
 from tallyward.queries.registry import query
 from tallyward.session import shared_folder
 from tallyward.sources import model
@@ -225,6 +226,24 @@ def stream_scd2(spark, folder):
     return sinks.scd2_state(spark, f"{out}/t", KEY, SEQUENCE, TRACKED).select(*columns)
 
 
+@query("stream_scd2_loaded", "patient_versions", """SELECT patient_id, insurance_plan, last_billed, chronic_conditions, event_no,
+    start_at AS "__START_AT", end_at AS "__END_AT", is_current AS "__IS_CURRENT" FROM patient_versions""")
+def stream_scd2_loaded(spark, folder):
+    """Five batches of events out of order, loaded after every second: a read
+    takes finished versions and works in the last batch."""
+    out = shared_folder(spark, "versioned")
+    changes = model.patient_changes(spark, folder)
+    for n in range(5):
+        changes.filter(F.pmod(F.xxhash64("event_no"), F.lit(5)) == n).coalesce(1).write.mode("append").parquet(f"{out}/landing")
+    table = VersionTable(f"{out}/table", KEY, SEQUENCE, TRACKED, parts=16)
+    finish(sinks.versioned_stream(
+        table_stream(spark, f"{out}/landing", files_per_batch=1), f"{out}/t", f"{out}/c", table, load_every=2
+    ))
+    columns = ["patient_id", "insurance_plan", "last_billed", "chronic_conditions", "event_no",
+               history.START, history.END, history.CURRENT]
+    return sinks.versioned_state(spark, f"{out}/t", table).select(*columns)
+
+
 @query("stream_quarantine", "claims_unchecked", """
     SELECT 'passed' AS part, count(*) AS rows_stored, CAST(sum(CAST(claim_amount AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM claims_unchecked
     WHERE claim_id IS NOT NULL AND patient_id IS NOT NULL AND provider_id IS NOT NULL

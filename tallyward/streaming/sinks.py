@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyward.operators import history, keyed, quality
 from tallyward.operators.quality import RuleSet
+from tallyward.operators.versions import VersionTable
 
 BATCH = "_batch"
 
@@ -124,6 +125,36 @@ def scd2_state(spark: SparkSession, folder: str, keys: list[str], sequence: list
     return history.scd2_versions(stored(spark, folder).drop(BATCH), keys, sequence, track)
 
 
+def versioned_stream(
+    df: DataFrame, folder: str, checkpoint: str, table: VersionTable, every: str | None = None, load_every: int = 8
+) -> StreamingQuery:
+    """Type 2 kept in a ``VersionTable``. Each batch stores its events; after
+    every ``load_every`` batches these are loaded, which renews only the
+    partitions they touch, and a mark tells readers which batches are in."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        keyed.not_null(batch, table.keys).write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
+        if batch_id % load_every == load_every - 1:
+            spark = batch.sparkSession
+            newer = _after_fold(spark, folder).filter(F.col(BATCH) <= batch_id)
+            table.load(newer.select(*batch.columns), batch_id)
+            spark.range(1).select(F.lit(batch_id).alias("upto")).write.mode("append").parquet(f"{folder}_folds")
+
+    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
+    return _trigger(writer, every).start()
+
+
+def _after_fold(spark: SparkSession, folder: str) -> DataFrame:
+    upto = _last_fold(spark, folder)
+    batches = spark.read.parquet(folder)
+    return batches if upto is None else batches.filter(F.col(BATCH) > upto)
+
+
+def versioned_state(spark: SparkSession, folder: str, table: VersionTable) -> DataFrame:
+    """The versions as loaded, and the batches since worked in."""
+    return table.state(spark, _after_fold(spark, folder).drop(BATCH))
+
+
 def gold_upsert_stream(
     df: DataFrame, folder: str, checkpoint: str, keys: list[str], every=None, fold_every: int | None = None
 ) -> StreamingQuery:
