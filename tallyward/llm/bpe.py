@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers.pre_tokenizers import ByteLevel
 
-PIECES = 100_000  # pieces whose tokens a worker remembers
+PIECES = 150_000  # pieces in each of two generations whose tokens a worker remembers
 SHORT = 48  # only pieces of at most so many characters are remembered
-PAIRS = 200_000  # pairs whose compatibility a worker remembers
+PAIRS = 150_000  # pairs in each of two generations whose compatibility a worker remembers
 
 
 def byte_letters() -> list[str]:
@@ -66,8 +66,10 @@ class Encoder:
             next((by_bytes[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in by_bytes), -1) for t in self.token
         ]
         self.automaton = ahocorasick.Automaton()
+        self.byte_rank = [by_bytes[bytes([b])] for b in range(256)]  # the shortest match at every place is its byte
         for r, t in enumerate(self.token):
-            self.automaton.add_word(t.decode("latin-1"), (r, len(t)))
+            if len(t) > 1:
+                self.automaton.add_word(t.decode("latin-1"), (r, len(t) - 1))
         self.automaton.make_automaton()
         self.pattern = regex.compile(pattern)
         self.stops = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
@@ -81,9 +83,14 @@ class Encoder:
         self.offsets = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
         self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
         self.splitter = ByteLevel(add_prefix_space=False)
+        self.sizes = [len(t) for t in self.token]
+        self.names = [str(i) for i in self.id]
         self.old: set[str] = set()
+        # the younger generation, and the one before it: what is asked for again moves up
         self.fits: dict[int, bool] = {}
-        self.known: dict[str, tuple[str, bytes]] = {}
+        self.fitted: dict[int, bool] = {}
+        self.known: dict[str, str] = {}
+        self.knew: dict[str, str] = {}
 
     def _stay_apart(self, left: int, right: int) -> bool:
         """Whether the merges leave a boundary between two adjacent tokens.
@@ -106,36 +113,49 @@ class Encoder:
                 before, right = right + 1, outer
 
     def compatible(self, left: int, right: int) -> bool:
+        """``_stay_apart``, looked up in the table of pairs."""
         pair = left * len(self.token) + right
         got = self.fits.get(pair)
+        return self._fit(pair, left, right) if got is None else got
+
+    def _fit(self, pair: int, left: int, right: int) -> bool:
+        got = self.fitted.get(pair)
         if got is None:
-            if len(self.fits) >= PAIRS:
-                self.fits.clear()
-            got = self.fits[pair] = self._stay_apart(left, right)
+            got = self._stay_apart(left, right)
+        if len(self.fits) >= PAIRS:
+            self.fits, self.fitted = {}, self.fits
+        self.fits[pair] = got
         return got
 
     def ranks(self, raw: bytes) -> list[int]:
         """Tokens of one piece."""
         n = len(raw)
-        longest = [-1] * n
-        for end, (rank, size) in self.automaton.iter(raw.decode("latin-1")):
-            longest[end - size + 1] = rank  # later matches that start here are longer
-        alive = bytearray(b"\1") * (n + 1)
-        out: list[int] = []
-        token, shorter, at = self.token, self.shorter, 0
+        longest = list(map(self.byte_rank.__getitem__, raw))
+        for end, (rank, back) in self.automaton.iter(raw.decode("latin-1")):
+            longest[end - back] = rank  # later matches that start here are longer
+        sizes, shorter, many, at = self.sizes, self.shorter, len(self.token), 0
+        alive, out = None, []  # positions from which no way was found yet; made at the first step back
         pick = longest[0] if n else -1
         while at < n:
-            end = at + len(token[pick])
-            if alive[end] and (not out or self.compatible(out[-1], pick)):
+            end = at + sizes[pick]
+            fits = alive is None or alive[end]
+            if fits and out:
+                pair = out[-1] * many + pick
+                fits = self.fits.get(pair)
+                if fits is None:
+                    fits = self._fit(pair, out[-1], pick)
+            if fits:
                 out.append(pick)
                 at = end
                 pick = longest[at] if at < n else -1
                 continue
             pick = shorter[pick]
             while pick < 0:
+                if alive is None:
+                    alive = bytearray(b"\1") * (n + 1)
                 alive[at] = 0
                 pick = out.pop()
-                at -= len(token[pick])
+                at -= sizes[pick]
                 pick = shorter[pick]
         return out
 
@@ -150,34 +170,40 @@ class Encoder:
                 self.old.add(c)
         return self.pattern.findall(text)
 
-    def _piece(self, piece: str) -> tuple[str, bytes]:
-        ids = [self.id[r] for r in self.ranks(piece.encode("utf-8", "surrogatepass"))]
-        got = ",".join(map(str, ids)), np.array(ids, np.int32).tobytes()
+    def _piece(self, piece: str) -> str:
+        """Ids of one piece, joined by commas; remembered if it is short."""
+        got = self.knew.get(piece)
+        if got is None:
+            names = self.names
+            got = ",".join([names[r] for r in self.ranks(piece.encode("utf-8", "surrogatepass"))])
         if len(piece) <= SHORT:
             if len(self.known) >= PIECES:
-                self.known.clear()
+                self.known, self.knew = {}, self.known
             self.known[piece] = got
         return got
 
-    def _encode(self, text: str | None) -> tuple[str, np.ndarray]:
-        said, packed, known, at = [], [], self.known, 0
+    def _said(self, text: str | None) -> str:
+        """Ids of a whole text, joined by commas."""
+        said, at = [], 0
         text = text or ""
         cuts = [(m.start(), m.end()) for m in self.stops.finditer(text)] if self.stops else []
         for start, end in [*cuts, (len(text), len(text))]:
-            for piece in self._split(text[at:start] if cuts else text):
-                got = known.get(piece) or self._piece(piece)
-                said.append(got[0])
-                packed.append(got[1])
+            pieces = self._split(text[at:start] if cuts else text)
+            got = list(map(self.known.get, pieces))
+            if None in got:
+                got = [self._piece(p) if g is None else g for p, g in zip(pieces, got)]
+            said += got
             if end > start:
-                special = self.special[text[start:end]]
-                said.append(str(special))
-                packed.append(np.int32(special).tobytes())
+                said.append(str(self.special[text[start:end]]))
             at = end
-        return ",".join(said), np.frombuffer(b"".join(packed), np.int32)
+        return ",".join(said)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Token ids of a whole text."""
-        return self._encode(text)[1]
+        return self._ids(self._said(text))
+
+    def _ids(self, said: str) -> np.ndarray:
+        return np.fromstring(said, np.int32, sep=",") if said else np.zeros(0, np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of token ids; bytes that are no UTF-8 become U+FFFD."""
@@ -190,7 +216,8 @@ class Encoder:
 
     def digests(self, text: str | None) -> tuple[int, str, str]:
         """Number of tokens, hash of the ids, hash of the decoded text."""
-        said, ids = self._encode(text)
+        said = self._said(text)
+        ids = self._ids(said)
         back = self.decode(ids).encode("utf-8")
         return len(ids), hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(back).hexdigest()
 
