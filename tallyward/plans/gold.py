@@ -61,6 +61,10 @@ def provider_performance(claims: DataFrame, providers: DataFrame, hot: DataFrame
         tally(_status(APPROVED)).alias("approved_claims"),
         tally(_status(DENIED)).alias("denied_claims"),
     )
+    return describe_providers(per_provider, providers, hot)
+
+
+def describe_providers(per_provider: DataFrame, providers: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     attributes = providers.select("provider_id", "provider_name", "specialty", "network_status", "state")
     described = per_provider.join(attributes, "provider_id", "left").withColumn(
         "approval_rate_pct", percent("approved_claims", "total_claims")
@@ -87,6 +91,10 @@ def patient_risk_scores(claims: DataFrame, patients: DataFrame) -> DataFrame:
         F.countDistinct("provider_id").alias("unique_providers_seen"),
         F.max("claim_date").alias("last_claim_date"),
     )
+    return describe_patients(per_patient, patients)
+
+
+def describe_patients(per_patient: DataFrame, patients: DataFrame) -> DataFrame:
     now = current_rows(patients).select("patient_id", "first_name", "last_name", "insurance_plan", "chronic_conditions")
     return per_patient.join(now, "patient_id", "left").withColumn(
         "risk_tier", risk_tier("total_spend", "chronic_conditions")
@@ -160,18 +168,21 @@ def network_utilization(claims: DataFrame, providers: DataFrame) -> DataFrame:
 
 def payer_denial_analysis(claims: DataFrame) -> DataFrame:
     denied, approved = _status(DENIED), _status(APPROVED)
+    per_payer = claims.groupBy(month_of("claim_date").alias("claim_month"), "payer_id").agg(
+        F.count("claim_id").alias("total_claims"),
+        tally(denied).alias("denied_count"),
+        exact_sum("claim_amount", denied).alias("denied_amount"),
+        exact_sum("claim_amount", approved).alias("approved_amount"),
+        F.countDistinct(F.when(denied, F.col("patient_id"))).alias("patients_with_denials"),
+    )
+    return rank_denials(per_payer)
+
+
+def rank_denials(per_payer: DataFrame) -> DataFrame:
     # One row per month and payer is left, so this window holds only payers.
     worst_first = Window.partitionBy("claim_month").orderBy(F.col("denial_rate_pct").desc())
     return (
-        claims.groupBy(month_of("claim_date").alias("claim_month"), "payer_id")
-        .agg(
-            F.count("claim_id").alias("total_claims"),
-            tally(denied).alias("denied_count"),
-            exact_sum("claim_amount", denied).alias("denied_amount"),
-            exact_sum("claim_amount", approved).alias("approved_amount"),
-            F.countDistinct(F.when(denied, F.col("patient_id"))).alias("patients_with_denials"),
-        )
-        .withColumn("denial_rate_pct", percent("denied_count", "total_claims"))
+        per_payer.withColumn("denial_rate_pct", percent("denied_count", "total_claims"))
         .withColumn(
             "denied_amount_pct", percent(F.col("denied_amount"), F.col("denied_amount") + F.col("approved_amount"))
         )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyward.operators import hotkeys, keyed
-from tallyward.plans import gold, lifecycle
+from tallyward.operators import changelog, hotkeys, keyed
+from tallyward.plans import gold, incremental, lifecycle
+from tallyward.queries import views_sql
 from tallyward.queries.registry import query
 from tallyward.session import shared_folder, stored_copy
 from tallyward.sources import model, tables
@@ -75,6 +76,70 @@ query("network_utilization", "network_utilization", "SELECT * FROM network_utili
 query("payer_denial_analysis", "payer_denial_analysis", "SELECT * FROM payer_denial_analysis")(denials)
 
 
+# Claims in three commits: loads up to 1997, up to 1999, and later ones. A load
+# of 49 units or more withdraws the claim.
+_LEFT = """claims_left AS (SELECT * EXCLUDE (v, r, gone) FROM (
+    SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY v DESC, ingest_ts DESC, claim_amount DESC) AS r FROM (
+        SELECT l_orderkey || '-' || l_linenumber AS claim_id, CAST(o_custkey AS VARCHAR) AS patient_id,
+               CAST(l_suppkey AS VARCHAR) AS provider_id, CAST(l_partkey AS VARCHAR) AS diagnosis_code,
+               CAST(o_orderdate AS DATE) AS claim_date, l_extendedprice AS claim_amount,
+               CASE l_returnflag WHEN 'A' THEN 'APPROVED' WHEN 'R' THEN 'DENIED' ELSE 'PENDING' END AS claim_status,
+               o_orderpriority AS payer_id, l_shipdate AS ingest_ts, l_quantity >= 49 AS gone,
+               CASE WHEN year(l_shipdate) <= 1997 THEN 0 WHEN year(l_shipdate) <= 1999 THEN 1 ELSE 2 END AS v
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey)) WHERE r = 1 AND NOT gone)"""
+_FACT = ["claim_id", "patient_id", "provider_id", "diagnosis_code", "claim_date", "claim_amount", "claim_status", "payer_id"]
+
+
+def claim_commits(spark, folder):
+    """The change log of the three commits, stored by commit."""
+    year = F.year("l_shipdate")
+    loads = tables.table(spark, folder, "lineitem").withColumns({
+        "version": F.when(year <= 1997, 0).when(year <= 1999, 1).otherwise(2), "gone": F.col("l_quantity") >= 49,
+    })
+    keys = [*model.CLAIM_KEY, "version"]
+    steps = keyed.latest_per_key(loads, keys, model.claim_newest())
+    rows = model.as_claims(steps, tables.table(spark, folder, "orders"), "version", "gone")
+    stamp = rows.select(*_FACT, "version", "gone", F.current_timestamp().alias("stamp"))
+    log = changelog.log_commits(stamp, ["claim_id"], "version", "stamp", [F.lit(1)], F.col("gone"))
+    out = shared_folder(spark, "claim-commits")
+    log.select(*_FACT, *changelog.META).write.partitionBy(changelog.VERSION).parquet(out)
+    return spark.read.parquet(out)
+
+
+def incrementally(spark, folder, measures):
+    """The state of a gold table after three batches, folded after the second."""
+    log = claim_commits(spark, folder)
+    table = incremental.IncrementalTable(shared_folder(spark, "incremental"), measures, parts=16)
+    for number in range(3):
+        table.apply(log.filter(F.col(changelog.VERSION) == number), number)
+        if number == 1:
+            table.fold(spark, 1)
+    return table.state(spark)
+
+
+@query("gold_incremental", "", views_sql.over("monthly_claims_summary", _LEFT, "SELECT * FROM monthly_claims_summary"))
+def gold_incremental(spark, folder):
+    return incremental.monthly_claims_summary(incrementally(spark, folder, incremental.monthly_measures()))
+
+
+@query("gold_incremental_providers", "", views_sql.over("provider_performance", _LEFT, "SELECT * FROM provider_performance"))
+def gold_incremental_providers(spark, folder):
+    state = incrementally(spark, folder, incremental.provider_measures())
+    return incremental.provider_performance(state, model.provider_dim(spark, folder))
+
+
+@query("gold_incremental_patients", "", views_sql.over("patient_risk_scores", _LEFT, "SELECT * FROM patient_risk_scores"))
+def gold_incremental_patients(spark, folder):
+    """Last claim dates too, which move back where the newest claim is withdrawn."""
+    state = incrementally(spark, folder, incremental.patient_measures())
+    return incremental.patient_risk_scores(state, model.patient_dim(spark, folder))
+
+
+@query("gold_incremental_denials", "", views_sql.over("payer_denial_analysis", _LEFT, "SELECT * FROM payer_denial_analysis"))
+def gold_incremental_denials(spark, folder):
+    return incremental.payer_denial_analysis(incrementally(spark, folder, incremental.denial_measures()))
+
+
 @query("latest_months", "monthly_claims_summary", """
     SELECT claim_month, payer_id, total_claims, approval_rate_pct FROM monthly_claims_summary
     ORDER BY claim_month DESC, payer_id LIMIT 5""")

@@ -166,3 +166,10 @@ def with_views(names: list[str], sql: str) -> str:
     if body.startswith("WITH "):
         return f"WITH {head},\n{body[5:]}"
     return f"WITH {head}\n{body}"
+
+
+def over(name: str, facts: str, sql: str) -> str:
+    """A view's SQL over other facts: ``facts`` takes the place of ``claims_fact``."""
+    parents, body = VIEWS[name]
+    head = ",\n".join(f"{n} AS ({b.strip()})" for n, b in _needed([p for p in parents if p != "claims_fact"], {}).items())
+    return f"WITH {head + ',' if head else ''} {facts}, {name} AS ({body.replace('claims_fact', 'claims_left')}) {sql}"

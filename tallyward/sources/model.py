@@ -30,7 +30,8 @@ def claim_newest() -> list[Column]:
     return [F.col("l_shipdate").desc(), F.col("l_extendedprice").desc()]
 
 
-def as_claims(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def as_claims(lines: DataFrame, orders: DataFrame, *also: str) -> DataFrame:
+    """Claims of order lines; ``also`` names columns to carry along."""
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return rows.select(
         F.concat_ws("-", text("l_orderkey"), text("l_linenumber")).alias("claim_id"),
@@ -49,6 +50,7 @@ def as_claims(lines: DataFrame, orders: DataFrame) -> DataFrame:
         F.lpad((F.col("o_custkey") % 9999).cast("string"), 4, "0").alias("ssn_last4"),
         F.concat((F.col("o_custkey") % 9999).cast("string"), F.lit(" Main St")).alias("patient_address"),
         F.col("l_shipdate").cast("timestamp").alias("_ingest_ts"),
+        *also,
     )
 
 

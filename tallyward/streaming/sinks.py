@@ -95,11 +95,14 @@ def stored(spark: SparkSession, folder: str) -> DataFrame:
     return folded.unionByName(batches.filter(F.col(BATCH) > upto).withColumn(BATCH, F.col(BATCH).cast("int")))
 
 
-def fold(spark: SparkSession, folder: str, upto: int, reduce_stored: Callable[[DataFrame], DataFrame]) -> None:
+def fold(
+    spark: SparkSession, folder: str, upto: int, reduce_stored: Callable[[DataFrame], DataFrame], parted: list[str] | None = None
+) -> None:
     """Reduce the stored rows up to a batch into one folder, then mark it as valid.
     Folders of those batches can be deleted afterwards."""
     rows = stored(spark, folder).filter(F.col(BATCH) <= upto)
-    reduce_stored(rows).withColumn(BATCH, F.col(BATCH).cast("int")).write.mode("overwrite").parquet(f"{folder}_folded/upto={upto}")
+    reduced = reduce_stored(rows).withColumn(BATCH, F.col(BATCH).cast("int"))
+    reduced.write.mode("overwrite").partitionBy(*parted or []).parquet(f"{folder}_folded/upto={upto}")
     spark.range(1).select(F.lit(upto).alias("upto")).write.mode("append").parquet(f"{folder}_folds")
 
 
