@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -44,16 +44,40 @@ def smallest_hashes(rows: DataFrame, most: int) -> DataFrame:
     return rows.where(near).orderBy(place, *rows.columns).limit(most)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: Column, most: int, where: Column | None = None) -> DataFrame:
+def smallest_of_each(rows: DataFrame, by: str, most: int) -> DataFrame:
+    """For each value of ``by`` the ``most`` rows with the smallest hash of
+    ``doc_id``. Tasks keep their own smallest before the shuffle (Spark pushes
+    the limit on row numbers down, for up to a thousand rows)."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(_SPAN))
+    first = Window.partitionBy(by).orderBy(place, *rows.columns)
+    name = fresh(rows.columns, "rank")
+    return rows.withColumn(name, F.row_number().over(first)).where(F.col(name) <= most).drop(name)
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
+    """``ids`` (doc_id and more, one row per id; a bounded sample) with their
+    texts, one row per id: the smallest text of an id that documents repeat."""
+    rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(ids), "doc_id")
+    return rows.groupBy("doc_id", *columns).agg(F.min("text").alias("text")).select("doc_id", "text", *columns)
+
+
+def labelled(
+    docs: DataFrame, labels: DataFrame, label: Column, most: int, where: Column | None = None, least: int = 0
+) -> DataFrame:
     """A bounded sample (doc_id, text, y) for fitting a model.
 
     The ``most`` ids with the smallest hash are taken from the labels that
-    have a value, one label per id (the largest, where an id is repeated).
-    Documents and labels may each lack ids of the other.
+    have a value, one label per id (the largest, where an id is repeated), and
+    besides them the ``least`` of smallest hash of each value, so that a rare
+    value is not lost. An id has one row, whatever rows repeat it. Documents
+    and labels may each lack ids of the other.
     """
     ids = labels.select("doc_id", label.cast("double").alias("y")).where("doc_id is not null and y is not null")
     if where is not None:
         ids = ids.where(where)
-    ids = smallest_hashes(ids.groupBy("doc_id").agg(F.max("y").alias("y")), most)
-    # at most `most` rows of two numbers: a proven bound
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    ids = ids.groupBy("doc_id").agg(F.max("y").alias("y"))
+    some = smallest_hashes(ids, most)
+    if least:
+        some = some.unionByName(smallest_of_each(ids, "y", least)).distinct()
+    # at most `most` rows of two numbers, and `least` for each value: a proven bound
+    return texts_of(docs, some, "y")
