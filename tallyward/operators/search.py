@@ -99,6 +99,15 @@ def ready_to_index(dim: DataFrame, minimum: int = INDEX_MIN_ROWS) -> DataFrame:
     return rows.withColumn("ready", F.col("enriched") >= minimum)
 
 
+def vector_coverage(dim: DataFrame, vector: str, text: str) -> DataFrame:
+    """Rows with and without a vector, and those with a text but no vector: the ones still to be embedded."""
+    there = F.col(vector).isNotNull()
+    return dim.agg(
+        F.count(F.lit(1)).alias("codes"), F.count_if(there).alias("with_vector"), F.count_if(~there).alias("without_vector"),
+        F.count_if(~there & F.col(text).isNotNull()).alias("described_without_vector"),
+    )
+
+
 def sync_plan(index: DataFrame, source: DataFrame, key: str, text: str) -> DataFrame:
     """What an index needs to follow its source: ``insert`` and ``update`` rows
     carry the text to embed, ``delete`` rows only the key. Texts are compared

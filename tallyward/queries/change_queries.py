@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyward.functions.expressions import exact_sum, tally
 from tallyward.operators import changelog, history, keyed
 from tallyward.operators.versions import VersionTable
 from tallyward.plans import feeds
@@ -163,14 +164,29 @@ def merge_upsert(spark, folder):
     return keyed.merge_upsert(old, new, ["claim_id"], ["claim_status", "claim_amount"], source_is_unique=True)
 
 
-@query("merge_twice", "", "SELECT CAST(0 AS BIGINT) AS differing_rows")
+_MERGED = f"""SELECT count(*) AS claims, count(DISTINCT coalesce(o.claim_id, n.claim_id)) AS claim_ids,
+    CAST(sum(CAST(coalesce(n.claim_amount, o.claim_amount) AS DECIMAL(18,2))) AS DOUBLE) AS amount,
+    count(*) FILTER (coalesce(n.claim_status, o.claim_status) = 'PENDING') AS pending
+    FROM {_OLD} o FULL JOIN {_NEW} n ON o.claim_id = n.claim_id"""
+
+
+@query("merge_twice", "claims_bronze", f"""SELECT part, m.*, CAST(0 AS BIGINT) AS differing_rows
+    FROM (SELECT unnest(['once', 'twice']) AS part), ({_MERGED}) m""")
 def merge_twice(spark, folder):
-    """The same batch merged twice leaves the table as it was."""
+    """The same batch merged twice leaves the table as it was: what both hold, and rows in which they differ."""
     old, new = _claims_by(spark, folder, SPLIT, True), _claims_by(spark, folder, SPLIT, False)
     columns = ["claim_status", "claim_amount"]
-    once = keyed.merge_upsert(old, new, ["claim_id"], columns, source_is_unique=True)
+    once = stored_copy(keyed.merge_upsert(old, new, ["claim_id"], columns, source_is_unique=True), "merged")
     twice = keyed.merge_upsert(once, new, ["claim_id"], columns, source_is_unique=True)
-    return changelog.snapshot_diff(once, twice, ["claim_id"]).agg(F.count(F.lit(1)).alias("differing_rows"))
+    differing = changelog.snapshot_diff(once, twice, ["claim_id"]).agg(F.count(F.lit(1)).alias("differing_rows"))
+
+    def held(part, df):
+        return df.agg(
+            F.count(F.lit(1)).alias("claims"), F.countDistinct("claim_id").alias("claim_ids"), exact_sum("claim_amount").alias("amount"),
+            tally(F.col("claim_status") == "PENDING").alias("pending"),
+        ).select(F.lit(part).alias("part"), "*")
+
+    return held("once", once).unionByName(held("twice", twice)).withColumn("differing_rows", differing.scalar())
 
 
 @query("merge_update_if", "claims_bronze", f"""

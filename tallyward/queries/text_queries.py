@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyward.operators import enrich, search
+from tallyward.operators.pruned_search import InvertedFile
 from tallyward.queries.registry import query
 from tallyward.sources import model
 from tallyward.session import stored_copy
@@ -207,20 +208,52 @@ def rag_answers(spark, folder):
     q AS (SELECT vec_id * 8 + s AS q, CASE WHEN vec_id = 7 THEN NULL
                  ELSE list_transform(e, lambda x, i: CASE WHEN i % 7 = s THEN -x ELSE x END) END AS e
           FROM v, (SELECT unnest(range(5)) AS s)),
-    idx AS (SELECT icd10_code, e FROM diagnosis_dim JOIN v ON icd10_code = CAST(vec_id AS VARCHAR) WHERE vec_id % 20 = 0)
+    idx AS (SELECT icd10_code, e FROM diagnosis_dim JOIN v ON icd10_code = CAST(vec_id AS VARCHAR))
     SELECT q, icd10_code, CAST(round(score * 1e9) AS BIGINT) AS score_e9, CAST(rank AS INTEGER) AS rank
     FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, icd10_code) AS rank
           FROM (SELECT q, icd10_code, round(list_cosine_similarity(idx.e, q.e), 9) AS score FROM q, idx WHERE q.e IS NOT NULL))
     WHERE rank <= 2""")
 def vector_topk_many(spark, folder):
-    """Five questions from each vector, more than one block of them; one vector is NULL."""
+    """Five questions from each vector, asked of the whole index; one vector is NULL."""
+    questions = turned_vectors(spark, folder)
+    return in_units(search.similarity_topk(diagnosis_index(spark, folder), "icd10_code", "embedding", questions, "q", "qv", 2))
+
+
+def turned_vectors(spark, folder):
     vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
-    turned = vectors.select("vec_id", "e", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("s")).select(
+    return vectors.select("vec_id", "e", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("s")).select(
         (F.col("vec_id") * 8 + F.col("s")).alias("q"),
         F.when(F.col("vec_id") != 7, F.transform("e", lambda x, i: F.when((i + 1) % 7 == F.col("s"), -x).otherwise(x))).alias("qv"),
     )
-    index = diagnosis_index(spark, folder).where("cast(icd10_code as bigint) % 20 = 0")
-    return in_units(search.similarity_topk(index, "icd10_code", "embedding", turned, "q", "qv", 2, block_questions=700, shard_rows=10))
+
+
+@query("vector_topk_pruned", "", """
+    WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+    q AS (SELECT vec_id * 8 + s AS q, CASE WHEN vec_id = 7 THEN NULL
+                 ELSE list_transform(e, lambda x, i: CASE WHEN i % 7 = s THEN -x ELSE x END) END AS e
+          FROM v, (SELECT unnest(range(5)) AS s))
+    SELECT q, vec_id, CAST(round(score * 1e9) AS BIGINT) AS score_e9, CAST(rank AS INTEGER) AS rank, true AS within_all
+    FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS rank
+          FROM (SELECT q, vec_id, round(list_cosine_similarity(v.e, q.e), 9) AS score FROM q, v WHERE q.e IS NOT NULL))
+    WHERE rank <= 3""")
+def vector_topk_pruned(spark, folder):
+    """The same questions asked of all vectors through the inverted file: all
+    answers, from no more comparisons than there are vectors."""
+    vectors = table(spark, folder, "embeddings")
+    built = InvertedFile.build(vectors, "vec_id", "embedding")
+    hits = built.search(turned_vectors(spark, folder), "q", "qv", 3)
+    return in_units(hits.withColumn("within_all", F.col("scored") <= int(built.n.sum())).drop("scored"))
+
+
+@query("index_coverage", "diagnosis_dim", """
+    SELECT count(*) AS codes, count(vec_id) AS with_vector, count(*) - count(vec_id) AS without_vector,
+           count(*) FILTER (vec_id IS NULL AND ai_description IS NOT NULL) AS described_without_vector
+    FROM diagnosis_dim LEFT JOIN embeddings ON icd10_code = CAST(vec_id AS VARCHAR)""")
+def index_coverage(spark, folder):
+    """How many codes the searches by stored vectors can find, and how many
+    have no vector yet and so are never found by them."""
+    vectors = table(spark, folder, "embeddings").select(F.col("vec_id").cast("string").alias("icd10_code"), F.lit(1).alias("v"))
+    return search.vector_coverage(model.diagnosis_dim(spark, folder).join(vectors, "icd10_code", "left"), "v", "ai_description")
 
 
 @query("index_ready", "diagnosis_dim", """
@@ -269,10 +302,10 @@ def text_search(spark, folder):
     counts = stored_copy(search.term_counts(docs, "doc_id", "text"), "terms")
     weights = stored_copy(search.dimension_weights(counts, docs), "weights")
     asked = search.term_counts(table(spark, folder, "benchmark"), "item_id", "text")
-    questions = search.hashed_vectors(asked, weights, "item_id")
-    return in_units(search.similarity_topk(
-        search.hashed_vectors(counts, weights, "doc_id"), "doc_id", "embedding", questions, "item_id", "embedding", 5
-    ))
+    # stored, as the search counts both sides before it compares them
+    questions = stored_copy(search.hashed_vectors(asked, weights, "item_id"), "question-vectors")
+    vectors = stored_copy(search.hashed_vectors(counts, weights, "doc_id"), "document-vectors")
+    return in_units(search.similarity_topk(vectors, "doc_id", "embedding", questions, "item_id", "embedding", 5))
 
 
 @query("index_synced", "", """
