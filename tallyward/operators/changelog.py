@@ -72,6 +72,18 @@ def changes(log: DataFrame, from_version: int, to_version: int | None = None) ->
     return rows if to_version is None else rows.filter(F.col(VERSION) <= to_version)
 
 
+def table_function(log: DataFrame, name: str) -> None:
+    """A temporary SQL function ``name(from, to)`` whose rows are the changes
+    of these versions; it reads the log by a view, ``<name>_log``. The version
+    filter is part of the query that calls it, and so prunes stored commits."""
+    log.createOrReplaceTempView(f"{name}_log")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in log.schema.fields)
+    log.sparkSession.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(from_version BIGINT, to_version BIGINT) RETURNS TABLE ({columns})
+            RETURN SELECT * FROM {name}_log WHERE {VERSION} BETWEEN from_version AND to_version"""
+    )
+
+
 def newest_changes(log: DataFrame, from_version: int, tie: list[str], limit: int = 20) -> DataFrame:
     order = [F.col(STAMP).desc(), F.col(VERSION).desc(), *[F.col(t) for t in tie], F.col(TYPE)]
     return changes(log, from_version).orderBy(*order).limit(limit)

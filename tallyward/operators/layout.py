@@ -30,6 +30,8 @@ def write_clustered(df: DataFrame, folder: str, columns: list[str], files: int |
     return folder
 
 
+#: Bytes of a string, after the prefix that all strings of the column share, that decide its place in a Z-order. Longer
+#: common beginnings only place rows less well: no result depends on it.
 STRING_BYTES = 7
 
 
@@ -55,16 +57,21 @@ def _numbers(stored: DataFrame, columns: list[str]) -> dict[str, Column]:
     return out
 
 
-def _cell(number: Column, cuts: list) -> Column:
-    """Number of cut points at or below the value, by binary choice; 0 for NULL."""
+def _cell(number: Column, cuts: list, type_: str) -> Column:
+    """Number of cut points at or below the value; 0 for NULL.
 
-    def choose(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(number < F.lit(cuts[middle]), choose(low, middle)).otherwise(choose(middle + 1, high))
+    The cuts are one literal array and the rank is found by binary search in
+    it, so the expression has the same size for any number of files, and a row
+    takes as many steps as the number of cuts has bits."""
+    if not cuts:
+        return F.lit(0).cast("bigint")
+    held = F.split(F.lit(",".join(map(str, cuts))), ",").cast(f"array<{type_}>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
 
-    return F.when(number.isNull(), F.lit(0)).otherwise(choose(0, len(cuts))).cast("bigint")
+    def further(rank: Column, step: Column) -> Column:
+        return F.when(F.get(held, rank + step - 1) <= number, rank + step).otherwise(rank)
+
+    return F.when(number.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), further)).cast("bigint")
 
 
 def with_z_value(stored: DataFrame, columns: list[str], files: int) -> DataFrame:
@@ -76,12 +83,18 @@ def with_z_value(stored: DataFrame, columns: list[str], files: int) -> DataFrame
     columns of their own, so that each is computed once per row.
     """
     bits = max(1, -(-(4 * files - 1).bit_length() // len(columns)))
+    if bits * len(columns) > 62:
+        raise ValueError(f"{files} files by {len(columns)} columns need more than 62 bits")
     shares = [i / 2**bits for i in range(1, 2**bits)]
     numbers = _numbers(stored, columns)
-    found = stored.agg(*[
+    found_frame = stored.agg(*[
         F.percentile_approx(n, shares, 10 * 2**bits).alias(f"_q{i}") for i, n in enumerate(numbers.values())
-    ]).first()
-    cells = {f"_cell{i}": _cell(n, sorted(set(found[i] or []))) for i, n in enumerate(numbers.values())}
+    ])
+    found = found_frame.first()
+    types = dict(found_frame.dtypes)
+    cells = {
+        f"_cell{i}": _cell(n, sorted(set(found[i] or [])), types[f"_q{i}"][len("array<"):-1]) for i, n in enumerate(numbers.values())
+    }
     parts = [
         F.shiftleft(F.shiftright(name, bit).bitwiseAND(F.lit(1)), bit * len(columns) + place)
         for bit in range(bits)
@@ -166,6 +179,25 @@ def column_statistics(df: DataFrame, columns: list[str], exact: tuple[str, ...]
     return df.agg(*aggregates).select(F.inline(F.array(*lines)))
 
 
-def analyze(spark: SparkSession, table: str) -> None:
-    """Catalog statistics of a managed table, for the cost-based optimizer."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+def analyze(spark: SparkSession, table: str, histograms: bool = False) -> None:
+    """Catalog statistics of a table, for the cost-based optimizer."""
+    key = "spark.sql.statistics.histogram.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(histograms).lower())
+    try:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+    finally:
+        spark.conf.set(key, before)
+
+
+def catalog_statistics(spark: SparkSession, table: str, columns: list[str]) -> DataFrame:
+    """What the catalog knows of some columns; no row of the table is read."""
+    rows = []
+    for c in columns:
+        told = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {table} {c}").collect()}
+        known = lambda name: None if told.get(name) in (None, "NULL") else told[name]
+        number = lambda name: None if known(name) is None else int(known(name))
+        rows.append((c, number("num_nulls"), number("distinct_count"), known("min"), known("max"), known("histogram") is not None))
+    return spark.createDataFrame(
+        rows, "column_name STRING, null_count BIGINT, distinct_count BIGINT, min_value STRING, max_value STRING, has_histogram BOOLEAN"
+    )

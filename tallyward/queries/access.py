@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyward.operators import masking
@@ -65,5 +67,6 @@ def access_table_claims(spark, folder):
     SELECT claim_id, DATE '1900-01-01' AS dob, 'REDACTED' AS patient_address, claim_amount FROM claims_fact WHERE provider_id = '7'""")
 def secured_view_claims(spark, folder):
     """A view with masks and row filter, read by its name."""
-    masking.secured_view(model.claims_fact(spark, folder), "secured_claims", PERSONAL, "provider_id", Viewer("7"))
-    return spark.sql("SELECT claim_id, dob, patient_address, claim_amount FROM secured_claims")
+    name = f"secured_claims_{uuid.uuid4().hex}"  # two runs at once have a view each
+    masking.secured_view(model.claims_fact(spark, folder), name, PERSONAL, "provider_id", Viewer("7"))
+    return spark.sql(f"SELECT claim_id, dob, patient_address, claim_amount FROM {name}")

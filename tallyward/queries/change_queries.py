@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyward.functions.expressions import exact_sum, tally
-from tallyward.operators import changelog, history, keyed
+from tallyward.operators import changelog, evolution, history, keyed, retention
 from tallyward.operators.versions import VersionTable
 from tallyward.plans import feeds
 from tallyward.queries.registry import query
@@ -348,6 +350,61 @@ def log_retention_dry_run(spark, folder):
     return changelog.fold_dry_run(claim_log(spark, folder), ["claim_id"], cut)
 
 
+@query("log_retention_stored", "", f"""WITH {_STEPS}, old AS (SELECT * EXCLUDE (r) FROM (
+        SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY _commit_version DESC) AS r FROM log
+        WHERE _commit_timestamp < {_CUT} AND _change_type <> 'update_preimage') WHERE r = 1 AND _change_type <> 'delete'),
+    per AS (SELECT _commit_version AS version, count(*) AS rows_before, max(_commit_timestamp) < {_CUT} AS o FROM log GROUP BY 1),
+    kept AS (SELECT _commit_version AS version, count(*) AS k FROM old GROUP BY 1)
+    SELECT version, CASE WHEN NOT o THEN 'keep' WHEN k IS NULL THEN 'delete' ELSE 'replace' END AS action, rows_before,
+           CASE WHEN NOT o THEN rows_before ELSE coalesce(k, 0) END AS rows_after,
+           CASE WHEN NOT o THEN rows_before ELSE coalesce(k, 0) END AS rows_stored, true AS same_state
+    FROM per LEFT JOIN kept USING (version)""")
+def log_retention_stored(spark, folder):
+    """The stored log folded in place: what was planned for each commit, what
+    its folder holds now, and whether the table it leads to is the same."""
+    cut, out = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz"), shared_folder(spark, "log")
+    claim_log(spark, folder).write.partitionBy(changelog.VERSION).parquet(out)
+    state = stored_copy(changelog.as_of(spark.read.parquet(out), ["claim_id"]), "state")
+    plan = retention.fold_stored_log(spark, out, ["claim_id"], cut)
+    now = spark.read.parquet(out)
+    stored = now.groupBy(F.col(changelog.VERSION).cast("bigint").alias("version")).agg(F.count(F.lit(1)).alias("rows_stored"))
+    differing = changelog.same_table(state, changelog.as_of(now, ["claim_id"])).agg(F.count(F.lit(1)) == 0).scalar()
+    return plan.join(stored, "version", "left").withColumns({
+        "rows_stored": F.coalesce("rows_stored", F.lit(0)), "same_state": differing,
+    })
+
+
+@query("sql_table_changes", "", f"""WITH {_STEPS} SELECT _change_type, _commit_version, count(*) AS row_count,
+    CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM log WHERE _commit_version BETWEEN 1998 AND 1999 GROUP BY ALL""")
+def sql_table_changes(spark, folder):
+    """The change feed as a table function of SQL, over a view that is its own."""
+    function = f"claim_changes_{uuid.uuid4().hex}"
+    changelog.table_function(claim_log(spark, folder), function)
+    return spark.sql(
+        f"""SELECT _change_type, _commit_version, count(*) AS row_count, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount
+            FROM {function}(1998, 1999) GROUP BY ALL"""
+    )
+
+
+@query("evolved_loads", "claims_fact", """
+    SELECT claim_id, CAST(claim_amount AS DOUBLE) AS claim_amount, n, note FROM (
+        SELECT claim_id, claim_amount, CAST(1 AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS note FROM claims_fact WHERE claim_status = 'APPROVED'
+        UNION ALL SELECT claim_id, claim_amount, 5000000000, NULL FROM claims_fact WHERE claim_status = 'DENIED'
+        UNION ALL SELECT claim_id, NULL, 3, payer_id FROM claims_fact WHERE claim_status = 'PENDING')""")
+def evolved_loads(spark, folder):
+    """Three loads on storage: the second has a wider number, the third one column more and one less."""
+    out = shared_folder(spark, "loads")
+    facts = stored_copy(model.claims_fact(spark, folder), "claims")
+    amount = F.col("claim_amount")
+    for k, (status, columns) in enumerate((
+        ("APPROVED", [amount, F.lit(1).alias("n")]),
+        ("DENIED", [amount, F.lit(5_000_000_000).alias("n")]),
+        ("PENDING", [F.lit(3).cast("short").alias("n"), F.col("payer_id").alias("note")]),
+    )):
+        facts.filter(F.col("claim_status") == status).select("claim_id", *columns).write.parquet(f"{out}/load={k}")
+    return evolution.read_loads(spark, [f"{out}/load={k}" for k in range(3)]).select("claim_id", "claim_amount", "n", "note")
+
+
 @query("evolved_append", "claims_fact provider_dim", """
     SELECT provider_id, network_status, CAST(NULL AS VARCHAR) AS npi FROM provider_dim
     UNION ALL SELECT provider_id, network_status, npi FROM provider_dim""")

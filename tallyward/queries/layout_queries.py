@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyward import schemas
-from tallyward.operators import layout
+from tallyward.operators import layout, skipping
 from tallyward.queries.gold_queries import CLAIM_COLUMNS, monthly
 from tallyward.queries.registry import query
 from tallyward.session import shared_folder
@@ -96,6 +98,47 @@ def point_lookup(spark, folder):
     return model.claims_fact(spark, folder).filter(F.col("patient_id") == "7").agg(F.count(F.lit(1)).alias("claims"))
 
 
+@query("point_lookup_skipped", "claims_fact", """
+    SELECT CAST(i AS VARCHAR) AS patient_id, (SELECT count(*) FROM claims_fact f WHERE f.patient_id = CAST(i AS VARCHAR)) AS claims,
+           true AS opens_few FROM (SELECT unnest(range(1, 6)) AS i)
+    UNION ALL SELECT 'absent', 0, true""")
+def point_lookup_skipped(spark, folder):
+    """Claims written for lookups by patient. Only files that the statistics
+    beside the table leave are opened; of fifty patients that are within the
+    range of files but in none, hardly one opens a file."""
+    out = f"{shared_folder(spark, 'lookup')}/t"
+    skipping.write_for_lookup(model.claims_fact(spark, folder).select("patient_id", "claim_id", "claim_amount"), out, "patient_id", 8, 10_000)
+    files = spark.read.parquet(f"{out}_files").select("file_path").distinct().count()
+    rows = []
+    for patient in map(str, range(1, 6)):
+        found = skipping.lookup(spark, out, "patient_id", patient).count()
+        rows.append((patient, found, skipping.files_with(spark, out, patient).count() <= max(2, files // 4)))
+    absent = [f"{n}x" for n in range(1, 51)]
+    opened = sum(skipping.files_with(spark, out, patient).count() for patient in absent[:10])
+    rows.append(("absent", sum(skipping.lookup(spark, out, "patient_id", p).count() for p in absent[:2]), opened <= 2))
+    return spark.createDataFrame(rows, "patient_id STRING, claims BIGINT, opens_few BOOLEAN")
+
+
+@query("catalog_statistics", "claims_fact", """
+    SELECT 'claim_date' AS column_name, count(*) FILTER (claim_date IS NULL) AS null_count, CAST(min(claim_date) AS VARCHAR) AS min_value,
+           CAST(max(claim_date) AS VARCHAR) AS max_value, true AS distinct_close, true AS has_histogram FROM claims_fact
+    UNION ALL SELECT 'claim_amount', count(*) FILTER (claim_amount IS NULL), CAST(min(claim_amount) AS VARCHAR),
+           CAST(max(claim_amount) AS VARCHAR), true, true FROM claims_fact
+    UNION ALL SELECT 'payer_id', count(*) FILTER (payer_id IS NULL), NULL, NULL, true, false FROM claims_fact""")
+def catalog_statistics(spark, folder):
+    """What the catalog knows of a table after ANALYZE: ranges, NULLs, distinct values near the true number, histograms."""
+    names = ["claim_date", "claim_amount", "payer_id"]
+    name, out = f"claims_{uuid.uuid4().hex}", shared_folder(spark, "catalog")
+    model.claims_fact(spark, folder).select(*names).write.mode("overwrite").parquet(out)
+    spark.catalog.createTable(name, out, "parquet")
+    layout.analyze(spark, name, histograms=True)
+    told = layout.catalog_statistics(spark, name, names)
+    true = spark.table(name).agg(*[F.countDistinct(c).alias(c) for c in names])
+    true = true.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_true")) for c in names])))
+    close = F.abs(F.col("distinct_count") - F.col("_true")) <= 0.1 * F.col("_true")
+    return told.join(true, "column_name").withColumn("distinct_close", close).drop("distinct_count", "_true")
+
+
 @query("column_statistics", "claims_bronze", """
     SELECT 'claim_date' AS column_name, count(*) FILTER (claim_date IS NULL) AS null_count, count(DISTINCT claim_date) AS distinct_count,
            CAST(min(claim_date) AS VARCHAR) AS min_value, CAST(max(claim_date) AS VARCHAR) AS max_value FROM claims_bronze
@@ -114,7 +157,7 @@ def declared_table(spark, folder):
     """A table declared in the catalog before it has rows, filled in its declared form and read by name."""
     out = shared_folder(spark, "declared")
     schemas.conform(model.provider_dim(spark, folder), "provider_dim").write.mode("overwrite").parquet(out)
-    spark.sql("DROP TABLE IF EXISTS declared_provider_dim")
-    schemas.create_table(spark, "provider_dim", "declared_provider_dim", out)
-    rows = spark.table("declared_provider_dim")
+    name = f"declared_provider_dim_{uuid.uuid4().hex}"  # two runs at once have a table each
+    schemas.create_table(spark, "provider_dim", name, out)
+    rows = spark.table(name)
     return rows.withColumn("_updated_ts", F.col("_updated_ts").cast("timestamp_ntz"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,7 +15,7 @@ from tallyward.queries.registry import query
 from tallyward.session import shared_folder
 from tallyward.sources import model
 from tallyward.sources.tables import REJECTED
-from tallyward.streaming import admissions, sinks
+from tallyward.streaming import admissions, progress, sinks
 from tallyward.streaming.sources import csv_stream, table_stream
 
 
@@ -75,15 +77,19 @@ def batch_hourly(spark, folder):
 
 
 ALERTS = """SELECT admission_id, patient_id, department, severity,
-    CASE WHEN severity = 5 THEN 'CRITICAL' ELSE 'HIGH' END AS alert_level, admitted_at, provider_id, diagnosis_code
-    FROM er_silver WHERE severity >= 4"""
+    CASE WHEN severity = 5 THEN 'CRITICAL' ELSE 'HIGH' END AS alert_level, admitted_at, provider_id, diagnosis_code,
+    true AS raised_in_this_run FROM er_silver WHERE severity >= 4"""
 
 
 @query("stream_alerts", "er_silver", ALERTS)
 def stream_alerts(spark, folder):
-    out = shared_folder(spark, "alerts")
+    """Alerts carry the time of the batch that raised them; each run has its own."""
+    out, begun = shared_folder(spark, "alerts"), datetime.now(timezone.utc)
     finish(sinks.append_table(admissions.alerts(er_stream(spark, folder)), f"{out}/t", f"{out}/c"))
-    return plain_times(spark.read.parquet(f"{out}/t"), "admitted_at")
+    stored = spark.read.parquet(f"{out}/t")
+    # a batch begins after the stream was started; clocks of driver and test are one
+    raised = F.col("alert_ts").between(F.lit(begun) - F.expr("INTERVAL 1 SECOND"), F.current_timestamp())
+    return plain_times(stored.withColumn("raised_in_this_run", raised).drop("alert_ts"), "admitted_at")
 
 
 CLEAN = """SELECT admission_id, patient_id, department, severity, admitted_at, discharged_at, los_hours, provider_id, diagnosis_code
@@ -147,6 +153,36 @@ def stream_late(spark, folder):
     return plain_times(spark.read.parquet(f"{out}/t"), "window_start", "window_end")
 
 
+@query("stream_progress", "er_admissions", """
+    WITH e AS (SELECT min(admitted_at) AS a, max(admitted_at) AS z FROM er_admissions), m AS (SELECT a + (z - a) / 2 AS middle FROM e),
+    late AS (SELECT count(*) AS n FROM er_admissions, m WHERE admitted_at < middle - INTERVAL 3 HOUR AND severity >= 4)
+    SELECT 0 AS batch, count(*) AS input_rows, CAST(0 AS BIGINT) AS dropped_late FROM er_admissions, m WHERE admitted_at <= middle
+    UNION ALL SELECT 1, count(*), 0 FROM er_admissions, m WHERE admitted_at > middle
+    UNION ALL SELECT 2, n, n FROM late""")
+def stream_progress(spark, folder):
+    """What the batches reported: the third holds late copies only, and the
+    watermark drops them all. Batches without input are left out."""
+    out = shared_folder(spark, "progress")
+    rows = model.er_admissions(spark, folder).select("admission_id", "admitted_at", "severity")
+    ends = rows.agg(F.min("admitted_at").alias("a"), F.max("admitted_at").alias("z"))
+    middle = ends.select(F.timestamp_micros(F.expr("unix_micros(a) + (unix_micros(z) - unix_micros(a)) div 2"))).scalar()
+    late = rows.filter((F.col("admitted_at") < middle - F.expr("INTERVAL 3 HOURS")) & (F.col("severity") >= 4))
+    for part in (rows.filter(F.col("admitted_at") <= middle), rows.filter(F.col("admitted_at") > middle), late):
+        part.coalesce(1).write.mode("append").parquet(f"{out}/landing")
+    log = progress.ProgressLog(spark, f"{out}/progress")
+    spark.streams.addListener(log)
+    try:
+        # the watermark, and not the key, must tell late rows: ids are made new by their file
+        source = table_stream(spark, f"{out}/landing", files_per_batch=1)
+        named = source.withColumn("admission_id", F.concat("admission_id", F.input_file_name()))
+        finish(sinks.append_table(admissions.first_within_watermark(named, "admitted_at", ["admission_id"]), f"{out}/t", f"{out}/c"))
+        log.wait()
+    finally:
+        spark.streams.removeListener(log)
+    told = progress.progress(spark, f"{out}/progress").filter("input_rows > 0")
+    return told.select(F.col("batch_id").cast("int").alias("batch"), "input_rows", "dropped_late")
+
+
 @query("stream_restart", "er_silver", CLEAN)
 def stream_restart(spark, folder):
     """A stream that stops, and goes on from its checkpoint with new files, at

@@ -100,7 +100,7 @@ def alerts(silver: DataFrame) -> DataFrame:
     level = F.when(F.col("severity") == CRITICAL_SEVERITY, "CRITICAL").otherwise("HIGH")
     return silver.filter(F.col("severity") >= ALERT_SEVERITY).select(
         "admission_id", "patient_id", "department", "severity", level.alias("alert_level"), "admitted_at",
-        "provider_id", "diagnosis_code",
+        "provider_id", "diagnosis_code", F.current_timestamp().alias("alert_ts"),
     )
 
 
