@@ -257,6 +257,70 @@ def pipeline_batch_gold(spark, folder):
     return lines
 
 
+_PASSED = """claims_left AS (SELECT * EXCLUDE (r) FROM (
+    SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY load_date DESC, claim_amount DESC) AS r FROM claims_unchecked
+    WHERE claim_id IS NOT NULL AND patient_id IS NOT NULL AND provider_id IS NOT NULL) WHERE r = 1)"""
+
+
+def _landed_sql() -> str:
+    body = lambda name: f"{name} AS ({views_sql.VIEWS[name][1].replace('claims_fact', 'claims_left')})"
+    return f"""WITH {_PASSED}, {body("monthly_claims_summary")}, {body("provider_performance")}, {body("patient_risk_scores")}
+        SELECT 'monthly_claims_summary' AS table_name, count(*) AS row_count, CAST(sum(total_claims) AS BIGINT) AS claims,
+               CAST(sum(CAST(total_amount AS DECIMAL(28,2))) AS DOUBLE) AS amount, CAST(sum(unique_patients) AS BIGINT) AS marks
+        FROM monthly_claims_summary
+        UNION ALL SELECT 'provider_performance', count(*), CAST(sum(total_claims) AS BIGINT),
+               CAST(sum(CAST(total_billed AS DECIMAL(28,2))) AS DOUBLE), CAST(sum(specialty_rank) AS BIGINT) FROM provider_performance
+        UNION ALL SELECT 'patient_risk_scores', count(*), CAST(sum(total_claims) AS BIGINT),
+               CAST(sum(CAST(total_spend AS DECIMAL(28,2))) AS DOUBLE), count(*) FILTER (risk_tier = 'HIGH') FROM patient_risk_scores
+        UNION ALL SELECT 'quarantine', count(*), NULL, NULL, NULL FROM (
+            SELECT unnest([claim_id, patient_id, provider_id]) AS k FROM claims_unchecked) WHERE k IS NULL"""
+
+
+@query("landing_to_gold", "claims_unchecked provider_dim patient_dim", _landed_sql())
+def landing_to_gold(spark, folder):
+    """CSV files in landing folders, in two deliveries, to silver tables and gold."""
+    out = shared_folder(spark, "landed")
+    claims = model.claims_unchecked(spark, folder)
+    providers = model.provider_dim(spark, folder).withColumn("updated_at", F.lit("2020-01-01").cast("date"))
+    events = model.patient_changes(spark, folder)
+    stale = providers.withColumns({"network_status": F.lit("UNKNOWN"), "updated_at": F.lit("2019-01-01").cast("date")})
+    deliveries = {"claims": (claims, "load_ref"), "providers": (providers, "provider_id"), "patients": (events, "event_no")}
+    feeds = {
+        "claims": lifecycle.Feed(f"{out}/in/claims", claims.schema, ["claim_id"], ["load_date", "claim_amount"]),
+        "providers": lifecycle.Feed(f"{out}/in/providers", providers.schema, ["provider_id"], ["updated_at"]),
+        "patients": lifecycle.Feed(f"{out}/in/patients", events.schema, model.PATIENT_KEY, model.PATIENT_SEQUENCE, model.PATIENT_TRACKED),
+    }
+    for half in (0, 1):
+        for name, (rows, key) in deliveries.items():
+            if name == "providers" and half == 0:
+                rows = stale  # the second delivery corrects all of the first
+            elif name != "providers":
+                rows = rows.filter(F.pmod(F.xxhash64(key), F.lit(2)) == half)
+            rows.write.mode("append").option("header", True).csv(feeds[name].landing)
+        silver = lifecycle.load_landed(spark, **feeds, folder=f"{out}/tables", as_of="DATE'2001-12-31'")
+    facts = stored_copy(silver["claims"], "silver-claims")
+    names = tables.table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("patient_id"), F.col("c_mktsegment").alias("first_name"), F.col("c_name").alias("last_name")
+    )
+    patients = silver["patients"].join(names, "patient_id", "left")
+    built = {
+        "monthly_claims_summary": (gold.monthly_claims_summary(facts), "total_amount", F.sum("unique_patients")),
+        "provider_performance": (gold.provider_performance(facts, silver["providers"]), "total_billed", F.sum("specialty_rank")),
+        "patient_risk_scores": (gold.patient_risk_scores(facts, patients), "total_spend", F.count_if(F.col("risk_tier") == "HIGH")),
+    }
+    nothing = F.lit(None).cast("bigint")
+    lines = silver["quarantine"].agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("quarantine").alias("table_name"), "row_count", nothing.alias("claims"), F.lit(None).cast("double").alias("amount"),
+        nothing.alias("marks"),
+    )
+    for name, (df, amount, marks) in built.items():
+        lines = lines.unionByName(df.agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum("total_claims").cast("bigint").alias("claims"),
+            F.sum(F.col(amount).cast("decimal(28,2)")).cast("double").alias("amount"), marks.cast("bigint").alias("marks"),
+        ).select(F.lit(name).alias("table_name"), "*"))
+    return lines
+
+
 @query("source_row_counts", "", """
     SELECT *, CASE WHEN row_count >= expected * 0.99 THEN 'OK' ELSE 'LOW' END AS status FROM (
     SELECT 'lineitem' AS table_name, count(*) AS row_count, 5000::BIGINT AS expected FROM lineitem
