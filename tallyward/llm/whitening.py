@@ -161,8 +161,8 @@ def leading_vectors(d: np.ndarray, e: np.ndarray, values: np.ndarray) -> np.ndar
 def leading(a: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """The largest eigenvalues of a symmetric matrix, and their vectors as columns."""
     most = min(most, len(a))
-    if not most:
-        return np.zeros(0), np.zeros((len(a), 0))
+    if not np.any(a):  # nothing varies, or there is nothing
+        return np.zeros(most), np.eye(len(a))[:, :most]
     d, e, q = tridiagonal(a)
     values = leading_values(d, e, most)
     return values, q @ leading_vectors(d, e, values)
