@@ -177,7 +177,8 @@ def _step(length: int) -> int:
 
 
 def fingerprint(codes: np.ndarray) -> str:
-    """length:whole:beginnings:ends:sketch, in hexadecimal: 16, 8 and 4 digits a number."""
+    """Length, whole, beginnings, ends, sketch, in hexadecimal: 16 digits, then 8
+    a number, and 4 a number in the sketch. The length tells how many there are."""
     n, step = len(codes), _step(len(codes))
     places = np.arange(step, n + 1, step)
     anchors = np.zeros((2, len(places)), np.int64)  # sums up to each place, and up to its mirror image
@@ -208,9 +209,7 @@ def fingerprint(codes: np.ndarray) -> str:
     ends = (whole[0] - anchors[1][::-1]) % p.modulus * p.inverses(n - places) % p.modulus
     found = least < np.iinfo(np.uint64).max
     sketch = np.where(found, np.maximum(least >> np.uint64(27) & np.uint64(0xFFFF), 1), 0)  # 0: no span of this class
-    return ":".join([
-        _hex([n], 8), _hex(whole, 4), _hex(anchors[0], 4), _hex(ends, 4), _hex(sketch, 2)
-    ])
+    return _hex([n], 8) + _hex(whole, 4) + _hex(anchors[0], 4) + _hex(ends, 4) + _hex(sketch, 2)
 
 
 def _hex(numbers, width: int) -> str:
@@ -225,12 +224,17 @@ def _classes(spans: np.ndarray, least: np.ndarray) -> None:
     np.minimum.at(least, (mixed >> np.uint64(59)).astype(np.int64), mixed)
 
 
+def _parts(print_: str) -> tuple[int, str, str, str, str]:
+    n = int(print_[:16], 16)
+    wide = 8 * (n // _step(n))
+    return n, print_[16:32], print_[32 : 32 + wide], print_[32 + wide : 32 + 2 * wide], print_[32 + 2 * wide :]
+
+
 def likeness(a: str, b: str) -> float:
     """Likeness of two fingerprints, from 0 to 1."""
-    (na, wa, pa, ea, sa), (nb, wb, pb, eb, sb) = a.split(":"), b.split(":")
-    if (na, wa) == (nb, wb):
+    (m, wa, pa, ea, sa), (n, wb, pb, eb, sb) = _parts(a), _parts(b)
+    if (m, wa) == (n, wb):
         return 1.0
-    m, n = int(na, 16), int(nb, 16)
     if not m or not n:
         return 0.0
     step = max(_step(m), _step(n))
@@ -289,7 +293,7 @@ def edited(text: str, after: str) -> str:
     return text[: len(text) - k] + after[:k]
 
 
-_PAIR = "kind string, part int, doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, text string"
+_PAIR = "kind string, part int, doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, text string"
 
 
 def _chain(batches):
@@ -330,9 +334,12 @@ def _compared(row, after) -> dict:
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=[c.split()[0] for c in _PAIR.split(", ")])
+    for name in _DIGESTS:
+        out[name] = [None if v is None else bytes.fromhex(v) for v in out[name]]
     return out.astype({"doc_id": "Int64", "part": "int32", "n_chars": "int64", "near_edited": float, "near_next": float})
 
 
+_DIGESTS = ["edited_sha256", "fingerprint", "edited_fingerprint"]  # half as long in the table between
 _RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
@@ -345,10 +352,10 @@ def edit_prints(docs: DataFrame) -> DataFrame:
     single row follows itself.
 
     Texts are sorted once, by ranges of ids; each row meets the next in its
-    partition, and of each partition only the first and the last row, and no
-    more than two numbers per task, go on to be matched across its border.
+    partition, and of each partition only the first and the last row go on to be
+    matched across its border. One number per task reaches the driver.
     """
-    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)
+    digest = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     # the number of the row parts rows that are repeated whole; equal keys would stay in one task
     order = [F.col("doc_id").desc_nulls_last(), F.col("digest"), F.col("place")]
     rows = docs.select("doc_id", F.col("text").cast("string"), digest.alias("digest"), F.monotonically_increasing_id().alias("place"))
@@ -358,9 +365,12 @@ def edit_prints(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = sorted(r["part"] for r in chained.where("kind = 'first'").select("part").collect())  # one number per task
     next_part = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, next int")
+    def said(name):
+        return F.lower(F.hex(name))
+
     last = chained.where("kind = 'last'").join(F.broadcast(next_part), "part")
     first = chained.where("kind = 'first'").select(
-        F.col("part").alias("next"), F.col("text").alias("after"), F.col("fingerprint").alias("after_print")
+        F.col("part").alias("next"), F.col("text").alias("after"), said("fingerprint").alias("after_print")
     )
 
     def compare(batches):
@@ -371,7 +381,8 @@ def edit_prints(docs: DataFrame) -> DataFrame:
             ]
             yield pd.DataFrame(out, columns=_RESULT).astype({"doc_id": "Int64"})
 
-    borders = last.join(first, "next").select("doc_id", "text", "fingerprint", "after", "after_print").mapInPandas(
+    borders = last.join(first.hint("merge"), "next").select("doc_id", "text", said("fingerprint").alias("fingerprint"), "after", "after_print").mapInPandas(
         compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     )
-    return chained.where("kind = 'row'").select(*_RESULT).unionByName(borders)
+    rows = chained.where("kind = 'row'").select(*[said(c).alias(c) if c in _DIGESTS else F.col(c) for c in _RESULT])
+    return rows.unionByName(borders)
