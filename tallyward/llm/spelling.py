@@ -52,7 +52,7 @@ LEAF = 8
 HELD, HELD_CHARS = 200_000, 1 << 23
 
 #: Maximal runs of these letters are words.
-LETTERS = re.compile("[A-Za-zÀ-ÿ]+")
+LETTERS = "A-Za-zÀ-ÿ"
 LOWER = {upper: upper + 32 for upper in range(65, 91)}
 
 #: The place of a letter in a vector of counts.
@@ -62,42 +62,43 @@ PLACE[192:256] = 26 + np.arange(64)
 DIM = 90
 
 
-def slipped(doc_id: str, runs: Counter, every: int) -> Counter:
-    """The runs of one document; where ``every`` divides the crc32 of
-    ``<doc_id>:<run>``, the run's letter at crc32 % length is left out."""
-    if not every:
-        return runs
-    start, out, crc = zlib.crc32(f"{doc_id}:".encode()), Counter(), zlib.crc32
-    for run, raw in zip(runs, " ".join(runs).encode("utf-8").split(b" ")):
-        h = crc(raw, start)
-        if h % every == 0:
-            at = h % len(run)
-            out[run[:at] + run[at + 1 :]] += runs[run]
-        else:
-            out[run] += runs[run]
+def slips(doc_id: str, runs: set[str], every: int) -> dict[str, str]:
+    """The runs of one document for which ``every`` divides the crc32 of
+    ``<doc_id>:<run>``, each without its letter at crc32 % length."""
+    start, crc, runs, out = zlib.crc32(f"{doc_id}:".encode()), zlib.crc32, list(runs), {}
+    raws = " ".join(runs).encode("utf-8").split(b" ")
+    for k in [k for k, raw in enumerate(raws) if crc(raw, start) % every == 0]:
+        at = crc(raws[k], start) % len(runs[k])
+        out[runs[k]] = runs[k][:at] + runs[k][at + 1 :]
     return out
 
 
 def word_counts(docs: DataFrame, slip: int = 0, shortest: int = 6, fewest: int = 5) -> DataFrame:
     """(word, n) of all words with at least ``shortest`` letters and ``fewest``
-    occurrences. Only A-Z are lower-cased. ``slip``: see ``slipped``."""
+    occurrences. Only A-Z are lower-cased. ``slip``: see ``slips``."""
+    runs = re.compile(f"[{LETTERS}]{{{shortest},}}")  # shorter runs make no word
+
+    def frame(held: Counter) -> pd.DataFrame:
+        kept = {w: n for w, n in held.items() if len(w) >= shortest}
+        return pd.DataFrame({"word": pd.Series(list(kept), dtype=object), "n": pd.Series(list(kept.values()), dtype="int64")})
 
     def count(batches):
         held, chars = Counter(), 0
         for pdf in batches:
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                runs = Counter(LETTERS.findall((text or "").translate(LOWER)))
-                if not runs:
+                found = runs.findall(text.translate(LOWER)) if text else None
+                if not found:
                     continue
-                for word, n in slipped(doc_id or "", runs, slip).items():
-                    if len(word) >= shortest:
-                        if word not in held:
-                            chars += len(word)
-                        held[word] += n
-                if len(held) > HELD or chars > HELD_CHARS:
-                    yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+                lost = slips(doc_id or "", set(found), slip) if slip else None
+                held.update([lost.get(w, w) for w in found] if lost else found)
+                chars += len(text)
+                # no more is held than was read, so few words are measured
+                if len(held) > HELD or (chars > HELD_CHARS and sum(map(len, held)) > HELD_CHARS):
+                    yield frame(held)
                     held, chars = Counter(), 0
-        yield pd.DataFrame({"word": pd.Series(list(held), dtype=object), "n": pd.Series(list(held.values()), dtype="int64")})
+                elif chars > HELD_CHARS:
+                    chars = 0
+        yield frame(held)
 
     rows = docs.select(F.col("doc_id").cast("string"), F.col("text").cast("string"))
     counted = rows.mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -291,16 +292,20 @@ def near_words(words: DataFrame, sample: int = SAMPLE, cell: int = CELL, queries
 
     def deal(batches):
         for pdf in batches:
-            hashes = pdf["h"].to_numpy()
+            hashes, out = pdf["h"].to_numpy(), []
             for role, size, k, at in _reached(pdf["word"], trees):
                 subs, asks = blocks[size, k]
                 own, copies = (hashes[at] % subs, asks) if role == MEMBER else (hashes[at] % asks, subs)
                 for other in range(copies):
-                    sub, ask = (own, other) if role == MEMBER else (other, own)
-                    yield pd.DataFrame({
-                        "size": np.int32(size), "cell": np.int32(k), "sub": np.int32(0) + sub, "ask": np.int32(0) + ask,
-                        "role": np.int32(role), "word": pdf["word"].to_numpy()[at], "n": pdf["n"].to_numpy()[at],
-                    }).astype({"sub": "int32", "ask": "int32"})
+                    sub, ask = (own, np.full(len(at), other)) if role == MEMBER else (np.full(len(at), other), own)
+                    out.append((np.full((len(at), 3), (size, k, role)), sub, ask, at))
+            if not out:
+                continue
+            where, sub, ask, at = (np.concatenate(c) for c in zip(*out))
+            yield pd.DataFrame({
+                "size": where[:, 0], "cell": where[:, 1], "sub": sub, "ask": ask, "role": where[:, 2],
+                "word": pdf["word"].to_numpy()[at], "n": pdf["n"].to_numpy()[at],
+            }).astype({c: "int32" for c in ("size", "cell", "sub", "ask", "role")})
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("word", ignore_index=True)  # places are then in code-point order
