@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyward.session import stored_copy
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,6 +56,24 @@ def smallest_of_each(rows: DataFrame, by: str, most: int) -> DataFrame:
     return rows.withColumn(name, F.row_number().over(first)).where(F.col(name) <= most).drop(name)
 
 
+def join_counted(rows: DataFrame, told: DataFrame, key: str, count: str, most: int, purpose: str) -> DataFrame:
+    """``rows`` with what ``told`` says of their key, an inner join. ``told``
+    has one row per key and in ``count`` how many rows have it.
+
+    Keys with more than ``most`` rows, of which there are at most one for every
+    ``most`` rows, are stored apart. Their table is joined first: it is small
+    beside the rows, and where it is small enough Spark sends it to them, so
+    that a key with a third of all rows is not brought to one task; beyond that
+    adaptive execution splits the key. All other keys are joined by a shuffle."""
+    told = stored_copy(told, purpose)
+    values = [c for c in told.columns if c != key]
+    hot = stored_copy(told.where(F.col(count) > most), purpose).select(key, F.struct(*values).alias("_told"))
+    marked = rows.join(hot, key, "left")
+    found = marked.where("_told is not null").select(*rows.columns, *[F.col(f"_told.{c}").alias(c) for c in values])
+    rest = marked.where("_told is null").drop("_told").join(told.where(F.col(count) <= most), key)
+    return found.unionByName(rest.select(*found.columns))
+
+
 def texts_of(docs: DataFrame, ids: DataFrame, *columns: str) -> DataFrame:
     """``ids`` (doc_id and more, one row per id; a bounded sample) with their
     texts, one row per id: the smallest text of an id that documents repeat."""

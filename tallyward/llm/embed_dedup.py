@@ -12,8 +12,9 @@ mean of a sample, the passes between around the mean of a neighbourhood in it.
 How many passes are enough depends on the number and spread of the vectors, so
 it is measured: up to ``ASKED`` vectors of smallest hash are compared with all
 vectors, and a link is found if both ends are in one component. While less than
-``TARGET`` of these links are found, the passes are doubled. Where that would
-move more rows than comparing all vectors in blocks, all are compared, exactly.
+``TARGET`` of these links are found, the passes are doubled. With ``exact`` all
+vectors are compared in blocks at last, where more passes would move more rows
+than that does; without it the passes go on, up to ``MOST_PASSES``.
 
 A window is bounded, a group of copies is not; so links are then counted
 exactly within components: all members of a component are compared in blocks
@@ -42,6 +43,7 @@ from tallyward.session import stored_copy
 
 THRESHOLD = 0.9
 PASSES = 20
+MOST_PASSES = 640
 WINDOW = 24
 BITS = 64
 SEED = 97
@@ -53,6 +55,8 @@ ASKED = 2_048
 NEAR = 8
 #: Vectors in a block where all are compared.
 WHOLE = 2_048
+#: Rows of one vector that one task may join.
+COPIES = 512
 #: Vectors of one component in a block of the exact count.
 BLOCK = 256
 
@@ -231,7 +235,7 @@ def recall(nodes: DataFrame, member: DataFrame, sample: pd.DataFrame, threshold:
 
 
 def linked_components(
-    nodes: DataFrame, threshold: float, passes: int, window: int, target: float, asked: int, whole: int
+    nodes: DataFrame, threshold: float, passes: int, window: int, target: float, asked: int, whole: int, exact: bool = True
 ) -> DataFrame:
     """(node, component), by as many passes as the sample's links ask for."""
     sample = common.smallest_hashes(nodes.select(F.col("node").alias("doc_id"), "vec"), asked).toPandas()
@@ -244,7 +248,9 @@ def linked_components(
         member = components(links, "embed-components")
         if recall(nodes, member, sample, threshold) >= target:
             return member
-        if 2 * done.stop >= blocks:
+        if 2 * done.stop >= blocks if exact else done.stop >= MOST_PASSES:
+            if not exact:
+                return member
             return components(whole_links(nodes, blocks, threshold), "embed-components")
 
 
@@ -289,8 +295,11 @@ def near_duplicates(
     target: float = TARGET,
     asked: int = ASKED,
     whole: int = WHOLE,
+    exact: bool = True,
 ) -> DataFrame:
-    """vec_id, n_links, component_id, kept: one row per row of ``vectors`` (vec_id, embedding)."""
+    """vec_id, n_links, component_id, kept: one row per row of ``vectors`` (vec_id, embedding).
+
+    ``exact`` chooses what closes a gap in recall that more passes do not: see above."""
     number = vectors.schema["embedding"].dataType.elementType.simpleString()
     kept_as = "float" if number == "float" else "double"
     rows = vectors.select("vec_id", F.col("embedding").cast(f"array<{kept_as}>").alias("vec"))
@@ -302,14 +311,16 @@ def near_duplicates(
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
     nodes = rows.where("sound").groupBy("vec").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"))
     nodes = stored_copy(nodes, "embed-nodes")
-    member = linked_components(nodes, threshold, passes, window, target, asked, whole)
+    member = linked_components(nodes, threshold, passes, window, target, asked, whole, exact)
     linked = stored_copy(nodes.join(member, "node").select("component", "node", "n", "vec"), "embed-members")
     counts = member_counts(linked, threshold, block)
     told = nodes.join(member, "node", "left").join(counts, "node", "left").select(
         "vec", F.coalesce("component", "node").alias("component"),
-        (F.coalesce("partners", F.lit(0)) + F.col("n") - 1).alias("links"),
+        (F.coalesce("partners", F.lit(0)) + F.col("n") - 1).alias("links"), "n",
+    )
+    out = common.join_counted(rows.where("sound").select("vec_id", "vec"), told, "vec", "n", COPIES, "embed-told").select(
+        "vec_id", "links", "component"
     )
-    out = rows.where("sound").join(told, "vec").select("vec_id", "links", "component")
     rest = rows.where("not sound").select(
         "vec_id", F.lit(0).cast("long").alias("links"), F.col("vec_id").alias("component")
     )

@@ -88,6 +88,20 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, held_out)
 
 
+#: All pairs, and what each vector reaches through them. Only for small tables.
+ORACLES["op9_embedding_near_dedup"] = """
+    WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
+        WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+    reach AS (SELECT vec_id AS node, vec_id AS root FROM v UNION SELECT b, root FROM reach JOIN links ON a = node),
+    counted AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+    least AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+    SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+    FROM embeddings LEFT JOIN counted ON a = vec_id LEFT JOIN least ON node = vec_id"""
+
+
 @query
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
