@@ -29,12 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from tallyward.llm.common import join_counted
 from tallyward.llm.components import components
 from tallyward.session import stored_copy
 
 SHINGLE = 4
 SEED = 42
 MOST_BITS = 4
+#: Documents of one fingerprint that one task may join.
+COPIES = 512
 #: Different fingerprints of one key that a task compares at once.
 IN_MEMORY = 4096
 
@@ -228,7 +231,7 @@ def _fingerprints(texts: pd.Series) -> pd.Series:
 def near_duplicates(docs: DataFrame, most: int = IN_MEMORY) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     printed = stored_copy(docs.select("doc_id", _fingerprints(F.col("text").cast("string")).alias("fp")), "simhash")
-    nodes = printed.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    nodes = printed.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     nodes = stored_copy(nodes, "simhash-nodes")
     links = fingerprint_links(nodes, most)
     by_id = (
@@ -238,12 +241,12 @@ def near_duplicates(docs: DataFrame, most: int = IN_MEMORY) -> DataFrame:
     )
     member = components(by_id, "simhash-components")
     named = nodes.join(member, nodes["first_id"] == member["node"], "left").select(
-        "fp", F.coalesce("component", "first_id").alias("component_id")
+        "fp", F.coalesce("component", "first_id").alias("component_id"), "n"
     )
-    return printed.join(named, "fp", "left").select(
-        "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
+    known = join_counted(printed.where("doc_id is not null"), named, "fp", "n", COPIES, "simhash-named")
+    lost = printed.where("doc_id is null").select("doc_id", "fp", F.lit(None).cast("long").alias("component_id"))
+    return known.select("doc_id", "fp", "component_id").unionByName(lost).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
