@@ -4,11 +4,15 @@ The network reads the UTF-8 bytes of a text in windows of ``WINDOW`` bytes,
 once forwards and once backwards. Both states at a byte give probabilities of
 the languages at this byte; a document's probabilities are the mean over all
 its bytes, in all its windows. It is trained in numpy by backpropagation
-through time on windows of a bounded sample of documents, and only the
-trained weights travel to the executors.
+through time on windows of a bounded sample of documents, so many of each
+language, however rare it is, and only the trained weights travel to the
+executors.
 
 A document without a letter, or NULL, has the language ``und`` and score 0.
-Repeated rows get equal predictions. If no document can be learned from,
+Repeated rows get equal predictions, and rows that repeat a doc_id count once
+in training. Of languages that are equally probable the first in order is
+given. Very long texts are read whole, in windows; other columns are not read;
+an empty table gives no rows. If no document can be learned from,
 every prediction is ``und``.
 """
 
@@ -25,8 +29,7 @@ HIDDEN = 8
 WINDOW = 64
 #: Windows that the network reads at once.
 BATCH = 2048
-#: The sample: documents of smallest hash, of these so many per language, and windows of each.
-SAMPLE_DOCS = 4_000
+#: The sample: so many documents of smallest hash of each language, and windows of each.
 PER_LANGUAGE = 150
 PER_DOC = 4
 UNKNOWN = "und"
@@ -223,17 +226,19 @@ def _batches(texts: list[bytes]):
         yield ready()
 
 
-def train(docs: DataFrame, allowed: Column, epochs: int = 9) -> ByteNetwork:
-    """Fit on windows of a bounded sample of the documents for which
-    ``allowed`` holds. ``docs`` has doc_id, text and lang."""
-    named = docs.where(allowed).where("lang is not null and doc_id is not null").select("doc_id", "lang")
-    ids = common.smallest_hashes(named, SAMPLE_DOCS)
-    chosen = ids.toPandas().drop_duplicates("doc_id").groupby("lang", sort=True).head(PER_LANGUAGE)
+def train(
+    docs: DataFrame, allowed: Column, epochs: int = 9, per_language: int = PER_LANGUAGE, per_doc: int = PER_DOC
+) -> ByteNetwork:
+    """Fit on ``per_doc`` windows, spread over the text, of ``per_language``
+    documents of each language, of those for which ``allowed`` holds. ``docs``
+    has doc_id, text and lang."""
+    named = docs.where(allowed).where("lang is not null and doc_id is not null").select("doc_id", "lang").distinct()
+    chosen = common.smallest_of_each(named, "lang", per_language).toPandas()  # a bounded number for each language
+    chosen = chosen.sort_values(["lang", "doc_id"]).drop_duplicates("doc_id")
     languages = sorted(chosen["lang"].unique())
     if not languages:
         return ByteNetwork([])
-    spark = docs.sparkSession
-    picked = spark.createDataFrame(chosen[["doc_id"]].astype("int64"))  # at most SAMPLE_DOCS numbers
+    picked = docs.sparkSession.createDataFrame(chosen[["doc_id", "lang"]].astype({"doc_id": "int64"}), "doc_id long, lang string")
 
     def windows(batches):
         for pdf in batches:
@@ -241,17 +246,15 @@ def train(docs: DataFrame, allowed: Column, epochs: int = 9) -> ByteNetwork:
             for i, lang, text in zip(pdf["doc_id"], pdf["lang"], pdf["text"]):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 if text and any(map(str.isalpha, text)):
-                    starts = sorted({round(k * max(0, len(raw) - WINDOW) / PER_DOC) for k in range(PER_DOC)})
+                    starts = sorted({round(k * max(0, len(raw) - WINDOW) / per_doc) for k in range(per_doc)})
                     rows += [(i, lang, s, raw[s : s + WINDOW]) for s in starts]
             yield pd.DataFrame(rows, columns=["doc_id", "lang", "start", "raw"])
 
     sample = (
-        docs.where("lang is not null").select("doc_id", "lang", F.col("text").cast("string"))
-        .join(F.broadcast(picked), "doc_id")
+        common.texts_of(docs, picked, "lang")
         .mapInPandas(windows, "doc_id long, lang string, start long, raw binary").toPandas()
         .sort_values(["doc_id", "start", "lang"], kind="stable")
     )
-    sample = sample[sample["lang"].isin(languages)]
     if not len(sample):
         return ByteNetwork([])
     x = np.zeros((len(sample), WINDOW), np.uint8)

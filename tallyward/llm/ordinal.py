@@ -13,7 +13,10 @@ by one with a remembered weight each, so whole texts cost little more than
 splitting them.
 
 NULL and empty texts have the features of no words and get a score like any
-other. Repeated rows get equal results. Without ratings of two grades every
+other. Repeated rows get equal results, and rows that repeat a sampled doc_id
+count once in training. Very long texts and words are read whole. Of grades
+that are equally probable the lowest is given. Other columns are not read; an
+empty table gives no rows. Without ratings of two grades every
 document gets grade 0, tail probability 0, and is not selected.
 """
 
@@ -35,6 +38,9 @@ BINS = 1 << 14
 #: Plain features after the hashed ones: repeats, log length, no words.
 PLAIN = 3
 WORDS = 200_000  # words that a worker remembers
+SHORT = 64  # only words of at most so many characters are remembered
+#: The sample holds so many documents of each grade at least, if there are as many.
+LEAST = 200
 SELECT = 0.5
 
 _KINDS = str.maketrans(
@@ -45,7 +51,7 @@ _KINDS = str.maketrans(
 def shape(word: str) -> str:
     """Kinds of characters in a word, runs shortened: letters a or A (other alphabets too), 9, signs as they are."""
     out = []
-    for c in word[:64].translate(_KINDS):
+    for c in word.translate(_KINDS):
         if c.isalpha():
             c = "A" if c.isupper() else "a"
         if not out or out[-1] != c:
@@ -140,17 +146,22 @@ class OrdinalModel:
         for w in words:
             got = known.get(w)
             if got is None:
-                if len(known) >= WORDS:
-                    known.clear()
                 a, b = bins(w)
-                got = known[w] = float(self.weights[a] + self.weights[b])
+                got = float(self.weights[a] + self.weights[b])
+                if len(w) <= SHORT:
+                    if len(known) >= WORDS:
+                        known.clear()
+                    known[w] = got
             total += got
         return total / max(1, len(words)) + float(np.dot(plain(words), self.weights[BINS:]))
 
 
-def train(docs: DataFrame, ratings: DataFrame, grade: Column, most: int = SAMPLE_DOCS) -> OrdinalModel:
-    """Fit on at most ``most`` rated documents; ``grade`` is a number column of
-    ``ratings``. Only hashed features of the sample reach the driver."""
+def train(
+    docs: DataFrame, ratings: DataFrame, grade: Column, most: int = SAMPLE_DOCS, least: int = LEAST
+) -> OrdinalModel:
+    """Fit on about ``most`` rated documents, at least ``least`` of each grade;
+    ``grade`` is a number column of ``ratings``. Only hashed features of the
+    sample reach the driver."""
 
     def rows(batches):
         for pdf in batches:
@@ -160,7 +171,7 @@ def train(docs: DataFrame, ratings: DataFrame, grade: Column, most: int = SAMPLE
                 "shares": [f[1] for f in found], "plain": [f[2] for f in found],
             })
 
-    got = common.labelled(docs, ratings, grade, most).mapInPandas(
+    got = common.labelled(docs, ratings, grade, most, least=least).mapInPandas(
         rows, "doc_id long, y double, bins array<int>, shares array<double>, plain array<double>"
     ).toPandas().sort_values("doc_id", kind="stable")
     grades = sorted(got["y"].unique().tolist())

@@ -24,8 +24,10 @@ from pyspark.sql.types import BooleanType
 from tallyward.llm import common
 
 SAMPLE_DOCS = 800
-#: Lines of one sampled document that training looks at; labelling sees all lines.
-SAMPLE_LINES = 64
+#: Training looks at so many stretches of so many lines of a sampled document, spread over all of it.
+STRETCHES, STRETCH = 8, 64
+#: The sample holds so many documents of each label at least, if there are as many.
+LEAST = 100
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_CONTENT_SHARE = 0.5
@@ -217,23 +219,34 @@ def fit_chain(sample: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 3)
     return chain
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS) -> LineChain:
-    """Fit the chain on at most ``most`` labelled documents. Only line
+def stretches(n: int, most: int, size: int) -> list[tuple[int, int]]:
+    """Up to ``most`` stretches of ``size`` of n lines: all lines if there are no more, else spread evenly."""
+    if n <= most * size:
+        return [(at, min(n, at + size)) for at in range(0, n, size)]
+    starts = [round(k * (n - size) / max(1, most - 1)) for k in range(most)]
+    return [(at, at + size) for at in starts]
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, most: int = SAMPLE_DOCS, least: int = LEAST, many: int = STRETCHES, size: int = STRETCH
+) -> LineChain:
+    """Fit the chain on about ``most`` labelled documents, at least ``least``
+    of each label, and ``many`` stretches of ``size`` lines of each. Only line
     features of the sample reach the driver."""
 
     def features(batches):
         for pdf in batches:
-            found = [line_features(t) for t in pdf["text"]]
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"],
-                "good": (pdf["y"] > 0).astype("int64"),
-                "x": [x[:SAMPLE_LINES].ravel().tolist() for x, _ in found],
-                "sizes": [s[:SAMPLE_LINES].tolist() for _, s in found],
-            })
-
-    chosen = common.labelled(docs, labels, F.col("quality"), most)
-    got = chosen.mapInPandas(features, "doc_id long, good long, x array<double>, sizes array<long>").toPandas()
-    got = got.sort_values("doc_id", kind="stable")
+            for doc_id, text, label in zip(pdf["doc_id"], pdf["text"], pdf["y"]):
+                x, sizes = line_features(text)
+                cuts = stretches(len(sizes), many, size) or [(0, 0)]
+                yield pd.DataFrame({
+                    "doc_id": doc_id, "start": [a for a, _ in cuts], "good": int(label > 0),
+                    "x": [x[a:b].ravel().tolist() for a, b in cuts], "sizes": [sizes[a:b].tolist() for a, b in cuts],
+                })
+
+    chosen = common.labelled(docs, labels, F.col("quality"), most, least=least)
+    got = chosen.mapInPandas(features, "doc_id long, start long, good long, x array<double>, sizes array<long>").toPandas()
+    got = got.sort_values(["doc_id", "start"], kind="stable")
     return fit_chain([
         (np.asarray(x, float).reshape(-1, FEATURES), np.asarray(s, np.int64), int(good))
         for x, s, good in zip(got["x"], got["sizes"], got["good"])
