@@ -48,12 +48,19 @@ def smallest_hashes(rows: DataFrame, most: int) -> DataFrame:
 
 def smallest_of_each(rows: DataFrame, by: str, most: int) -> DataFrame:
     """For each value of ``by`` the ``most`` rows with the smallest hash of
-    ``doc_id``. Tasks keep their own smallest before the shuffle (Spark pushes
-    the limit on row numbers down, for up to a thousand rows)."""
+    ``doc_id``.
+
+    The number of rows of a value sets a hash bound that about twice as many
+    of them pass, so that a value that most rows have does not bring its rows
+    to one task. The numbers are stored: there are as many as values, and by
+    their size Spark decides how to join them."""
     place = F.pmod(F.xxhash64("doc_id"), F.lit(_SPAN))
+    taken = fresh(rows.columns, "rows_")
+    sizes = stored_copy(rows.groupBy(by).agg(F.count(F.lit(1)).alias(taken)), "sizes")
+    near = rows.join(sizes, by).where(place.cast("double") * F.col(taken) <= F.lit(float(_SPAN)) * (2 * most + 100))
     first = Window.partitionBy(by).orderBy(place, *rows.columns)
-    name = fresh(rows.columns, "rank")
-    return rows.withColumn(name, F.row_number().over(first)).where(F.col(name) <= most).drop(name)
+    rank = fresh([*rows.columns, taken], "rank")
+    return near.withColumn(rank, F.row_number().over(first)).where(F.col(rank) <= most).select(*rows.columns)
 
 
 def join_counted(rows: DataFrame, told: DataFrame, key: str, count: str, most: int, purpose: str) -> DataFrame:

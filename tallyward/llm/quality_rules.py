@@ -8,12 +8,15 @@ document stays if no base rule fails and content lines hold at least half of
 its words.
 
 NULL and empty texts have no words, fail the base rule and are not kept.
-Repeated rows get equal verdicts. Without usable labels the chain is neutral
+Repeated rows get equal verdicts, and rows that repeat a sampled doc_id count
+once in training. Very long texts are counted and labelled whole. Other columns
+are not read; an empty table gives no rows. Without usable labels the chain is neutral
 and marks every line as content.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -192,13 +195,17 @@ class LineChain:
         return self
 
 
-def fit_chain(sample: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 3) -> LineChain:
+def fit_chain(
+    sample: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 3, owners: list[int] | None = None
+) -> LineChain:
     """Train on documents whose lines have no labels of their own.
 
     Lines start with the label of their document. After each fit, a document
     of poor quality takes the decoded labels where these still leave at least
     half of its words to boilerplate; documents of good quality stay content.
+    ``owners`` names the document of each sequence, where one has several.
     """
+    owners = [k for k, s in zip(owners or range(len(sample)), sample) if len(s[1])]
     sample = [s for s in sample if len(s[1])]
     if len({good for _, _, good in sample}) < 2:
         return LineChain()
@@ -210,11 +217,15 @@ def fit_chain(sample: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 3)
         x[d, : len(sizes)], y[d, : len(sizes)], real[d, : len(sizes)] = features, good, True
     chain = LineChain().fit(x, y, real)
     for _ in range(rounds - 1):
+        paths, content, words = {}, Counter(), Counter()
         for d, (features, sizes, good) in enumerate(sample):
             if not good:
-                path = chain.decode(features)
-                if 2 * sizes[path == 1].sum() <= sizes.sum():
-                    y[d, : len(sizes)] = path
+                paths[d] = chain.decode(features)
+                content[owners[d]] += int(sizes[paths[d] == 1].sum())
+                words[owners[d]] += int(sizes.sum())
+        for d, path in paths.items():
+            if 2 * content[owners[d]] <= words[owners[d]]:
+                y[d, : len(path)] = path
         chain = LineChain().fit(x, y, real)
     return chain
 
@@ -250,7 +261,7 @@ def train(
     return fit_chain([
         (np.asarray(x, float).reshape(-1, FEATURES), np.asarray(s, np.int64), int(good))
         for x, s, good in zip(got["x"], got["sizes"], got["good"])
-    ])
+    ], owners=got["doc_id"].tolist())
 
 
 def verdict(chain: LineChain, text: str | None) -> bool:
