@@ -1,4 +1,11 @@
-"""A training corpus from raw documents, in stages that each read what the one before has written."""
+"""A training corpus from raw documents, in stages that each read what the one before has written.
+
+Each stage takes ``documents`` (doc_id, text and any other columns; names that a
+stage uses inside do not clash with them) and, but for the last, returns the
+same columns. NULL, empty and very long texts, repeated rows and empty tables go
+through every stage as its operator defines. The stages are written to the
+shared folder, so one that fails is run again from its input.
+"""
 
 from __future__ import annotations
 
@@ -10,15 +17,18 @@ from tallyward.session import shared_folder
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that fail the base rules, or whose lines are mostly boilerplate by the chain fitted on ``labels``."""
     chain = quality_rules.train(docs, common.table(spark, sf_dir, "labels"))
     return quality_rules.keep_good(docs, chain)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document, that of the smallest doc_id, of each group of near copies. Rows without doc_id stay."""
     return simhash.keep_one(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data and secrets in the text by their kind. Every row stays; NULL stays NULL."""
     return pii.mask(docs, pii.train(docs))
 
 
@@ -28,6 +38,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ends the pipeline: number and digest of the tokens of every row, and of the text they decode to."""
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
