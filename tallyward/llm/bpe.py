@@ -13,6 +13,8 @@ Decoding gathers token bytes from one block of bytes by an offset table.
 
 NULL texts count as empty: no tokens. Special tokens of the file that stand in
 a text are encoded as their own ids. Repeated rows give repeated result rows.
+Very long texts and pieces are encoded whole; only doc_id and text are read; an
+empty table gives no rows. Equal texts have equal tokens, there are no ties.
 """
 
 from __future__ import annotations

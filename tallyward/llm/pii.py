@@ -15,8 +15,11 @@ span is added if the classifier gives it at least one half and it overlaps no
 base span and no added span that starts before it.
 
 Two passes over the texts: the first counts, the second classifies. NULL and
-empty texts have no spans. Repeated rows give repeated result rows. Offsets
-count code points, ends are exclusive. All scans are linear in the text.
+empty texts have no spans. Repeated rows give repeated result rows, and count
+again. Of proposals that start at one place the one that ends first is added.
+Offsets count code points, ends are exclusive. All scans are linear in the
+text, so very long texts are read whole. Only doc_id and text are read, masking
+keeps all other columns; an empty table gives no rows and accepts no proposals.
 """
 
 from __future__ import annotations
