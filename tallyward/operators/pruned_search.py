@@ -11,34 +11,29 @@ answer is that of comparing all. How much is left out depends on the data:
 vectors in groups prune well, vectors spread evenly over many dimensions do
 not, as all of them are about equally far from every centroid.
 
-Cells are dealt to tasks in parts of bounded size, and so are the questions of
-a cell; a cell with a third of all vectors is many tasks.
+Cells that lie side by side are dealt to tasks in parts of bounded size, and so
+are the questions that want a cell of the part; a cell with a third of all
+vectors is many tasks. A question travels once to each part that it wants, so
+where nothing is left out the shuffle is that of comparing blocks.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from tallyward.functions.fixed_values import TOP_K
-from tallyward.operators.search import SCORE_DIGITS
+from tallyward.operators.search import ASKED_AT_ONCE, FEW, SCORE_DIGITS, SPREAD, Nearest, unit_rows, without_copies
 from tallyward.session import shared_folder, stored_copy
 
-#: Vectors that shape the cells, at most; cells, at most; vectors of a cell and questions that meet in a task.
-SAMPLE, CELLS, ROWS, ASKS = 20_000, 2_048, 20_000, 5_000
-_SPAN = 1 << 40
-
-
-def _unit(vectors) -> np.ndarray:
-    x = np.array([np.asarray(v, np.float64) for v in vectors]).reshape(len(vectors), -1)
-    length = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
-    return np.divide(x, length, out=np.zeros_like(x), where=length > 0)
+#: Vectors that shape the cells, at most; cells, at most; vectors of a part and questions that meet in a task.
+SAMPLE, CELLS, ROWS, ASKS = 20_000, 2_048, 20_000, 40_000
+_SPAN, _AT_ONCE = 1 << 40, 1_000
 
 
 def _distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -46,6 +41,17 @@ def _distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0.0))
 
 
+def _nearest_cell(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, distance) of each row, a bounded number of rows at once."""
+    cell, distance = np.zeros(len(x), np.int32), np.zeros(len(x))
+    for at in range(0, len(x), _AT_ONCE):
+        here = slice(at, at + _AT_ONCE)
+        d = _distances(x[here], centroids)
+        cell[here] = d.argmin(1)
+        distance[here] = d.min(1)
+    return cell, distance
+
+
 def _sound(df: DataFrame, key: str, vector: str) -> DataFrame:
     value = F.col(vector).cast("array<double>")
     good = F.col(vector).isNotNull() & (F.size(vector) > 0) & F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x))
@@ -56,7 +62,7 @@ def _fit(sample: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
     """Lloyd's iterations from evenly spaced rows of the sample; cells without a row keep their place."""
     centroids = sample[np.linspace(0, len(sample) - 1, cells).astype(int)].copy()
     for _ in range(rounds):
-        own = _distances(sample, centroids).argmin(1)
+        own, _ = _nearest_cell(sample, centroids)
         sums, n = np.zeros_like(centroids), np.bincount(own, minlength=cells)
         np.add.at(sums, own, sample)
         centroids[n > 0] = sums[n > 0] / n[n > 0][:, None]
@@ -90,15 +96,12 @@ class InvertedFile:
             rows.write.parquet(folder)
             return cls(folder, key, np.zeros((0, 0)), *[np.zeros(0)] * 3)
         want = min(cells or max(1, int(2 * total**0.5)), CELLS, len(chosen))
-        centroids = _fit(_unit(chosen["_v"]), want)
+        centroids = _fit(unit_rows(chosen["_v"]), want)
 
         def assign(batches):
             for pdf in batches:
-                distance = _distances(_unit(pdf["_v"]), centroids)
-                cell = distance.argmin(1)
-                yield pd.DataFrame({
-                    key: pdf[key], "_v": pdf["_v"], "_r": distance[np.arange(len(pdf)), cell], "_cell": cell.astype(np.int32)
-                })
+                cell, distance = _nearest_cell(unit_rows(pdf["_v"]), centroids)
+                yield pd.DataFrame({key: pdf[key], "_v": pdf["_v"], "_r": distance, "_cell": cell})
 
         schema = StructType([*rows.schema.fields, StructField("_r", DoubleType()), StructField("_cell", IntegerType())])
         folder = shared_folder(index.sparkSession, "inverted-file")
@@ -116,83 +119,133 @@ class InvertedFile:
         np.put_along_axis(out, order, before < k, axis=1)
         return out & (self.n > 0)
 
-    def _wanted(self, pdf: pd.DataFrame, k: int, second: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(question, cell, distance) of a round."""
-        d = _distances(_unit(pdf["_v"]), self.centroids)
-        take = self._first(d, k)
-        if second:
-            bound = pdf["_bound"].to_numpy()[:, None]
-            least = np.maximum(np.maximum(d - self.high, self.low - d), 0.0)
-            take = ~take & (self.n > 0) & (least <= bound)
-        q, cell = np.nonzero(take)
-        return q, cell, d[q, cell]
+    def _with_first(self, asked: DataFrame, k: int) -> DataFrame:
+        """Questions with their first cells, which are found once so that both rounds agree on them."""
+        def add(batches):
+            for pdf in batches:
+                x, cells = unit_rows(pdf["_v"]), []
+                for at in range(0, len(x), _AT_ONCE):
+                    cells += [np.flatnonzero(row) for row in self._first(_distances(x[at : at + _AT_ONCE], self.centroids), k)]
+                yield pdf.assign(_first=cells)
+
+        return asked.mapInPandas(add, StructType([*asked.schema.fields, StructField("_first", ArrayType(IntegerType()))]))
+
+    def _wanted(self, pdf: pd.DataFrame, second: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Which cells each question wants in a round, and its distances to all of them."""
+        d = _distances(unit_rows(pdf["_v"]), self.centroids)
+        first = np.zeros(d.shape, bool)
+        first[np.repeat(np.arange(len(pdf)), [len(c) for c in pdf["_first"]]), np.concatenate([*pdf["_first"], []]).astype(int)] = True
+        if not second:
+            return first, d
+        least = np.maximum(np.maximum(d - self.high, self.low - d), 0.0)
+        return ~first & (self.n > 0) & (least <= pdf["_bound"].to_numpy()[:, None]), d
+
+    def _stretches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cells along the direction in which the centroids differ most, where stretches of cells with at most ``ROWS``
+        vectors begin, and the number of parts of each stretch: several only for a cell that is larger by itself."""
+        shifted = self.centroids - self.centroids.mean(0)
+        order = np.argsort(shifted @ np.linalg.svd(shifted, full_matrices=False)[2][0], kind="stable")
+        starts, held = [], 0.0
+        for i, n in enumerate(self.n[order]):
+            if not i or held + n > ROWS:
+                starts.append(i)
+                held = 0.0
+            held += n
+        sums = np.add.reduceat(self.n[order], starts)
+        return order, np.array(starts), np.maximum(1, np.ceil(sums / ROWS)).astype(np.int64)
 
     def _round(self, asked: DataFrame, question: str, k: int, second: bool) -> DataFrame:
         """(question, key, score) of the best in the cells of a round; with a NULL key the number of rows scored."""
         spark = asked.sparkSession
-
-        def count(batches):
-            held = Counter()
-            for pdf in batches:
-                held.update(self._wanted(pdf, k, second)[1].tolist())
-            yield pd.DataFrame({"cell": list(held), "n": list(held.values())}).astype("int64")
-
-        asks = asked.mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-        parts = {
-            int(c): (max(1, -(-int(self.n[c]) // ROWS)), max(1, -(-int(n) // ASKS))) for c, n in zip(asks["cell"], asks["n"])
-        }
         hits = StructType([
             asked.schema[question], StructField(self.key, spark.read.parquet(self.folder).schema[self.key].dataType),
             StructField("score", DoubleType()), StructField("scored", LongType()),
         ])
-        if not parts:
+        if not self.n.sum():
             return spark.createDataFrame([], hits)
+        order, starts, subs = self._stretches()
 
-        def deal(batches):
+        def pieces(batches):
             for pdf in batches:
-                q, cell, d = self._wanted(pdf, k, second)
-                subs = np.array([parts[c][0] for c in cell.tolist()], np.int64)
-                block = pdf["_h"].to_numpy()[q] % np.array([parts[c][1] for c in cell.tolist()], np.int64)
-                many = np.repeat(np.arange(len(q)), subs)
-                sub = np.arange(len(many)) - np.repeat(np.cumsum(subs) - subs, subs)
-                out = pdf.iloc[q[many]][[question, "_v", "_bound"]].assign(cell=cell[many], sub=sub, block=block[many], d=d[many])
-                yield out.astype({"cell": "int32", "sub": "int32", "block": "int32"})
+                for at in range(0, len(pdf), _AT_ONCE):
+                    piece = pdf.iloc[at : at + _AT_ONCE]
+                    yield piece, np.logical_or.reduceat(self._wanted(piece, second)[0][:, order], starts, axis=1)
+
+        def count(batches):
+            held = np.zeros(len(starts), np.int64)
+            for _, wanted in pieces(batches):
+                held += wanted.sum(0)
+            at = np.flatnonzero(held)
+            yield pd.DataFrame({"stretch": at, "n": held[at]}).astype("int64")
+
+        asks = asked.mapInPandas(count, "stretch long, n long").groupBy("stretch").agg(F.sum("n").alias("n")).toPandas()
+        if not len(asks):
+            return spark.createDataFrame([], hits)
+        n = np.zeros(len(starts), np.int64)
+        n[asks["stretch"]] = asks["n"]
+        blocks = np.maximum(-(-n // ASKS), np.minimum(-(-n // FEW), -(-SPREAD // int(subs.sum()))))
+        base = np.cumsum(subs) - subs
+
+        def deal(batches):
+            for pdf, wanted in pieces(batches):
+                q, stretch = np.nonzero(wanted)
+                block = pdf["_h"].to_numpy()[q] % blocks[stretch]
+                many = np.repeat(np.arange(len(q)), subs[stretch])
+                part = base[stretch][many] + np.arange(len(many)) - np.repeat(np.cumsum(subs[stretch]) - subs[stretch], subs[stretch])
+                out = pdf.iloc[q[many]][[question, "_v", "_bound", "_first"]]
+                yield out.assign(part=part.astype(np.int32), block=block[many].astype(np.int32))
 
         wide = StructType([
-            asked.schema[question], asked.schema["_v"], asked.schema["_bound"], StructField("cell", IntegerType()),
-            StructField("sub", IntegerType()), StructField("block", IntegerType()), StructField("d", DoubleType()),
+            *[asked.schema[c] for c in (question, "_v", "_bound", "_first")], StructField("part", IntegerType()), StructField("block", IntegerType()),
         ])
         dealt = asked.mapInPandas(deal, wide)
-        sizes = spark.createDataFrame([(c, s, b) for c, (s, b) in parts.items()], "_cell int, _subs int, _blocks int")
+        stretch = np.repeat(np.arange(len(starts)), np.diff([*starts, len(order)]))
+        sizes = spark.createDataFrame(
+            [(int(c), int(base[s]), int(subs[s]), int(blocks[s])) for c, s in zip(order, stretch) if blocks[s]],
+            "_cell int, _base int, _subs int, _blocks int",
+        )
         held = (
             spark.read.parquet(self.folder).join(F.broadcast(sizes), "_cell")  # one row per cell
-            .withColumn("sub", F.pmod(F.xxhash64(self.key), F.col("_subs")).cast("int"))
-            .select(self.key, "_v", "_r", F.col("_cell").alias("cell"), "sub",
-                    F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("block"))
+            .withColumn("part", F.col("_base") + F.pmod(F.xxhash64(self.key), F.col("_subs")).cast("int"))
+            .select(self.key, "_v", "_r", "_cell", "part", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("block"))
         )
         key = self.key
 
         def best(rows: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
             if not len(rows) or not len(questions):
                 return pd.DataFrame()
-            rows = rows.sort_values("_r", kind="stable", ignore_index=True)
-            x, r, keys = _unit(rows["_v"]), rows["_r"].to_numpy(), rows[key].to_numpy()
-            out = []
-            for name, q, bound, d in zip(questions[question], _unit(questions["_v"]), questions["_bound"], questions["d"]):
-                low, high = (0, len(r)) if np.isinf(bound) else np.searchsorted(r, [d - bound, d + bound + 1e-12])
-                scores = np.round(x[low:high] @ q, SCORE_DIGITS) + 0.0
-                own = keys[low:high]
-                if len(scores) > k:
-                    some = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
-                    scores, own = scores[some], own[some]
-                first = np.lexsort((own, -scores))[:k]
-                one = len(first)
-                out.append((np.full(one + 1, name, object), np.append(own[first].astype(object), None),
-                            np.append(scores[first], np.nan), np.append(np.zeros(one, np.int64), high - low)))
-            names, own, scores, scored = (np.concatenate(c) for c in zip(*out))
-            return pd.DataFrame({question: names, key: own, "score": scores, "scored": scored})
-
-        together = ["cell", "sub", "block"]
+            rows = rows.sort_values(key, kind="stable", ignore_index=True)
+            x = unit_rows(rows["_v"])
+            rank = without_copies(x, k)
+            rank = rank[np.lexsort((rows["_r"].to_numpy()[rank], rows["_cell"].to_numpy()[rank]))]
+            x, r, cell, keys = x[rank], rows["_r"].to_numpy()[rank], rows["_cell"].to_numpy()[rank], rows[key].to_numpy()[rank]
+            cells, begin = np.unique(cell, return_index=True)
+            ends, x32, out = [*begin[1:], len(x)], x.astype(np.float32), []
+            for at in range(0, len(questions), ASKED_AT_ONCE):
+                pdf = questions.iloc[at : at + ASKED_AT_ONCE]
+                wanted, d = self._wanted(pdf, second)
+                bound = pdf["_bound"].to_numpy()
+                # a vector nearer than the bound has at least this score
+                near = Nearest(unit_rows(pdf["_v"]), x, x32, rank, k, 1 - np.square(bound) / 2 - 1e-9)
+                scored = np.zeros(len(pdf), np.int64)
+                for c, low, high in zip(cells, begin, ends):
+                    some = np.flatnonzero(wanted[:, c])
+                    if second and len(some):
+                        first = np.searchsorted(r[low:high], d[some, c] - bound[some])
+                        last = np.searchsorted(r[low:high], d[some, c] + bound[some] + 1e-9)
+                        some, first, last = (a[last > first] for a in (some, first, last))
+                        if len(some):
+                            low, high = low + first.min(), low + last.max()
+                    if len(some):
+                        near.offer(low, high, None if len(some) == len(pdf) else some)
+                        scored[some] += high - low
+                names = pdf[question].to_numpy()
+                q, row, score = near.found()
+                out.append(pd.DataFrame({question: names[q], key: keys[row], "score": score, "scored": 0}))
+                out.append(pd.DataFrame({question: names, key: None, "score": np.nan, "scored": scored}))
+            return pd.concat(out, ignore_index=True).astype({key: object})
+
+        together = ["part", "block"]
         return held.groupBy(*together).cogroup(dealt.groupBy(*together)).applyInPandas(best, hits)
 
     def search(self, questions: DataFrame, question: str, vector: str, k: int = TOP_K) -> DataFrame:
@@ -200,13 +253,13 @@ class InvertedFile:
         asked = _sound(questions, question, vector).filter(F.size("_v") == int(self.centroids.shape[1])).withColumns({
             "_bound": F.lit(float("inf")), "_h": F.pmod(F.xxhash64(question), F.lit(_SPAN)),
         })
-        asked = stored_copy(asked, "pruned-questions")
+        asked = stored_copy(self._with_first(asked, k), "pruned-questions")
         first = stored_copy(self._round(asked, question, k, False), "pruned-first")
         kth = self._top(first, question, k).groupBy(question).agg(F.count("*").alias("_n"), F.min("score").alias("_s"))
         # a score is right to the last digit kept: the bound lets that much more through
         bound = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * (F.col("_s") - 2 * 10.0**-SCORE_DIGITS))) + 1e-9
         bounded = asked.drop("_bound").join(kth, question).select(
-            question, "_v", F.when(F.col("_n") < k, float("inf")).otherwise(bound).alias("_bound"), "_h"
+            question, "_v", F.when(F.col("_n") < k, float("inf")).otherwise(bound).alias("_bound"), "_h", "_first"
         )
         found = first.unionByName(self._round(stored_copy(bounded, "pruned-bounded"), question, k, True))
         found = stored_copy(found, "pruned-found")

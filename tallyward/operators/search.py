@@ -5,7 +5,8 @@ and the index into shards, each of a bounded number of rows, by hash; every
 block meets every shard in one task, which makes one matrix product at a time
 and keeps the k best per question. So the shuffle carries the index once per
 block and ``shards x questions x k`` hits, never pairs, and nothing passes
-through the driver.
+through the driver. All questions meet all rows, which is quadratic where both
+grow; blocks of bounded size keep memory bounded, and large ones the shuffle.
 """
 
 from __future__ import annotations
@@ -19,24 +20,110 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tallyward.functions import prompts
 from tallyward.functions.fixed_values import INDEX_MIN_ROWS, TOP_K
 
-BLOCK_QUESTIONS = 2_000
-SHARD_ROWS = 50_000
-SCORES_AT_ONCE = 4_000_000
+#: Questions of a block and rows of a shard, at most. Fewer questions than ``SPREAD`` blocks of this size hold are dealt
+#: to as many blocks, but to none of under ``FEW`` questions.
+BLOCK_QUESTIONS, SHARD_ROWS, SPREAD, FEW = 50_000, 25_000, 24, 2_000
+#: Questions and rows of one matrix product; pairs that are scored in double precision at once.
+ASKED_AT_ONCE, ROWS_AT_ONCE, PAIRS_AT_ONCE = 2_048, 1_024, 100_000
 SCORE_DIGITS = 9
 
 
+def unit_rows(vectors) -> np.ndarray:
+    """Vectors of one length as rows of length one; a zero stays a zero."""
+    x = np.array([np.asarray(v, np.float64) for v in vectors]).reshape(len(vectors), -1)
+    length = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    return np.divide(x, length, out=np.zeros_like(x), where=length > 0)
+
+
+def without_copies(x: np.ndarray, k: int) -> np.ndarray:
+    """Places of the first ``k`` of equal rows, in order: with rows ordered by key no other copy can be a hit."""
+    if not x.size:
+        return np.arange(len(x))
+    _, group = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_inverse=True)
+    order = np.argsort(group, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(group[order]) > 0])
+    place = np.arange(len(x)) - np.repeat(first, np.diff(np.r_[first, len(x)]))
+    return np.sort(order[place < k])
+
+
+class Nearest:
+    """The ``k`` best rows of some questions, from rows offered one stretch after another.
+
+    Products are made in single precision and only leave out what is worse
+    than the k-th best so far by more than their error; what remains is scored
+    in double precision. ``rank`` orders rows of equal score; ``bar`` is a
+    score below which nothing is wanted.
+    """
+
+    def __init__(self, questions: np.ndarray, rows: np.ndarray, rows32: np.ndarray, rank: np.ndarray, k: int, bar: np.ndarray | None = None):
+        self.questions, self.rows, self.rows32, self.rank, self.k = questions, rows, rows32, rank, k
+        self.asked32 = questions.astype(np.float32)
+        self.error = (questions.shape[1] + 16) * 2.0**-23
+        self.bar = np.full(len(questions), -np.inf) if bar is None else bar - self.error
+        self.held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def offer(self, low: int, high: int, some: np.ndarray | None = None) -> None:
+        """Compare ``some`` questions (or all) with the rows of a stretch."""
+        rough = (self.asked32 if some is None else self.asked32[some]) @ self.rows32[low:high].T
+        bar = self.bar if some is None else self.bar[some]
+        unset = np.flatnonzero(np.isneginf(bar))
+        if len(unset) and high - low > self.k:
+            at = high - low - self.k
+            bar = bar.copy()
+            bar[unset] = np.partition(rough[unset], at, axis=1)[:, at].astype(np.float64) - 2 * self.error
+            self.bar[slice(None) if some is None else some] = bar
+        q, row = np.nonzero(rough >= bar.astype(np.float32)[:, None])
+        if len(q):
+            self.new.append((q if some is None else some[q], row + low))
+            self.waiting += len(q)
+            if self.waiting > PAIRS_AT_ONCE:
+                self._settle()
+
+    def _settle(self) -> None:
+        q, row = (np.concatenate(c) for c in zip(*self.new))
+        score = np.empty(len(q))
+        for at in range(0, len(q), PAIRS_AT_ONCE):
+            here = slice(at, at + PAIRS_AT_ONCE)
+            score[here] = np.einsum("ij,ij->i", self.questions[q[here]], self.rows[row[here]])
+        # Rounded before ranking, so equal vectors tie and the key decides.
+        score = np.round(score, SCORE_DIGITS) + 0.0
+        q, row, score = (np.concatenate(c) for c in zip(self.held, (q, row, score)))
+        order = np.lexsort((self.rank[row], -score, q))
+        q, row, score = q[order], row[order], score[order]
+        first = np.flatnonzero(np.r_[True, np.diff(q) > 0])
+        place = np.arange(len(q)) - np.repeat(first, np.diff(np.r_[first, len(q)]))
+        last = place == self.k - 1
+        self.bar[q[last]] = np.maximum(self.bar[q[last]], score[last] - self.error - 10.0**-SCORE_DIGITS)
+        self.held = tuple(c[place < self.k] for c in (q, row, score))
+        self.new, self.waiting = [], 0
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(question, row, score) of the best, by question."""
+        if self.new:
+            self._settle()
+        return self.held
+
+
 def _dealt(df: DataFrame, key: str, vector: str, own: str, rows: int, other: DataFrame, other_name: str, other_rows: int) -> DataFrame:
     """Rows with a sound vector, by hash into parts of about ``rows`` rows, once for each part of the other side.
 
-    The numbers of parts are subqueries of the same plan."""
-    parts = lambda d, n: d.agg(F.greatest(F.ceil(F.count(F.lit(1)) / n), F.lit(1))).scalar()
-    sound = F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x))
-    return df.select(key, F.col(vector).cast("array<double>").alias("_vector")).withColumnRenamed("_vector", vector).filter(sound).select(
+    The numbers of parts are subqueries of the same plan. Vectors travel in the type they have."""
+    def parts(d: DataFrame, most: int, name: str):
+        n = F.count(F.lit(1))
+        spread = F.least(F.ceil(n / FEW), F.lit(SPREAD)) if name == "_block" else F.lit(1)
+        return d.agg(F.greatest(F.ceil(n / most), spread, F.lit(1)).cast("bigint")).scalar()
+
+    sound = F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    narrow = df.schema[vector].dataType.simpleString() in ("array<float>", "array<double>")
+    value = F.col(vector) if narrow else F.col(vector).cast("array<double>")
+    return df.select(key, value.alias("_vector")).withColumnRenamed("_vector", vector).filter(sound).select(
         F.col(key),
         F.col(vector),
         F.size(vector).alias("_dim"),
-        F.pmod(F.xxhash64(key), parts(df, rows)).alias(own),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), parts(other, other_rows) - 1)).alias(other_name),
+        F.pmod(F.xxhash64(key), parts(df, rows, own)).alias(own),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), parts(other, other_rows, other_name) - 1)).alias(other_name),
     )
 
 
@@ -54,39 +141,28 @@ def similarity_topk(
     """The ``k`` index rows nearest to each question by cosine, with rank.
 
     Filters on index metadata go on ``index`` beforehand and reach its scan.
-    NULL vectors, and vectors with NULL or NaN, give no hits on either side;
+    NULL vectors, and vectors with NULL, NaN or infinity, give no hits on either side;
     vectors are compared with those of their own length.
     """
     schema = StructType([questions.schema[question], index.schema[key], StructField("score", DoubleType())])
     shards = _dealt(index, key, vector, "_shard", shard_rows, questions, "_block", block_questions)
     blocks = _dealt(questions, question, question_vector, "_block", block_questions, index, "_shard", shard_rows)
 
-    def unit(vectors: pd.Series) -> np.ndarray:
-        rows = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-        length = np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
-        return np.divide(rows, length, out=np.zeros_like(rows), where=length > 0)
-
     def best(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(held) or not len(asked):
             return pd.DataFrame()
-        found = None
-        ids, wanted, step = asked[question].to_numpy(), unit(asked[question_vector]), max(1, SCORES_AT_ONCE // len(asked))
-        for at in range(0, len(held), step):
-            part = held.iloc[at : at + step]
-            keys = part[key].to_numpy()
-            # Rounded before ranking, so equal vectors tie and the key decides.
-            scores = np.round(unit(part[vector]) @ wanted.T, SCORE_DIGITS) + 0.0
-            if len(keys) > k:
-                # Everything not below the k-th best score stays, ties included.
-                bar = np.partition(scores, len(keys) - k, axis=0)[len(keys) - k]
-                row, column = np.nonzero(scores >= bar)
-            else:
-                row, column = np.indices(scores.shape).reshape(2, -1)
-            new = pd.DataFrame({question: ids[column], key: keys[row], "score": scores[row, column]})
-            found = new if found is None else pd.concat([found, new])
-            found = found.sort_values([question, "score", key], ascending=[True, False, True], kind="stable")
-            found = found.groupby(question, sort=False).head(k)
-        return found
+        held = held.sort_values(key, kind="stable", ignore_index=True)
+        x = unit_rows(held[vector])
+        kept = without_copies(x, k)
+        x, keys, ids, wanted = x[kept], held[key].to_numpy()[kept], asked[question].to_numpy(), unit_rows(asked[question_vector])
+        rows32, rank, out = x.astype(np.float32), np.arange(len(x)), []
+        for at in range(0, len(ids), ASKED_AT_ONCE):
+            near = Nearest(wanted[at : at + ASKED_AT_ONCE], x, rows32, rank, k)
+            for low in range(0, len(x), ROWS_AT_ONCE):
+                near.offer(low, min(low + ROWS_AT_ONCE, len(x)))
+            q, row, score = near.found()
+            out.append(pd.DataFrame({question: ids[q + at], key: keys[row], "score": score}))
+        return pd.concat(out, ignore_index=True)
 
     together = ["_shard", "_block", "_dim"]
     found = shards.groupBy(*together).cogroup(blocks.groupBy(*together)).applyInPandas(best, schema)

@@ -47,3 +47,15 @@ def test_odd_rows(spark):
         InvertedFile.build(index.unionByName(asked.selectExpr("'x' AS k", "v")), "k", "v")
     nothing = InvertedFile.build(index.limit(0), "k", "v")
     assert nothing.search(asked, "q", "v", 2).collect() == []
+
+
+def test_a_question_travels_once_to_each_part(spark, monkeypatch):
+    """Vectors that no bound excludes: 20 cells are one part, and not 20 copies of each question."""
+    kept, stored_copy = {}, pruned_search.stored_copy
+    monkeypatch.setattr(pruned_search, "stored_copy", lambda df, name: kept.setdefault(name, stored_copy(df, name)))
+    rng = np.random.default_rng(5)
+    index, asked = rng.standard_normal((200, 64)), rng.standard_normal((6, 64))
+    built = InvertedFile.build(vectors(spark, index, "k"), "k", "v", cells=20)
+    got = built.search(vectors(spark, asked, "q"), "q", "v", 3).toPandas()
+    assert set(zip(got["q"], got["k"], got["rank"])) == brute(index, asked, 3) and (got["scored"] <= 200).all()
+    assert kept["pruned-found"].filter("k IS NULL").count() <= 2 * 6
