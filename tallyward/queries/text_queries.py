@@ -220,7 +220,7 @@ def vector_topk_many(spark, folder):
 
 
 def turned_vectors(spark, folder):
-    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.col("embedding").alias("e"))
     return vectors.select("vec_id", "e", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("s")).select(
         (F.col("vec_id") * 8 + F.col("s")).alias("q"),
         F.when(F.col("vec_id") != 7, F.transform("e", lambda x, i: F.when((i + 1) % 7 == F.col("s"), -x).otherwise(x))).alias("qv"),
