@@ -74,7 +74,7 @@ class Nearest:
             bar = bar.copy()
             bar[unset] = np.partition(rough[unset], at, axis=1)[:, at].astype(np.float64) - 2 * self.error
             self.bar[slice(None) if some is None else some] = bar
-        q, row = np.nonzero(rough >= bar.astype(np.float32)[:, None])
+        q, row = divmod(np.flatnonzero(rough >= bar.astype(np.float32)[:, None]), high - low)
         if len(q):
             self.new.append((q if some is None else some[q], row + low))
             self.waiting += len(q)
@@ -212,10 +212,11 @@ def apply_sync(index: DataFrame, embedded: DataFrame, key: str) -> DataFrame:
 def term_counts(docs: DataFrame, key: str, text: str, dims: int = 256) -> DataFrame:
     """(key, dim, tf): terms of each text, hashed by md5 to ``dims`` dimensions.
     The hash is one that any engine has, so vectors can be checked elsewhere."""
-    terms = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    terms = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
     dim = F.conv(F.substring(F.md5("_term"), 1, 8), 16, 10).cast("bigint") % dims
     return (
         docs.select(key, F.explode(terms).alias("_term"))
+        .filter("_term <> ''")
         .groupBy(key, dim.cast("int").alias("dim"))
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -229,11 +230,14 @@ def dimension_weights(counts: DataFrame, docs: DataFrame) -> DataFrame:
 
 def hashed_vectors(counts: DataFrame, weights: DataFrame, key: str, dims: int = 256) -> DataFrame:
     """(key, embedding): TF-IDF vectors of ``dims`` numbers; their length does not matter to a cosine."""
-    weighed = counts.join(weights, "dim").groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("dim", F.col("tf") * F.col("idf")))).alias("_by_dim")
-    )
-    at = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.coalesce(F.try_element_at("_by_dim", d), F.lit(0.0)))
-    return weighed.select(key, at.alias("embedding"))
+    @F.pandas_udf("array<double>")
+    def dense(places: pd.Series, values: pd.Series) -> pd.Series:
+        return pd.Series([np.bincount(at, weights=x, minlength=dims) for at, x in zip(places, values)], dtype=object)
+
+    # filled in one pass: a map looked up dim by dim is built again for each of them
+    weighed = counts.join(weights, "dim").select(key, "dim", (F.col("tf") * F.col("idf")).alias("x"))
+    listed = weighed.groupBy(key).agg(F.collect_list(F.struct("dim", "x")).alias("_by_dim"))
+    return listed.select(key, dense("_by_dim.dim", "_by_dim.x").alias("embedding"))
 
 
 def fit_text_vectors(docs: DataFrame, text: str, dims: int = 256):

@@ -42,3 +42,12 @@ def test_infinite_numbers_give_no_hits(spark):
     index = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [float("inf"), 0.0])], "k STRING, v ARRAY<DOUBLE>")
     asked = spark.createDataFrame([(1, [1.0, 0.1])], "q INT, w ARRAY<DOUBLE>")
     assert [r.k for r in search.similarity_topk(index, "k", "v", asked, "q", "w", 5).collect()] == ["a"]
+
+
+def test_hashed_vectors_are_built_once_per_text(spark):
+    counts = spark.createDataFrame([(1, 0, 2), (1, 255, 1), (None, 3, 1)], "k INT, dim INT, tf LONG")
+    weights = spark.createDataFrame([(0, 0.5), (255, 2.0), (3, 1.0)], "dim INT, idf DOUBLE")
+    made = search.hashed_vectors(counts, weights, "k")
+    got = {r.k: {i: x for i, x in enumerate(r.embedding) if x} for r in made.collect()}
+    assert got == {1: {0: 1.0, 255: 2.0}, None: {3: 1.0}} and len(made.first().embedding) == 256
+    assert "map_from_entries" not in made._jdf.queryExecution().optimizedPlan().toString()
