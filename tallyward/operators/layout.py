@@ -125,11 +125,16 @@ def folder_bytes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, source: str, target: str, target_bytes: int = COMPACT_BYTES) -> str:
-    """Rewrite small files into even files of about the target size."""
+    """Rewrite small files into even files of about the target size.
+
+    A file is put together from whole input splits, so its task reads what it
+    writes: shuffled rows would be several times as many bytes. Only files
+    smaller than a split are dealt out by a shuffle."""
     size = folder_bytes(spark, source).first()["bytes"]
     files = max(1, -(-size // target_bytes))
     stored = spark.read.parquet(source)
-    stored.repartition(files, spread(stored)).write.mode("overwrite").parquet(target)
+    placed = stored.coalesce(files) if files <= stored.rdd.getNumPartitions() else stored.repartition(files, spread(stored))
+    placed.write.mode("overwrite").parquet(target)
     return target
 
 
@@ -146,6 +151,12 @@ def file_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("row_count"), *ranges)
 
 
+def merged_stats(stats: DataFrame, columns: list[str], by: str) -> DataFrame:
+    """Statistics of files put together by a column that labels them."""
+    ranges = [f(f"{n}_{c}").alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
+    return stats.groupBy(by).agg(F.sum("row_count").alias("row_count"), *ranges)
+
+
 def files_to_read(stats: DataFrame, column: str, value) -> DataFrame:
     """How many files a point lookup must open, going by their value ranges."""
     may_hold = F.lit(value).between(F.col(f"min_{column}"), F.col(f"max_{column}"))
