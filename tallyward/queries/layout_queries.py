@@ -60,12 +60,14 @@ def rebalanced_write(spark, folder):
            max(claim_date) AS max_claim_date, min(patient_id) AS min_patient_id, max(patient_id) AS max_patient_id
     FROM claims_fact GROUP BY 1""")
 def file_stats(spark, folder):
-    """Statistics per file of a table with one file per year; the year in the path labels a file."""
-    out = shared_folder(spark, "stats")
+    """Statistics per file of a table stored by year. The year in the path labels a file; a year of many rows has
+    several files, of bounded size, and their statistics are put together."""
+    out, described = shared_folder(spark, "stats"), ["claim_date", "patient_id"]
     yearly = claims(spark, folder).withColumn("year", F.year("claim_date"))
-    yearly.repartition("year").write.partitionBy("year").parquet(out)
-    per_file = layout.file_stats(spark.read.parquet(out), ["claim_date", "patient_id"])
-    return per_file.withColumn("label", F.regexp_extract("file_path", "year=(\\d+)/", 1)).drop("file_path")
+    yearly.hint("rebalance", "year").write.partitionBy("year").parquet(out)
+    per_file = layout.file_stats(spark.read.parquet(out), described)
+    labelled = per_file.withColumn("label", F.regexp_extract("file_path", "year=(\\d+)/", 1)).drop("file_path")
+    return layout.merged_stats(labelled, described, "label").select(*labelled.columns)
 
 
 @query("lookup_probe", "claims_fact", """
