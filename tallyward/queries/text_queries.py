@@ -83,9 +83,12 @@ def claim_history_json(spark, folder):
 
 @query("claim_history_json_sliced", "claims_fact", _HISTORY)
 def claim_history_json_sliced(spark, folder):
-    """The same with the patients of 30 or more claims in slices."""
+    """The same with the patients of 30 or more claims in slices. The claims
+    are stored, as slicing reads them several times."""
     busy = stored_copy(model.busy_patients(spark, folder, 30), "busy")
-    return enrich.claim_documents(model.claims_fact(spark, folder), per_part=20, hot=busy).drop("prompt")
+    named = ["patient_id", "claim_id", "claim_date", "diagnosis_code", "claim_amount", "claim_status"]
+    facts = stored_copy(model.claims_fact(spark, folder).select(*named), "history-facts")
+    return enrich.claim_documents(facts, per_part=20, hot=busy).drop("prompt")
 
 
 @query("event_properties", "", """
