@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyward.operators.history import START
 from tallyward.plans import reporting, star
 from tallyward.queries.registry import query
 from tallyward.session import stored_copy
@@ -158,9 +159,14 @@ query("fact_claims_star", "claims_fact provider_dim patient_versions", _STAR)(cl
 
 @query("fact_claims_star_sliced", "claims_fact provider_dim patient_versions", _STAR)
 def fact_claims_star_sliced(spark, folder):
-    """The same with the patients of 30 or more claims in slices."""
+    """The same with the patients of 30 or more claims in slices. Claims and
+    versions are stored, as slicing reads them several times."""
+    named = ["claim_id", "patient_id", "provider_id", "diagnosis_code", "procedure_code", "claim_date", "claim_amount", "claim_status"]
+    versions = ["patient_id", "event_no", "insurance_plan", START]
     return star.fact_claims(
-        model.claims_fact(spark, folder), model.patient_dim(spark, folder), model.provider_dim(spark, folder),
+        stored_copy(model.claims_fact(spark, folder).select(*named), "star-facts"),
+        stored_copy(model.patient_dim(spark, folder).select(*versions), "star-versions"),
+        model.provider_dim(spark, folder),
         stored_copy(model.busy_patients(spark, folder, 30), "busy"),
     )
 
