@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyward.functions.expressions import exact_sum
-from tallyward.operators import history, quality
+from tallyward.operators import history, layout, quality
 from tallyward.operators.quality import RuleSet
 from tallyward.operators.versions import VersionTable
 from tallyward.queries.registry import query
@@ -216,6 +216,9 @@ def stream_dedup(spark, folder):
     return plain_times(spark.read.parquet(f"{out}/t"), "admitted_at")
 
 
+#: Bytes of stored lines behind each CSV file that lands; as text they are about five times as many.
+LANDED_BYTES = 8 << 20
+
 KEY, SEQUENCE, TRACKED = model.PATIENT_KEY, model.PATIENT_SEQUENCE, model.PATIENT_TRACKED
 
 
@@ -287,11 +290,14 @@ def stream_scd2_loaded(spark, folder):
     UNION ALL SELECT 'patient_id_not_null', count(*), NULL FROM claims_unchecked WHERE patient_id IS NULL
     UNION ALL SELECT 'provider_id_not_null', count(*), NULL FROM claims_unchecked WHERE provider_id IS NULL""")
 def stream_quarantine(spark, folder):
-    """Claims land as CSV, pass the rules as a stream and split in two tables."""
+    """Claims land as CSV, pass the rules as a stream in two batches and split
+    in two tables. The number of files that land grows with the lines."""
     out = shared_folder(spark, "claims")
     faulty = model.claims_unchecked(spark, folder)
-    faulty.repartition(4, "load_ref").write.option("header", True).csv(f"{out}/landing")
-    raw = csv_stream(spark, f"{out}/landing", faulty.schema, files_per_batch=2)
+    files = max(4, -(-layout.folder_bytes(spark, f"{folder}/lineitem.parquet").first()["bytes"] // LANDED_BYTES))
+    faulty.repartition(files, "load_ref").write.option("header", True).csv(f"{out}/landing")
+    landed = len(spark.read.text(f"{out}/landing").inputFiles())
+    raw = csv_stream(spark, f"{out}/landing", faulty.schema, files_per_batch=-(-landed // 2))
     finish(sinks.split_stream(raw, RuleSet.claims("DATE'2001-12-31'"), "claim_id", f"{out}/passed", f"{out}/held", f"{out}/c"))
     passed = sinks.stored(spark, f"{out}/passed").agg(
         F.count(F.lit(1)).alias("rows_stored"), exact_sum("claim_amount").alias("amount")

@@ -39,3 +39,26 @@ def test_a_key_is_cut_by_its_rows(spark):
     cut = hotkeys.cut_hot_keys(rows, ["k"], ["id"], hotkeys.hot_keys(rows, ["k"], 30))
     slices = {r.k: r.n for r in cut.groupBy("k").agg(F.countDistinct("_slice").alias("n")).collect()}
     assert slices[99] > 20 and sum(slices[k] for k in range(10)) <= 100
+
+
+def test_more_lines_land_in_more_files_and_still_in_two_batches(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from tallyward.queries import stream_queries
+
+    given, out = str(tmp_path / "in"), tmp_path / "out"
+    spark.range(300).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.col("id").alias("l_partkey"), F.col("id").alias("l_suppkey"),
+        F.lit(2.5).alias("l_extendedprice"), F.lit("A").alias("l_returnflag"), F.lit("2000-01-02").cast("timestamp_ntz").alias("l_shipdate"),
+    ).coalesce(1).write.parquet(f"{given}/lineitem.parquet")
+    spark.range(300).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 30).alias("o_custkey"), F.lit("p").alias("o_orderpriority"),
+        F.lit("1999-01-02").cast("timestamp_ntz").alias("o_orderdate"),
+    ).coalesce(1).write.parquet(f"{given}/orders.parquet")
+    monkeypatch.setattr(stream_queries, "LANDED_BYTES", 500, raising=False)
+    monkeypatch.setattr(stream_queries, "shared_folder", lambda spark, name: str(out))
+    got = {r.part: r.rows_stored for r in stream_queries.stream_quarantine(spark, given).collect()}
+    spoiled = [i for i in range(300) if (i % 30 * 7 + i * 4) % 50 in (0, 1, 2)]
+    assert got["passed"] == 300 - len(spoiled)
+    assert len(list(Path(out, "landing").glob("part-*"))) > 4
+    assert sorted(p.name for p in Path(out, "passed").glob("_batch=*")) == ["_batch=0", "_batch=1"]
