@@ -17,13 +17,11 @@ META = [TYPE, VERSION, STAMP]
 INSERT, PRE, POST, DELETE = "insert", "update_preimage", "update_postimage", "delete"
 
 
-def _change_rows(kinds_and_rows: list[tuple[str, str, Column]]) -> Column:
-    """An array of change records, those whose condition fails left out."""
-    records = [
-        F.when(present, F.struct(F.lit(kind).alias(TYPE), F.col(row).alias("_row")))
-        for kind, row, present in kinds_and_rows
-    ]
-    return F.filter(F.array(*records), lambda r: r.isNotNull())
+def _change_rows(paired: DataFrame, gone: Column, came: Column, changed: Column) -> DataFrame:
+    """A row for each change of ``_old`` to ``_new``: its kind is taken first, and then the image that belongs to it."""
+    kinds = F.when(gone, F.array(F.lit(DELETE))).when(came, F.array(F.lit(INSERT))).when(changed, F.array(F.lit(PRE), F.lit(POST)))
+    image = F.when(F.col(TYPE).isin(DELETE, PRE), F.col("_old")).otherwise(F.col("_new"))
+    return paired.withColumn(TYPE, F.explode(kinds)).withColumn("_row", image)
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -34,8 +32,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     gone, came = F.col("_new").isNull(), F.col("_old").isNull()
     both = ~gone & ~came
     changed = o.join(n, keys, "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new")))
-    rows = _change_rows([(DELETE, "_old", gone), (INSERT, "_new", came), (PRE, "_old", both), (POST, "_new", both)])
-    return changed.select(F.explode(rows).alias("_c")).select("_c._row.*", f"_c.{TYPE}")
+    return _change_rows(changed, gone & ~came, came & ~gone, both).select("_row.*", TYPE)
 
 
 def commit(changes: DataFrame, version: int, stamp: Column) -> DataFrame:
@@ -59,12 +56,8 @@ def log_commits(
     paired = steps.withColumn("_old", prior)
     live, had = ~F.col("_gone"), F.col("_old").isNotNull()
     changed = live & had & ~F.col("_old").eqNullSafe(F.col("_new"))
-    records = _change_rows(
-        [(DELETE, "_old", ~live & had), (INSERT, "_new", live & ~had), (PRE, "_old", changed), (POST, "_new", changed)]
-    )
-    return paired.select(
-        F.col(version).cast("bigint").alias(VERSION), F.col(stamp).alias(STAMP), F.explode(records).alias("_c")
-    ).select("_c._row.*", f"_c.{TYPE}", VERSION, STAMP)
+    marked = paired.withColumns({VERSION: F.col(version).cast("bigint"), STAMP: F.col(stamp)})
+    return _change_rows(marked, ~live & had, live & ~had, changed).select("_row.*", TYPE, VERSION, STAMP)
 
 
 def changes(log: DataFrame, from_version: int, to_version: int | None = None) -> DataFrame:

@@ -60,6 +60,31 @@ def test_batches_equal_the_recomputed_table(spark, rows, tmp_path):
             assert rows(table.state(spark)) == want
 
 
+def test_joined_claims_are_not_shuffled_again_for_their_log(spark, tmp_path, monkeypatch):
+    from tallyward.queries import gold_queries
+
+    given, logs = str(tmp_path / "in"), []
+    line = "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_suppkey BIGINT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_returnflag STRING, l_shipdate STRING"
+    lines = [(1, 1, 5, 6, 1.0, 10.0, "A", "1997-02-03"), (1, 1, 5, 6, 1.0, 12.0, "A", "1998-02-03"), (1, 1, 5, 6, 50.0, 12.0, "A", "2000-02-03"),
+             (1, None, 5, 6, 1.0, 7.0, "R", "1999-02-03"), (2, 1, 5, 6, 1.0, 7.0, "R", "1999-02-03")]
+    spark.createDataFrame(lines, line).withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz")).write.parquet(f"{given}/lineitem.parquet")
+    orders = spark.createDataFrame([(1, 3, "p", "1997-01-01"), (1, 3, "p", "1997-01-01"), (2, 4, "p", "1997-01-01")],
+                                   "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING, o_orderdate STRING")
+    orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).write.parquet(f"{given}/orders.parquet")
+    true_log = changelog.log_commits
+    monkeypatch.setattr(changelog, "log_commits", lambda *args: logs.append(true_log(*args)) or logs[-1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = gold_queries.claim_commits(spark, given)
+        plan = logs[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 3  # lines, lines by order, orders
+    told = sorted((r.claim_id, r._commit_version, r._change_type, r.claim_amount) for r in got.collect())
+    assert told == [("1", 1, "insert", 7.0), ("1-1", 0, "insert", 10.0), ("1-1", 1, "update_postimage", 12.0),
+                    ("1-1", 1, "update_preimage", 10.0), ("1-1", 2, "delete", 12.0), ("2-1", 1, "insert", 7.0)]
+
+
 def test_everything_withdrawn_leaves_no_group(spark, tmp_path):
     table = IncrementalTable(str(tmp_path / "t"), measures(), parts=2)
     one = (1, "a", "u", 3, 5)
