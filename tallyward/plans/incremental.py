@@ -54,6 +54,8 @@ class IncrementalTable:
     folder: str
     measures: Measures
     parts: int = 64
+    #: Batches of at most as many changes look their members up; larger ones meet the stored numbers in one shuffle.
+    lookup_rows: int = 100_000
 
     @property
     def _groups(self) -> list[str]:
@@ -71,7 +73,7 @@ class IncrementalTable:
     def _write(self, rows: DataFrame, name: str, number: int) -> DataFrame:
         own = f"{self.folder}/{name}/{sinks.BATCH}={number}"
         parted = [PART] if PART in rows.columns else []
-        (rows.hint("rebalance", PART) if parted else rows).write.mode("overwrite").partitionBy(*parted).parquet(own)
+        rows.write.mode("overwrite").partitionBy(*parted).parquet(own)
         return rows.sparkSession.read.schema(rows.schema).parquet(own)
 
     def apply(self, changes: DataFrame, number: int) -> None:
@@ -83,13 +85,14 @@ class IncrementalTable:
             *[e.alias(g) for g, e in m.group.items()], sign.alias("_sign"), *[e.alias(s) for s, e in m.sums.items()],
             *[e.alias(d) for d, e in (m.distinct | m.largest).items()],
         )
+        few = changes.count() <= self.lookup_rows
         parts = [
             signed.groupBy(*groups).agg(
                 F.sum("_sign").alias(ROWS), *[F.sum(F.coalesce(F.col(s) * F.col("_sign"), F.lit(0))).alias(s) for s in m.sums]
             )
         ]
         for name in [*m.distinct, *m.largest]:
-            moved = self._move_members(signed, name, number)
+            moved = self._move_members(signed, name, number, few)
             if name in m.largest:
                 self._renew_largest(moved, name, number)
                 continue
@@ -100,30 +103,34 @@ class IncrementalTable:
         numbers = [ROWS, *m.sums, *m.distinct]
         self._write(totals.groupBy(*groups).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numbers]), "totals", number)
 
-    def _move_members(self, signed: DataFrame, name: str, number: int) -> DataFrame:
-        """Store by how much the number of each touched member changed, and what it was."""
+    def _move_members(self, signed: DataFrame, name: str, number: int, few: bool) -> DataFrame:
+        """Store by how much the number of each touched member changed, and what it was.
+
+        The stored numbers of a member and its changes are summed together. Members that did not change drop out
+        there, so only a batch of few changes looks for its members before."""
         groups, whole = self._groups, name in self.measures.largest
         keys = [*groups, MEMBER]
         place = F.pmod(F.xxhash64(*(groups if whole else keys)), F.lit(self.parts)).cast("int")
-        moved = (
-            signed.select(*groups, F.col(name).alias(MEMBER), "_sign").filter(F.col(MEMBER).isNotNull())
-            .groupBy(*keys).agg(F.sum("_sign").alias(N)).filter(F.col(N) != 0).withColumn(PART, place)
+        none = F.lit(0).cast("bigint")
+        changed = (
+            signed.select(*groups, F.col(name).alias(MEMBER), F.col("_sign").cast("bigint").alias(N), none.alias(WAS))
+            .filter(F.col(MEMBER).isNotNull()).withColumn(PART, place)
         )
         earlier = self._stored(signed.sparkSession, name, number)
-        if earlier is None:
-            return self._write(moved.withColumn(WAS, F.lit(0).cast("bigint")), name, number)
-        near = self._touched(earlier, moved, keys)
-        before = near.select(*keys, PART, F.lit(0).cast("bigint").alias(N), F.col(N).alias(WAS))
-        both = moved.select(*keys, PART, N, F.lit(0).cast("bigint").alias(WAS)).unionByName(before)
-        summed = both.groupBy(*keys, PART).agg(F.sum(N).alias(N), F.sum(WAS).alias(WAS)).filter(F.col(N) != 0)
-        return self._write(summed.select(*moved.columns, WAS), name, number)
+        if earlier is not None:
+            near = self._touched(earlier, changed, keys) if few else self._near(earlier, changed)
+            changed = changed.unionByName(near.select(*keys, none.alias(N), F.col(N).alias(WAS), PART))
+        summed = changed.groupBy(*keys, PART).agg(F.sum(N).alias(N), F.sum(WAS).alias(WAS)).filter(F.col(N) != 0)
+        return self._write(summed.select(*keys, N, PART, WAS), name, number)
+
+    def _near(self, stored: DataFrame, moved: DataFrame) -> DataFrame:
+        """Stored rows of the partitions with moved keys: at most ``parts`` numbers are broadcast and prune the scan."""
+        parts = moved.select(PART).filter(F.col(PART) >= 0).distinct()
+        return stored.join(F.broadcast(parts), PART, "left_semi")
 
     def _touched(self, stored: DataFrame, moved: DataFrame, keys: list[str]) -> DataFrame:
-        """Stored rows of the moved keys: at most ``parts`` numbers are broadcast
-        and prune the scan, then keys are matched by whatever join fits their number."""
-        parts = moved.select(PART).filter(F.col(PART) >= 0).distinct()
-        wanted = moved.select(PART, *keys).distinct()
-        near = stored.join(F.broadcast(parts), PART, "left_semi")
+        """Stored rows of the moved keys, matched by whatever join fits their number."""
+        near, wanted = self._near(stored, moved), moved.select(PART, *keys).distinct()
         return near.join(wanted, _same(near, wanted, [PART, *keys]), "left_semi")
 
     def _renew_largest(self, moved: DataFrame, name: str, number: int) -> None:

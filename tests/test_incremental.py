@@ -60,6 +60,26 @@ def test_batches_equal_the_recomputed_table(spark, rows, tmp_path):
             assert rows(table.state(spark)) == want
 
 
+def test_a_large_batch_meets_the_stored_numbers_without_a_lookup(spark, rows, tmp_path, monkeypatch):
+    found = measures()
+    table = IncrementalTable(str(tmp_path / "t"), Measures(found.group, found.sums, found.distinct), parts=3, lookup_rows=0)
+
+    def looked_up(*args):
+        raise AssertionError("members are looked up")
+
+    monkeypatch.setattr(IncrementalTable, "_touched", looked_up)
+    for number, (changes, want) in enumerate(batches(5)):
+        table.apply(spark.createDataFrame(changes, f"{ROW}, _change_type STRING"), number)
+        assert rows(table.state(spark)) == [w[:-1] for w in want]
+
+
+def test_the_largest_value_of_large_batches(spark, rows, tmp_path):
+    table = IncrementalTable(str(tmp_path / "t"), measures(), parts=3, lookup_rows=0)
+    for number, (changes, want) in enumerate(batches(6)):
+        table.apply(spark.createDataFrame(changes, f"{ROW}, _change_type STRING"), number)
+        assert rows(table.state(spark)) == want
+
+
 def test_joined_claims_are_not_shuffled_again_for_their_log(spark, tmp_path, monkeypatch):
     from tallyward.queries import gold_queries
 
