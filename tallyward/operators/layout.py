@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions.fixed_values import COMPACT_BYTES
@@ -105,13 +105,23 @@ def with_z_value(stored: DataFrame, columns: list[str], files: int) -> DataFrame
 
 
 def z_order(spark: SparkSession, source: str, target: str, columns: list[str], files: int) -> str:
-    """Rewrite a stored table so that each file covers a small range of every column."""
+    """Rewrite a stored table so that each file covers a small range of every column.
+
+    The rows of each Z-value are counted from these columns alone, and a row goes to its file by this count: a
+    partitioning by range would read and place all rows once more to sample them."""
     stored = spark.read.parquet(source)
     placed = with_z_value(stored, columns, files)
+    counted = placed.groupBy("_z").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_z")) - F.col("_rows")
+    starts = counted.select("_z", "_rows", before.alias("_before"), F.sum("_rows").over(Window.partitionBy()).alias("_all"))
+    place = (F.col("_before") + F.pmod(spread(stored), F.col("_rows"))) * files
     (
-        placed.repartitionByRange(files, "_z", spread(stored))
+        placed.join(F.broadcast(starts), "_z", "left")  # all are found; an inner join would filter by, and so compute, the value twice
+        .withColumn("_file", F.least(F.floor(place / F.col("_all")), F.lit(files - 1)).cast("int"))
+        .drop("_rows", "_before", "_all")
+        .repartitionById(files, "_file")
         .sortWithinPartitions("_z")
-        .drop("_z")
+        .drop("_z", "_file")
         .write.mode("overwrite")
         .parquet(target)
     )

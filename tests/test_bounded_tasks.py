@@ -62,3 +62,30 @@ def test_more_lines_land_in_more_files_and_still_in_two_batches(spark, tmp_path,
     assert got["passed"] == 300 - len(spoiled)
     assert len(list(Path(out, "landing").glob("part-*"))) > 4
     assert sorted(p.name for p in Path(out, "passed").glob("_batch=*")) == ["_batch=0", "_batch=1"]
+
+
+def test_z_order_places_rows_by_counts_and_not_by_a_sample_of_them(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    plain, placed = str(tmp_path / "plain"), str(tmp_path / "z")
+    spark.range(4000).select((F.col("id") % 40).alias("a"), (F.col("id") * 7 % 4000).alias("b"), "id").write.parquet(plain)
+
+    def sampled(*args):
+        raise AssertionError("rows are sampled")
+
+    with monkeypatch.context() as m:
+        m.setattr(DataFrame, "repartitionByRange", sampled)
+        layout.z_order(spark, plain, placed, ["a", "b"], 8)
+    stored = spark.read.parquet(placed)
+    assert sorted(r.id for r in stored.collect()) == list(range(4000))
+    counts = [r.row_count for r in layout.file_stats(stored, ["a"]).collect()]
+    assert len(counts) == 8 and max(counts) < 700  # 500 each, but for rows of one cell that are dealt by their hash
+
+
+def test_z_order_of_equal_and_of_no_rows(spark, tmp_path):
+    for n in (0, 1000):
+        plain, placed = str(tmp_path / f"plain{n}"), str(tmp_path / f"z{n}")
+        spark.range(n).select(F.lit(1).alias("a"), F.lit(None).cast("string").alias("b"), "id").write.parquet(plain)
+        layout.z_order(spark, plain, placed, ["a", "b"], 4)
+        assert spark.read.parquet(placed).count() == n
+    assert layout.file_stats(spark.read.parquet(placed), ["a"]).count() == 4
