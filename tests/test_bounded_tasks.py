@@ -89,3 +89,21 @@ def test_z_order_of_equal_and_of_no_rows(spark, tmp_path):
         layout.z_order(spark, plain, placed, ["a", "b"], 4)
         assert spark.read.parquet(placed).count() == n
     assert layout.file_stats(spark.read.parquet(placed), ["a"]).count() == 4
+
+
+def test_a_split_stream_keeps_no_copy_of_its_batch(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from tallyward.operators.quality import Rule, RuleSet
+    from tallyward.streaming import sinks
+
+    landing = str(tmp_path / "in")
+    spark.range(10).write.parquet(landing)
+    kept = []
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *args: kept.append(df) or df)
+    rules = RuleSet([Rule("small", "id < 7", "drop")])
+    stream = spark.readStream.schema("id BIGINT").parquet(landing)
+    sinks.split_stream(stream, rules, "id", str(tmp_path / "p"), str(tmp_path / "h"), str(tmp_path / "c")).awaitTermination()
+    assert not kept and sinks.stored(spark, str(tmp_path / "p")).count() == 7
+    held = sinks.stored(spark, str(tmp_path / "h"))
+    assert sorted((r.id, r.raw_record, r.dq_rule) for r in held.collect()) == [(i, f'{{"id":{i}}}', "small") for i in (7, 8, 9)]
