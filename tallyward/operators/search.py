@@ -23,14 +23,17 @@ from tallyward.functions.fixed_values import INDEX_MIN_ROWS, TOP_K
 #: Questions of a block and rows of a shard, at most. Fewer questions than ``SPREAD`` blocks of this size hold are dealt
 #: to as many blocks, but to none of under ``FEW`` questions.
 BLOCK_QUESTIONS, SHARD_ROWS, SPREAD, FEW = 50_000, 25_000, 24, 2_000
-#: Questions and rows of one matrix product; pairs that are scored in double precision at once.
-ASKED_AT_ONCE, ROWS_AT_ONCE, PAIRS_AT_ONCE = 2_048, 1_024, 100_000
+#: Questions and rows of one matrix product; pairs that are scored in double precision at once, and so many for each question.
+ASKED_AT_ONCE, ROWS_AT_ONCE, PAIRS_AT_ONCE, PAIRS_EACH = 2_048, 1_024, 100_000, 20
 SCORE_DIGITS = 9
 
 
 def unit_rows(vectors) -> np.ndarray:
     """Vectors of one length as rows of length one; a zero stays a zero."""
-    x = np.array([np.asarray(v, np.float64) for v in vectors]).reshape(len(vectors), -1)
+    if isinstance(vectors, np.ndarray) and vectors.ndim == 2:
+        x = vectors.astype(np.float64)
+    else:
+        x = np.array([np.asarray(v, np.float64) for v in vectors]).reshape(len(vectors), -1)
     length = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
     return np.divide(x, length, out=np.zeros_like(x), where=length > 0)
 
@@ -78,7 +81,7 @@ class Nearest:
         if len(q):
             self.new.append((q if some is None else some[q], row + low))
             self.waiting += len(q)
-            if self.waiting > PAIRS_AT_ONCE:
+            if self.waiting > min(PAIRS_AT_ONCE, PAIRS_EACH * len(self.questions)):
                 self._settle()
 
     def _settle(self) -> None:

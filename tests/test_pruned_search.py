@@ -1,5 +1,7 @@
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from tallyward.operators import pruned_search
 from tallyward.operators.pruned_search import InvertedFile
@@ -59,3 +61,45 @@ def test_a_question_travels_once_to_each_part(spark, monkeypatch):
     got = built.search(vectors(spark, asked, "q"), "q", "v", 3).toPandas()
     assert set(zip(got["q"], got["k"], got["rank"])) == brute(index, asked, 3) and (got["scored"] <= 200).all()
     assert kept["pruned-found"].filter("k IS NULL").count() <= 2 * 6
+
+
+def test_questions_meet_each_part_once_and_vectors_keep_their_type(spark, monkeypatch):
+    """Float vectors that no bound excludes, in several parts."""
+    kept, stored_copy = {}, pruned_search.stored_copy
+    monkeypatch.setattr(pruned_search, "stored_copy", lambda df, name: kept.setdefault(name, stored_copy(df, name)))
+    monkeypatch.setattr(pruned_search, "ROWS", 100)
+    rng = np.random.default_rng(6)
+    index, asked = (rng.standard_normal((n, 64)).astype(np.float32) for n in (400, 12))
+    frame = lambda x, name: vectors(spark, x, name).selectExpr(name, "CAST(v AS ARRAY<FLOAT>) AS v")
+    built = InvertedFile.build(frame(index, "k"), "k", "v", cells=20)
+    got = built.search(frame(asked, "q"), "q", "v", 3).toPandas()
+    assert set(zip(got["q"], got["k"], got["rank"])) == brute(index.astype(float), asked.astype(float), 3)
+    assert (got["scored"] == 400).all()
+    assert kept["pruned-found"].filter("scored > 0").count() == 12 * len(built._stretches(100)[1])
+    for stored in (spark.read.parquet(built.folder), kept["pruned-questions"], kept["pruned-first"]):
+        assert stored.schema["_v"].dataType.simpleString() == "array<float>"
+
+
+def test_a_part_is_as_large_as_its_vectors_allow(spark, monkeypatch):
+    kept, stored_copy = {}, pruned_search.stored_copy
+    monkeypatch.setattr(pruned_search, "stored_copy", lambda df, name: kept.setdefault(name, stored_copy(df, name)))
+    made = spark.range(30_000).selectExpr("id AS k", "transform(sequence(1, 16), i -> CAST(pmod(xxhash64(id, i), 2001) - 1000 AS FLOAT)) AS v")
+    found = InvertedFile.build(made, "k", "v").search(made.limit(5).selectExpr("k AS q", "v"), "q", "v", 1).collect()
+    assert all(r.q == r.k and r.score == 1 for r in found) and len(found) == 5
+    assert kept["pruned-found"].filter("scored > 0").count() == 5  # one part holds all
+    wide = InvertedFile("", "k", np.zeros((1, 1536)), *[np.zeros(1)] * 3)
+    for kind, size in ((FloatType(), 4), (DoubleType(), 8)):
+        most = wide._fitting(pruned_search.ROWS, ArrayType(kind))
+        assert 0.99 < most * 1536 * size / (pruned_search.ROWS * pruned_search.WIDTH) <= 1
+
+
+def test_numbers_that_are_not_finite_hide_no_others(spark):
+    index = [("a", [1.0, 0.0]), ("b", [float("inf"), 0.0]), ("c", [0.5, 0.5]), (None, [1.0, 0.2]), ("d", [0.0, 1.0])]
+    asked = spark.createDataFrame([(1, [1.0, 0.1]), (2, [0.0, float("inf")])], "q INT, v ARRAY<DOUBLE>")
+    built = InvertedFile.build(spark.createDataFrame(index, "k STRING, v ARRAY<DOUBLE>"), "k", "v", cells=1)
+    assert [(r.q, r.k, r["rank"]) for r in built.search(asked, "q", "v", 3).orderBy("rank").collect()] == [(1, "a", 1), (1, "c", 2), (1, "d", 3)]
+
+
+def test_vectors_of_other_lengths_are_refused_not_mixed():
+    with pytest.raises(ValueError):
+        pruned_search._matrix(pa.array([[1.0, 2.0], [3.0, 4.0, 5.0, 6.0], [7.0, 8.0, 9.0]]), 3)
